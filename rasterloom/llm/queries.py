@@ -53,7 +53,20 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.read_media(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_curriculum_mix, op4_media_columns)}
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm.decontaminate import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, k=5)
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+def op7_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_curriculum_mix, op4_media_columns, op5_winnowing, op7_minhash_hamming)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
@@ -65,4 +78,18 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM k""",
+    "op5_winnowing": r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     bw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+     bs AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS i FROM bw WHERE len(w) > 0),
+     bx AS (SELECT DISTINCT item, n, array_to_string(w[i + 1 : i + n], ' ') AS x FROM bs),
+     sizes AS (SELECT DISTINCT n FROM bx),
+     ds AS (SELECT doc_id, n, w, unnest(range(0, len(w) - n + 1)) AS i FROM dw, sizes WHERE len(w) >= n),
+     dx AS (SELECT doc_id, n, i, array_to_string(w[i + 1 : i + n], ' ') AS x FROM ds),
+     occ AS (SELECT doc_id, dx.n, i, item FROM dx JOIN bx USING (n, x)),
+     hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY doc_id),
+     its AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS listed FROM occ GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
 }
