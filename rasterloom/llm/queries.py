@@ -66,7 +66,46 @@ def op7_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_warc, op3_curriculum_mix, op4_media_columns, op5_winnowing, op7_minhash_hamming)}
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm import secrets
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.with_secrets(docs, secrets.fit(docs))
+    names = F.array(*[F.lit(k) for k in secrets.KINDS])
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm.sharding import kd_shards
+
+    placed = kd_shards(table(spark, sf_dir, "documents"), shards=40, law="bytes")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm.substring import repeated_spans
+
+    found = repeated_spans(table(spark, sf_dir, "documents"), min_words=16)
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_words", "repeat_words", "removed_words", joined("spans").alias("spans"), joined("removed").alias("removed"), "repeated")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm.langid import identified
+
+    found = identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), fold=2, folds=4)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_warc, op3_curriculum_mix, op4_media_columns, op5_winnowing,
+        op6_secret_scan, op7_minhash_hamming, op8_kd_sharding, op9_chunk_dedup, op10_language_id,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
