@@ -5,15 +5,18 @@ in few symbols; the radius is set five standard deviations above the mean number
 with radius <= 2m - 1, so by the pigeonhole principle some chunk of any such pair differs in one symbol at most. Every
 chunk is therefore indexed once per symbol left out: all pairs within the radius meet in a bucket.
 
-Buckets are not expanded into pairs. First every member is compared with the bucket's smallest one and links are
-joined into components; only buckets that still hold several components are joined with themselves, under the
-condition that components differ and signatures lie within the radius. Links count after both full sets are compared.
+Buckets are not expanded into pairs. First every member is compared with two of its bucket, the one whose buckets are
+the fullest (the likely original of a group of copies) and the smallest, and links are joined into components. What is
+left are buckets that still hold several components. Small ones are joined pair by pair. For the members of large ones
+nothing is left out either, but two sets of the wanted similarity must share one of their rarest shingles (as many as
+may differ, plus one), so they are joined on these. Both joins ask that components differ and signatures lie within the
+radius. Links count after both full sets are compared.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 from rasterloom.llm.shared import written
 
 SYMBOLS, LONGS = 64, 16
+#: Buckets of several components with up to so many members are joined pair by pair, larger ones by rare shingles.
+SMALL_BUCKET = 16
 #: Documents whose texts are compared, up to which their ids are broadcast (16 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Distinct words that a worker remembers before it starts anew.
@@ -143,19 +148,23 @@ def _differing(a: str, b: str) -> Column:
     return total
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of ids those whose full sets are similar enough."""
-    ids = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "compared")
+def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(id, set) of the given ids: their texts' shingles, cut again."""
+    ids = written(ids.distinct(), "compared")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingles(k)
         for batch in batches:
             found = [cut.of(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
 
-    texts = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"])
-    full = written(texts.mapInArrow(sets, "id long, set binary"), "sets")
+    texts = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
+    return written(texts.mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
+
+
+def _linked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of ids those whose full sets are similar enough."""
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,6 +179,27 @@ def _linked(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return written(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "links")
 
 
+def _rare_shingles(full: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(id, shingle, place): of each set the rarest shingles, one more than may differ in a similar set.
+
+    Any one order of all shingles makes this exact; here the rarest among these sets come first. A shingle of one set
+    only meets nothing and is not returned, but it takes a place: such ones lead, and ``place`` counts them.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = np.frombuffer(x.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i, np.int64)), pa.array(s)], names=["id", "shingle"])
+
+    each = written(full.select("id", "set").mapInArrow(explode, "id long, shingle long"), "shingles")
+    often = each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    rare = each.join(often, "shingle").join(sizes, "id")
+    own = Window.partitionBy("id")
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "shingle")) - 1
+    return rare.withColumn("place", place).where(100 * F.col("place") <= (100 - percent) * F.col("n")).select("id", "shingle", "place")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for each id in the links (a, b): the smallest id reachable.
 
@@ -209,29 +239,44 @@ def near_duplicates(df: DataFrame, shingle_words: int = 5, percent: int = 80, do
 
     index = _keys(classes.where("id is not null"), m)
     bucket = Window.partitionBy("key")
-    shared = index.select("key", "id", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("most")).where("least <> most")
-    shared = written(shared.select("key", "id", "least"), "buckets")
-
-    def signed(pairs: DataFrame) -> DataFrame:
-        side = lambda p: classes.select(F.col("id").alias(p), F.col("n").alias(f"{p}n"), *[F.col(s).alias(f"{p}{s}") for s in _SIG])
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(within("a", "b")).select("a", "b")
+    shared = index.select("key", "id", F.count("*").over(bucket).alias("n")).where("n > 1")
+    shared = written(shared, "buckets")
 
     def within(a: str, b: str) -> Column:
         sizes = 100 * F.least(f"{a}n", f"{b}n") >= percent * F.greatest(f"{a}n", f"{b}n")
         return sizes & (_differing(a, b) <= radius)
 
-    stars = shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    stars = written(signed(stars), "pairs")
-    links = _linked(stars, texts, shingle_words, percent)
+    def signed(p: str) -> DataFrame:
+        return classes.select(F.col("id").alias(p), F.col("n").alias(f"{p}n"), *[F.col(s).alias(f"{p}{s}") for s in _SIG])
+
+    full_buckets = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    centre = F.max(F.struct("weight", (-F.col("id")).alias("id"))).over(bucket)
+    stars = shared.join(full_buckets, "id").select("key", "id", (-centre["id"]).alias("centre"), F.min("id").over(bucket).alias("least"))
+    stars = stars.select("id", F.explode(F.array("centre", "least")).alias("other")).where("id <> other")
+    stars = stars.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    stars = written(stars.join(signed("a"), "a").join(signed("b"), "b").where(within("a", "b")).select("a", "b"), "pairs")
+    full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), texts, shingle_words)
+    links = _linked(stars, full, percent)
     found = components(links)
 
-    part = shared.select("key", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = part.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket)).where("lo <> hi")
-    open_ = open_.select("key", "id", "component").join(classes.select("id", "n", *_SIG), "id")
-    side = lambda p: open_.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c"), F.col("n").alias(f"{p}n"), *[F.col(s).alias(f"{p}{s}") for s in _SIG])
-    rest = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & within("a", "b")).select("a", "b").distinct()
+    part = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    several = part.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket)).where("lo <> hi")
+    several = written(several.select("key", "id", "n", "component"), "left")
+
+    def apart(rows: DataFrame, on: str, keep: Sequence[str] = ()) -> DataFrame:
+        side = lambda p: rows.select(on, F.col("id").alias(p), F.col("component").alias(f"{p}c"), *[F.col(c).alias(p + c) for c in keep]).join(signed(p), p)
+        test = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & within("a", "b")
+        if "place" in keep:  # what can still be common from there on
+            common = F.least(F.col("an") - F.col("aplace"), F.col("bn") - F.col("bplace"))
+            test = test & ((100 + percent) * common >= percent * (F.col("an") + F.col("bn")))
+        return side("a").join(side("b"), on).where(test).select("a", "b")
+
+    large = written(several.where(F.col("n") > SMALL_BUCKET).select("id", "component").distinct(), "large")
+    rare = _rare_shingles(_sets(large.select("id"), texts, shingle_words), classes.select("id", "n"), percent).join(large, "id")
+    rest = apart(several.where(F.col("n") <= SMALL_BUCKET), "key").union(apart(rare, "shingle", ["place"])).distinct()
     rest = written(rest.join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_linked(rest, texts, shingle_words, percent))
+    full = _sets(rest.select(F.col("a").alias("id")).union(rest.select("b")), texts, shingle_words)
+    links = links.union(_linked(rest, full, percent))
     found = components(links)
 
     own = classes.select("h0", "h1", F.col("id").alias("class"))
