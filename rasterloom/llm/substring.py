@@ -1,8 +1,9 @@
 """Substring deduplication by content-defined chunking.
 
 A gear hash rolls over a text's words and a chunk ends where its low bits are small, so cuts depend on the last few
-words only and a passage is cut alike wherever it stands. Chunks are compared by a 128-bit digest: the first
-occurrence in the corpus, by (doc_id, place), is kept. Runs of repeated chunks are reported as spans of words.
+words only and a passage is cut alike wherever it stands. Chunks are compared by a 64-bit digest (only runs of several
+repeated chunks count, which a chance collision does not make): the first occurrence in the corpus, by (doc_id, place),
+is kept. Runs of repeated chunks are reported as spans of words.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ BITS, CUTS, APART = 5, 10, 2
 MAX_WORDS = 256
 CACHE = 400_000
 
-_CHUNKS = "row_key string, doc_id long, at long, words int, d0 long, d1 long"
+_CHUNKS = "key long, doc_id long, at int, words int, digest long"
 
 
 class _Gear(dict):
@@ -66,40 +67,40 @@ def _chunks(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gear = _Gear()
         for batch in batches:
-            keys, ids, ats, counts, digests = [], [], [], [], []
+            got: list[list] = [[], [], [], [], []]
 
-            def full():
-                d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                columns = [pa.array(keys, pa.string()), pa.array(ids, pa.int64()), pa.array(ats, pa.int64()), pa.array(counts, pa.int32()), pa.array(np.ascontiguousarray(d[:, 0])), pa.array(np.ascontiguousarray(d[:, 1]))]
-                return pa.RecordBatch.from_arrays(columns, names=["row_key", "doc_id", "at", "words", "d0", "d1"])
+            def full() -> pa.RecordBatch:
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                columns = [pa.array(x, k) for x, k in zip(got, kinds)] + [pa.array(np.array(got[4], np.uint64).view(np.int64))]
+                return pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "at", "words", "digest"])
 
             for key, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 words = (text or "").split()
-                last = 0
-                for e in cut(words, gear):
-                    keys.append(key)
-                    ids.append(doc)
-                    ats.append(last)
-                    counts.append(e - last)
-                    digests.append(xxhash.xxh3_128_digest(" ".join(words[last:e]).encode()))
-                    last = e
-                if len(keys) > 100_000:
+                ends = cut(words, gear)
+                starts = [0, *ends[:-1]] if ends else []
+                got[0] += [key] * len(ends)
+                got[1] += [doc] * len(ends)
+                got[2] += starts
+                got[3] += [e - a for a, e in zip(starts, ends)]
+                got[4] += [xxhash.xxh3_64_intdigest(" ".join(words[a:e]).encode()) for a, e in zip(starts, ends)]
+                if len(got[0]) > 100_000:
                     yield full()
-                    keys, ids, ats, counts, digests = [], [], [], [], []
-            if keys:
+                    got = [[], [], [], [], []]
+            if got[0]:
                 yield full()
 
     return rows.mapInArrow(run, _CHUNKS)
 
 
 def _runs(places: DataFrame, least: int, name: str) -> DataFrame:
-    """Per row_key the [start, end) ranges of at least ``least`` words that successive chunks cover, and their sum."""
-    order = Window.partitionBy("row_key").orderBy("at")
+    """Per key the [start, end) ranges of at least ``least`` words that successive chunks cover, and their sum."""
+    order = Window.partitionBy("key").orderBy("at")
     end = F.col("at") + F.col("words")
-    fresh = (F.coalesce(F.lag(end).over(order), F.lit(-1)) != F.col("at")).cast("int")
-    runs = places.withColumn("run", F.sum(fresh).over(order)).groupBy("row_key", "run").agg(F.min("at").alias("start"), F.max(end).alias("end"))
+    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("at") > reached, F.lit(True)).cast("int")
+    runs = places.withColumn("run", F.sum(fresh).over(order)).groupBy("key", "run").agg(F.min("at").alias("start"), F.max(end).alias("end"))
     runs = runs.where(F.col("end") - F.col("start") >= least)
-    return runs.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(name), F.sum(F.col("end") - F.col("start")).alias(f"{name}_words"))
+    return runs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(name), F.sum(F.col("end") - F.col("start")).alias(f"{name}_words"))
 
 
 def repeated_spans(df: DataFrame, min_words: int = 16, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -110,23 +111,21 @@ def repeated_spans(df: DataFrame, min_words: int = 16, doc_id: str = "doc_id", t
     removed: the ranges of at least ``min_words`` made of successive chunks that are not the first of their kind, by
     (doc_id, place), so that cutting them out leaves one copy of every passage; removed_words is their sum. A passage
     of over 50 words has 45 or so between its own first and last cuts, so it is found whatever stands around it. Null
-    and empty texts have no words and are never repeated; copies of whole texts repeat from end to end; rows alike in
-    doc_id and text count as one document (and get the same result). An empty table gives an empty one; other columns
+    and empty texts have no words and are never repeated; copies of whole texts repeat from end to end; rows of one
+    doc_id count as one document, and those alike in text too get the same result. An empty table gives an empty one; other columns
     are ignored.
     """
-    rows = df.select(F.concat_ws(":", F.col(doc_id).cast("string"), F.hex(F.xxhash64(text))).alias("row_key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chunks = written(_chunks(rows), "chunks")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key", "at"))
-    last = F.max(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key", "at"))
-    kinds = chunks.groupBy(F.col("d0").alias("k0"), F.col("d1").alias("k1")).agg(first.alias("first"), last.alias("last")).where("first <> last")
-    met = chunks.join(kinds, (F.col("d0") == F.col("k0")) & (F.col("d1") == F.col("k1")))
-    later = ~((F.col("row_key") == F.col("first.row_key")) & (F.col("at") == F.col("first.at")))
-    met = written(met.select("row_key", "at", "words", later.alias("later")), "repeats").distinct()
-    per = _runs(met, min_words, "spans").join(_runs(met.where("later"), min_words, "removed"), "row_key", "left")
-    words = rows.select("row_key", "doc_id", F.coalesce(F.regexp_count("text", F.lit(r"(?U)[^\s\x1c-\x1f]+")), F.lit(0)).cast("long").alias("n_words"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    rows = df.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)).alias("order"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    chunks = written(_chunks(rows.select("key", "order", "text")), "chunks")
+    kinds = chunks.groupBy(F.col("digest").alias("kind")).agg(F.min("doc_id").alias("holder"), F.count("*").alias("times")).where("times > 1").drop("times")
+    met = written(chunks.join(kinds, F.col("digest") == F.col("kind")).select("key", "at", "words", "digest", (F.col("doc_id") == F.col("holder")).alias("held")), "repeats")
+    again = F.row_number().over(Window.partitionBy("key", "digest").orderBy("at")) > 1
+    met = met.select("key", "at", "words", (~F.col("held") | again).alias("later"))
+    per = _runs(met, min_words, "spans").join(_runs(met.where("later"), min_words, "removed"), "key", "left")
+    words = rows.select("key", "doc_id", F.coalesce(F.regexp_count("text", F.lit(r"(?U)[^\s\x1c-\x1f]+")), F.lit(0)).cast("long").alias("n_words"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
     sum_of = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return words.join(per, "row_key", "left").select(
+    return words.join(per, "key", "left").select(
         "doc_id", "n_words", sum_of("spans_words").alias("repeat_words"), sum_of("removed_words").alias("removed_words"),
         F.coalesce("spans", none).alias("spans"), F.coalesce("removed", none).alias("removed"), F.col("spans").isNotNull().alias("repeated"),
     )
