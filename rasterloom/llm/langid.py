@@ -37,28 +37,48 @@ def _fold() -> np.ndarray:
     return table
 
 
-def grams(text: str | None) -> np.ndarray | None:
-    """Hashed n-grams of the whole text, words bounded by one 0; None if it has no letter."""
+def _letters(text: str | None) -> np.ndarray | None:
+    """Folded letters of the whole text, words bounded by one 0; None if it has no letter."""
     if not text:
         return None
     c = _fold()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    letter = c != 0
-    if not letter.any():
+    keep = c != 0
+    if not keep.any():
         return None
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]  # one 0 after each word
-    c = np.concatenate([np.zeros(1, np.uint32), c[keep]]).astype(np.uint64)
-    out, h = [], np.zeros(len(c), np.uint64)
+    keep[1:] |= keep[:-1].copy()  # one 0 after each word
+    return np.concatenate([np.zeros(1, np.uint32), c[keep]])
+
+
+def _grams(letters: np.ndarray) -> np.ndarray:
+    """Hashed n-grams that end in ``letters``; all of the orders that fit."""
+    c, out = letters.astype(np.uint64), []
+    h = np.zeros(len(c), np.uint64)
     for n in range(1, ORDERS + 1):
+        if len(c) < n:
+            break
         h = (h[: len(c) - n + 1] + c[n - 1 :] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         out.append((h >> np.uint64(11)).astype(np.int64) & (FEATURES - 1))
     return np.concatenate(out)
 
 
-def term_frequencies(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ids, n = np.unique(found, return_counts=True)
-    return ids, np.sqrt(n / len(found))
+def term_frequencies(text: str | None, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray] | None:
+    """(features, root of their share) of the whole text; None if it has no letter.
+
+    A long text is hashed in stretches that overlap by what an n-gram needs, so memory does not grow with it; n-grams
+    inside an overlap are counted once more, one in a hundred thousand.
+    """
+    if (c := _letters(text)) is None:
+        return None
+    if len(c) <= step:
+        ids, n = np.unique(_grams(c), return_counts=True)
+    else:
+        total = np.zeros(FEATURES, np.int64)
+        for i in range(0, len(c), step):
+            total += np.bincount(_grams(c[max(0, i - ORDERS + 1) : i + step]), minlength=FEATURES)
+        ids = np.flatnonzero(total)
+        n = total[ids]
+    return ids, np.sqrt(n / n.sum())
 
 
 def learnable(doc_id: Column, lang: Column, fold: int = 2, folds: int = 4) -> Column:
@@ -81,9 +101,9 @@ class Model:
 
     def scores(self, text: str | None) -> np.ndarray | None:
         """Calibrated probabilities; None if the text has no letter."""
-        if (found := grams(text)) is None:
+        if (found := term_frequencies(text)) is None:
             return None
-        ids, tf = term_frequencies(found)
+        ids, tf = found
         return _softmax((self.weights[:, ids] @ tf + self.bias) / self.temperature)
 
 
@@ -97,14 +117,11 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, df = 0, np.zeros(FEATURES, np.int64)
-        mark = np.zeros(FEATURES, np.bool_)
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 n += 1
-                if (g := grams(t)) is not None:
-                    mark[g] = True
-                    df += mark
-                    mark[g] = False
+                if (found := term_frequencies(t)) is not None:
+                    df[found[0]] += 1
         ids = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(ids, -1)), pa.array(np.append(df[ids], n))], names=["feature", "n"])
 
@@ -138,8 +155,8 @@ def fit(docs: DataFrame) -> Model | None:
         for batch in batches:
             rows = []
             for doc, lang, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if (g := grams(t)) is not None:
-                    ids, tf = term_frequencies(g)
+                if (found := term_frequencies(t)) is not None:
+                    ids, tf = found
                     rows.append({"doc": str(doc), "lang": lang, "ids": ids.astype(np.int32).tobytes(), "tf": tf.astype(np.float32).tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc", pa.string()), ("lang", pa.string()), ("ids", pa.binary()), ("tf", pa.binary())]))
 
