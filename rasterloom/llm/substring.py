@@ -21,7 +21,7 @@ from rasterloom.llm.shared import written
 #: The cut looks at the low 5 bits of the gear hash, so at 5 words; a chunk ends at 10 of the 32 values, but not where
 #: one of the two places before would end one too, so a chunk has 3 words or more and 7 on average.
 BITS, CUTS, APART = 5, 10, 2
-MAX_WORDS = 256
+MAX_WORDS = 24
 CACHE = 400_000
 
 _CHUNKS = "key long, doc_id long, at int, words int, digest long"
@@ -38,7 +38,10 @@ class _Gear(dict):
 
 
 def cut(words: list[str], gear: dict) -> list[int]:
-    """Ends of the chunks; a chunk of MAX_WORDS ends in any case, so one endless repetition is cut too."""
+    """Ends of the chunks; a chunk of MAX_WORDS ends in any case, counted from a cut that the words made.
+
+    So one word said over and over is cut into equal chunks too, wherever the repetition begins.
+    """
     n = len(words)
     if not n:
         return []

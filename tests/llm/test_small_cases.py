@@ -200,6 +200,12 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
     assert all(got[2 * i].removed_words == 0 for i in range(40)) and sum(got[2 * i + 1].removed_words > 0 for i in range(40)) >= 39
 
 
+def test_one_word_over_and_over_is_found(spark):
+    rows = [(1, "a b c d e " + "again " * 70 + "f g h"), (2, "k l m n o p q " + "again " * 60), (3, "v w x y z")]
+    got = {r.doc_id: r.repeated for r in substring.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: True, 2: True, 3: False}
+
+
 def test_stages_keep_their_columns_and_clean_documents(spark):
     import corpus_pipeline
 
