@@ -128,13 +128,10 @@ def merged(spans: DataFrame, key: str = "feature_id") -> DataFrame:
 
 
 def reduce_regions(pixels: DataFrame, spans: DataFrame, features: DataFrame, bands: Sequence[str], name: str = "mean", keys: Sequence[str] = (), key: str = "feature_id") -> DataFrame:
-    """Per feature (and image keys) a reduced value a band; features without valid pixels give nulls."""
+    """Per feature (and image keys) a reduced value a band; features that meet no pixel give one row of nulls."""
     fn = reducer(name)
     made = join_spans(pixels, spans).groupBy(key, *keys).agg(*[fn(F.col(f"`{b}`")).alias(b) for b in bands])
-    frame = features.select(key)
-    if keys:
-        frame = frame.crossJoin(F.broadcast(pixels.select(*keys).distinct()))
-    return frame.join(made, [key, *keys], "left")
+    return features.select(key).join(made, key, "left")
 
 
 def point_cells(points: DataFrame, grid: Grid) -> DataFrame:

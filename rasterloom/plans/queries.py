@@ -161,7 +161,15 @@ add("sc5_soil", lambda fx: rounded(scaling.scale_soil(fx.soil().select(*CELL, "c
 add("sc6_hydrosoil", lambda fx: rounded(scaling.scale_hydrosoil(fx.soil(), ["ksat"], ["stc"]).select(*CELL, "ksat", F.col("stc").cast("int").alias("stc")), 4), "SELECT col, row, round(ksat * 0.0001, 4) AS ksat, stc FROM soil")
 add("sc7_deg2rad", lambda fx: rounded(fx.dem().select(*CELL, F.radians("elevation").alias("rad")), 9), "SELECT col, row, round(radians(elevation), 9) AS rad FROM dem")
 add("sc8_clamp", lambda fx: fx.dem_gaps().select(*CELL, expr.clamp(F.col("elevation"), 910.0, 980.0).alias("z"), expr.at_least(F.col("elevation"), 950.0).alias("floor")), "SELECT col, row, CASE WHEN elevation IS NOT NULL THEN least(greatest(elevation, 910.0), 980.0) END AS z, CASE WHEN elevation IS NOT NULL THEN greatest(elevation, 950.0) END AS floor FROM dem_gaps")
-add("sc9_band_math", lambda fx: rounded(fx.soil().select(*CELL, F.sqrt("ksat").alias("root"), F.ln(F.col("clay_0_5cm")).alias("log"), (F.cos(F.radians("ksat")) + 2).alias("cosine"), ((F.col("ksat") > 500) & (F.col("stc") != 3)).cast("int").alias("both"), F.col("ksat").cast("bigint").bitwiseAND(F.lit(12)).alias("bits"))), f"SELECT col, row, {rd('root log cosine')}, both, bits FROM (SELECT col, row, sqrt(ksat) AS root, ln(clay_0_5cm) AS log, cos(radians(ksat)) + 2 AS cosine, CAST(ksat > 500 AND stc <> 3 AS INT) AS both, CAST(ksat AS BIGINT) & 12 AS bits FROM soil)".replace("both, bits FROM (", '"both", bits FROM (').replace("AS both", 'AS "both"'))
+add(
+    "sc9_band_math",
+    lambda fx: rounded(fx.soil().select(
+        *CELL, F.sqrt("ksat").alias("root"), F.ln(F.col("clay_0_5cm")).alias("log"), (F.cos(F.radians("ksat")) + 2).alias("cosine"),
+        ((F.col("ksat") > 500) & (F.col("stc") != 3)).cast("int").alias("wet"), F.col("ksat").cast("bigint").bitwiseAND(F.lit(12)).alias("bits"),
+    )),
+    """SELECT col, row, round(sqrt(ksat), 6) AS root, round(ln(clay_0_5cm), 6) AS log, round(cos(radians(ksat)) + 2, 6) AS cosine,
+        CAST(ksat > 500 AND stc <> 3 AS INT) AS wet, CAST(ksat AS BIGINT) & 12 AS bits FROM soil""",
+)
 add("sc10_expression", lambda fx: rounded(sr(fx).select(*KEY, expr.expression("2.5 * try_divide(nir - red, nir + red + 1)", {"nir": "SR_B4", "red": "SR_B3"}).alias("v")), 8), f"SELECT {KEYS}, round(2.5 * ((SR_B4 - SR_B3) / nullif(SR_B4 + SR_B3 + 1, 0)), 8) AS v FROM sr")
 add("sc11_normalized_difference", lambda fx: rounded(s2(fx).select(*KEY, expr.normalized_difference(F.col("B8"), F.col("B4")).alias("nd")), 8), f"SELECT {KEYS}, round({nd('B8', 'B4')}, 8) AS nd FROM s2")
 add("sc12_casts", lambda fx: fx.soil().select(*CELL, expr.to_int16(F.col("ksat") * 9).cast("int").alias("small"), F.col("ksat").cast("double").alias("wide")), "SELECT col, row, least(greatest(ksat * 9, -32768), 32767) AS small, CAST(ksat AS DOUBLE) AS wide FROM soil")
@@ -264,7 +272,7 @@ add("zon6_sample_regions", lambda fx: zo.sample_regions(fx.soil(), fx.points(),
 add("zon7_copy_properties", lambda fx: bd.copy_properties(cp.reduce_region(fx.pixels_ls(), ["SR_B4"], ["max"]), fx.scenes(), ["time_start", "sensor"]), "SELECT image_id, max(SR_B4) AS SR_B4_max, any_value(time_start) AS time_start, any_value(sensor) AS sensor FROM pixels_ls LEFT JOIN scenes USING (image_id) GROUP BY image_id")
 add("zon8_bounds", lambda fx: zo.bounds(fx.polygons()), "SELECT feature_id, CAST(px AS DOUBLE) AS min_x, CAST(py AS DOUBLE) AS min_y, CAST(px + side AS DOUBLE) AS max_x, CAST(py + side AS DOUBLE) AS max_y FROM polys")
 add("zon8_buffer", lambda fx: zo.span_cells(zo.dilated(zo.polygon_spans(fx.polygons(), fx.grid()), fx.grid(), 2.0)), "SELECT DISTINCT feature_id, d.col, d.row FROM poly_cells p JOIN dem d ON (d.col - p.col) * (d.col - p.col) + (d.row - p.row) * (d.row - p.row) <= 4")
-add("zon8_distance", lambda fx: rounded(fx.points().select("point_id", zo.distance(F.col("x"), F.col("y"), F.lit(10.0), F.lit(20.0)).alias("planar"), zo.haversine(F.col("x"), F.col("y"), F.lit(10.0), F.lit(20.0)).alias("sphere")), 3), "SELECT point_id, round(sqrt((x - 10) * (x - 10) + (y - 20) * (y - 20)), 3) AS planar, round(2 * 6371008.8 * asin(sqrt(least(pow(sin((radians(20) - radians(y)) / 2), 2) + cos(radians(y)) * cos(radians(20)) * pow(sin(radians(10 - x) / 2), 2), 1))), 3) AS sphere FROM points WHERE y >= 0".replace(" WHERE y >= 0", ""))
+add("zon8_distance", lambda fx: rounded(fx.points().select("point_id", zo.distance(F.col("x"), F.col("y"), F.lit(10.0), F.lit(20.0)).alias("planar"), zo.haversine(F.col("x"), F.col("y"), F.lit(10.0), F.lit(20.0)).alias("sphere")), 3), "SELECT point_id, round(sqrt((x - 10) * (x - 10) + (y - 20) * (y - 20)), 3) AS planar, round(2 * 6371008.8 * asin(sqrt(least(pow(sin((radians(20) - radians(y)) / 2), 2) + cos(radians(y)) * cos(radians(20)) * pow(sin(radians(10 - x) / 2), 2), 1))), 3) AS sphere FROM points")
 
 # --- moving windows ----------------------------------------------------------------------------------------------
 
@@ -303,7 +311,12 @@ _ASP = "CASE WHEN elevation IS NOT NULL THEN (degrees(atan2(-gx, -gy)) + 360) %
 add("foc9_slope_aspect", lambda fx: rounded(fo.slope_aspect(fx.dem_gaps(), "elevation", 30.0)), f"SELECT col, row, elevation, round({_DEG}, 6) AS slope, round({_ASP}, 6) AS aspect FROM {_SLOPE}")
 
 # --- grids -------------------------------------------------------------------------------------------------------
-add("grd1_tiles", lambda fx: resample.split_into_tiles(fx.spark, 0, 0, 50, fx.n_rows(), 16), "SELECT CAST(i AS INT) AS tile_x, CAST(j AS INT) AS tile_y, i * 16.0 AS min_x, j * 16.0 AS min_y, i * 16.0 + 16 AS max_x, j * 16.0 + 16 AS max_y FROM (SELECT unnest(range(0, 4)) AS i), (SELECT unnest(range(0, CAST(ceil(n_rows / 16) AS BIGINT))) AS j FROM g)".replace("i * 16.0 AS min_x", "CAST(i * 16 AS DOUBLE) AS min_x").replace("j * 16.0 AS min_y", "CAST(j * 16 AS DOUBLE) AS min_y").replace("i * 16.0 + 16 AS max_x", "CAST(i * 16 + 16 AS DOUBLE) AS max_x").replace("j * 16.0 + 16 AS max_y", "CAST(j * 16 + 16 AS DOUBLE) AS max_y"))
+add(
+    "grd1_tiles",
+    lambda fx: resample.split_into_tiles(fx.spark, 0, 0, 50, fx.n_rows(), 16),
+    """SELECT CAST(i AS INT) AS tile_x, CAST(j AS INT) AS tile_y, CAST(i * 16 AS DOUBLE) AS min_x, CAST(j * 16 AS DOUBLE) AS min_y, CAST(i * 16 + 16 AS DOUBLE) AS max_x, CAST(j * 16 + 16 AS DOUBLE) AS max_y
+        FROM (SELECT unnest(range(0, 4)) AS i), (SELECT unnest(range(0, CAST(ceil(n_rows / 16) AS BIGINT))) AS j FROM g)""",
+)
 _TARGET = lambda fx: Grid(20, fx.n_rows() // 3, 1.0, 1.0, 2.0, 2.0)
 _T = "(SELECT CAST(c AS INT) AS col, CAST(r AS INT) AS row, 1 + (c + 0.5) * 2 - 0.5 AS u, 1 + (r + 0.5) * 2 - 0.5 AS v FROM (SELECT unnest(range(0, 20)) AS c), (SELECT unnest(range(0, n_rows // 3)) AS r FROM g)) t"
 _NEAREST = f"SELECT t.col, t.row, elevation FROM {_T} LEFT JOIN dem_gaps d ON d.col = floor(u + 0.5) AND d.row = floor(v + 0.5)"
