@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions.expr import to_int16
@@ -35,6 +35,13 @@ def harmonize_oli_to_etm(df: DataFrame, slopes: Sequence[float] = OLI_SLOPES, in
     return df.select(*rest, *[c.alias(n) for n, c in made.items()])
 
 
+def harmonize_where(df: DataFrame, newer: Column, slopes: Sequence[float] = OLI_SLOPES, intercepts: Sequence[float] = OLI_INTERCEPTS, intercept_scale: float = 10000.0) -> DataFrame:
+    """The same for the rows of the newer instrument in a table of several, in one projection: no split and union."""
+    return df.withColumns({
+        new: F.when(newer, (F.col(old) - F.lit(i * intercept_scale)) / F.lit(s)).otherwise(F.col(new)) for (old, new), s, i in zip(OLI_TO_ETM_BANDS.items(), slopes, intercepts)
+    })
+
+
 def scale_modis_phenology(df: DataFrame, factors: Mapping[str, float] = PHENOLOGY) -> DataFrame:
     """Scales the bands that are there, as float; others are unchanged."""
     return df.withColumns({b: (F.col(b) * f).cast("float") for b, f in factors.items() if b in df.columns})

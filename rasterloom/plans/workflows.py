@@ -30,11 +30,8 @@ def landsat_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, ind
     x = pixels.join(use, "image_id")
     own = masks.SR_BANDS
     x = masks.mask_cloud_snow(x, [*own, "SR_B6"])
-    new = x.where(F.col("sensor").isin(*s.NEW))
-    new = scaling.harmonize_oli_to_etm(new, intercept_scale=intercept_scale)
-    old = x.where(~F.col("sensor").isin(*s.NEW))
-    keys = ["start_date", *CELL, *own]
-    x = scaling.scale_reflectance(old.select(*keys).unionByName(new.select(*keys)), own)
+    x = scaling.harmonize_where(x, F.col("sensor").isin(*s.NEW), intercept_scale=intercept_scale)
+    x = scaling.scale_reflectance(x.select("start_date", *CELL, *own), own)
     x = add_indices(masks.mask_negative_sr(x, own), LANDSAT, indices)
     out = composite(x, [*own, *indices], statistic)
     if fill_gaps and grid is not None:
