@@ -66,8 +66,9 @@ def _salted(hashes: Column, n: int) -> Column:
     return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(n)))
 
 
-def _windows(df: DataFrame, keep: list[str], lengths: list[int], k: int) -> DataFrame:
+def _windows(df: DataFrame, keep: list[str], lengths: list[int], k: int, longest: int) -> DataFrame:
     """A row per window of each length: keep, start, length, window (its words), f (its fingerprint)."""
+
     def of_length(n: int) -> DataFrame:
         a, w = _shape(n, k)
         x = df.withColumn("grams", _grams(F.col("hashes"), a)).where(F.size("words") >= n)
@@ -76,7 +77,7 @@ def _windows(df: DataFrame, keep: list[str], lengths: list[int], k: int) -> Data
             i.alias("start"), F.array_join(F.slice("words", i + 1, n), " ").alias("window"), F.array_min(F.slice("grams", i + 1, w)).alias("f")
         )
         x = x.select(*keep, F.explode(F.transform("starts", window)).alias("x")).select(*keep, "x.start", F.lit(n).alias("length"), "x.window", "x.f")
-        return x if n == max(lengths) else x.withColumn("f", F.xxhash64("f", F.lit(n)))
+        return x if n == longest else x.withColumn("f", F.xxhash64("f", F.lit(n)))
 
     return reduce(DataFrame.unionByName, [of_length(n) for n in lengths])
 
@@ -93,7 +94,8 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     items = items.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x))).withColumn("n", F.least(F.size("words"), F.lit(window)))
     items = written(items, "items")
     lengths = sorted(r[0] for r in items.select("n").distinct().collect()) or [window]  # ``window`` values at most
-    own = reduce(DataFrame.unionByName, [_windows(items.where(F.col("n") == n), ["item"], [n], k) if n == max(lengths) else _windows(items.where(F.col("n") == n), ["item"], [n], k).withColumn("f", F.xxhash64("f", F.lit(n))) for n in lengths])
+    longest = max(lengths)
+    own = reduce(DataFrame.unionByName, [_windows(items.where(F.col("n") == n), ["item"], [n], k, longest) for n in lengths])
     own = written(own.select("item", "length", "window", "f").distinct(), "item-windows")
     prints = own.select("f").distinct()
     few = prints.count() <= BROADCAST_FINGERPRINTS
@@ -116,7 +118,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     found = found.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
     names = own.select("f", "window").distinct().withColumn("w", F.xxhash64("window", "f"))
     names = F.broadcast(names) if few else names
-    hits = _windows(found.select("key", "words", "hashes"), ["key"], lengths, k).join(names, ["f", "window"]).select("key", "start", "length", "w")
+    hits = _windows(found.select("key", "words", "hashes"), ["key"], lengths, k, longest).join(names, ["f", "window"]).select("key", "start", "length", "w")
     hits = written(hits, "hits")
 
     order = Window.partitionBy("key").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
