@@ -221,3 +221,25 @@ def test_stages_keep_their_columns_and_clean_documents(spark):
         kept.append({r.doc_id for r in docs.collect()})
     everything = {r[0] for r in rows}
     assert kept[0] == everything - {101} and kept[1] == kept[0] - {100, 102} and kept[2] == kept[1] - {7}
+
+
+def test_network_reads_whole_runs_and_short_or_digit_free_ones(spark):
+    import numpy as np
+
+    digits = np.zeros((secrets.CLASSES, 1))
+    digits[[secrets.coded(c)[0] for c in "0123456789"]] = 1
+    net = secrets.Network(digits, np.ones((5, 1, 1)), np.array([-2.5]), np.array([9.0]), -4.0, threshold=0.5)  # fires on 3 digits in 5 characters
+    path = "/".join(["some-path_of-words"] * 6) + "/"
+    texts = [f"see {path}7x4k91q2 end", f"see {path} end", f"see {path}7x4k91q2{'/words' * 30} end", "is 4711xyzz so"]
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in secrets.with_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), net).collect()}
+    n = len(path) + 4
+    assert got == {0: [(4, 3, n + 8)], 1: [], 2: [(4, 3, n + 8 + 180)], 3: [(3, 3, 11)]}
+    assert secrets.candidates("pw qwertyuiopas") == [(3, 15)]
+
+
+def test_labelled_window_covers_the_finding():
+    key, path = "0123456789abcdef" * 2, "/".join(["some-path_of-words"] * 6) + "/"
+    text = f"see {path}{key} end"
+    positive = [w for label, w in secrets.labelled(text) if label]
+    assert len(positive) == 1 and secrets.coded(key) in positive[0]
+    assert [label for label, _ in secrets.labelled("password = hunter22x of something")] == [True, False]
