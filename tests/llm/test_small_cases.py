@@ -243,3 +243,17 @@ def test_labelled_window_covers_the_finding():
     positive = [w for label, w in secrets.labelled(text) if label]
     assert len(positive) == 1 and secrets.coded(key) in positive[0]
     assert [label for label, _ in secrets.labelled("password = hunter22x of something")] == [True, False]
+
+
+def test_threshold_keeps_recall_where_positives_are_few():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    make = lambda alphabet: "".join(rng.choice(list(alphabet), 32))
+    # alike but for their label, so that calibrated scores are about the share of positives
+    for positive, negative in ((100, 2000), (2, 400)):
+        texts = ["value " + make("0123456789abcdef") for _ in range(positive + negative)]
+        codes = np.array([np.frombuffer(secrets.window(t, 6, 38), np.uint8) for t in texts])
+        labels = np.r_[np.ones(positive), np.zeros(negative)]
+        net = secrets.train(codes, labels)
+        assert net.threshold < 0.5 and (net.scores(codes[:positive]) >= net.threshold).any()
