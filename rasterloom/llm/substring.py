@@ -21,7 +21,9 @@ from rasterloom.llm.shared import written
 #: The cut looks at the low 5 bits of the gear hash, so at 5 words; a chunk ends at 10 of the 32 values, but not where
 #: one of the two places before would end one too, so a chunk has 3 words or more and 7 on average.
 BITS, CUTS, APART = 5, 10, 2
-MAX_WORDS = 24
+#: Farther than ALONE words from any such cut, and there only, a chunk also ends where the hash is the smallest of the
+#: LOW words on either side; equal hashes are equal words and end one each, but CLOSE words or more apart.
+ALONE, LOW, CLOSE = 6, 4, 4
 CACHE = 400_000
 
 _CHUNKS = "key long, doc_id long, at int, words int, digest long"
@@ -38,9 +40,10 @@ class _Gear(dict):
 
 
 def cut(words: list[str], gear: dict) -> list[int]:
-    """Ends of the chunks; a chunk of MAX_WORDS ends in any case, counted from a cut that the words made.
+    """Ends of the chunks. Each depends on the words around it alone.
 
-    So one word said over and over is cut into equal chunks too, wherever the repetition begins.
+    In a phrase said over and over the fallback cuts come once a period, or once in so many periods as make CLOSE words,
+    so its chunks are alike wherever the repetition begins.
     """
     n = len(words)
     if not n:
@@ -53,17 +56,23 @@ def cut(words: list[str], gear: dict) -> list[int]:
     here = low.copy()
     for j in range(1, min(APART + 1, n)):
         here[j:] &= ~low[:-j]
+    near, least = here.copy(), h.copy()
+    for j in range(1, min(ALONE + 1, n)):
+        near[j:] |= here[:-j]
+        near[:-j] |= here[j:]
+    for j in range(1, min(LOW + 1, n)):
+        np.minimum(least[j:], h[:-j], out=least[j:])
+        np.minimum(least[:-j], h[j:], out=least[:-j])
+    last, more = -CLOSE, []
+    for i in np.flatnonzero((h == least) & ~near).tolist():
+        if i - last >= CLOSE:
+            more.append(i)
+            last = i
+    here[more] = True
     ends = (np.flatnonzero(here) + 1).tolist()
     if not ends or ends[-1] != n:
         ends.append(n)
-    out, last = [], 0
-    for e in ends:
-        while e - last > MAX_WORDS:
-            last += MAX_WORDS
-            out.append(last)
-        out.append(e)
-        last = e
-    return out
+    return ends
 
 
 def _chunks(rows: DataFrame) -> DataFrame:

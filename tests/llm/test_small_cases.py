@@ -257,3 +257,27 @@ def test_threshold_keeps_recall_where_positives_are_few():
         labels = np.r_[np.ones(positive), np.zeros(negative)]
         net = secrets.train(codes, labels)
         assert net.threshold < 0.5 and (net.scores(codes[:positive]) >= net.threshold).any()
+
+
+def test_repeating_phrases_are_cut_alike_wherever_they_stand():
+    import random
+
+    rng, gear = random.Random(9), substring._Gear()
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9)))
+    for period in range(1, 13):
+        for _ in range(100):
+            phrase = [word() for _ in range(period)]
+            passage = (phrase * 60)[:60]
+            chunks = []
+            for _ in range(2):
+                before, after = [word() for _ in range(rng.randint(5, 60))], [word() for _ in range(rng.randint(5, 60))]
+                words = before + passage + after
+                ends = substring.cut(words, gear)
+                assert ends[-1] == len(words) and ends == sorted(set(ends))
+                chunks.append([tuple(words[a:e]) for a, e in zip([0, *ends], ends)])
+            for own, other in (chunks, chunks[::-1]):
+                run = best = 0
+                for c in own:
+                    run = run + len(c) if c in set(other) else 0
+                    best = max(best, run)
+                assert best >= 16, (period, best)
