@@ -90,6 +90,16 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     with a null id makes hits but isn't listed; rows alike in id and text get the same result, each its own row. Empty
     tables give no hits or no rows. Other columns are ignored.
     """
+    return _judged(df, benchmark, window, k, doc_id, text, item_id, item_text).drop("key")
+
+
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """A document's id, text hash and length, each told from a null."""
+    return F.concat_ws(":", *[F.coalesce(c.cast("string"), F.lit("-")) for c in (doc_id, F.hex(F.xxhash64(text)), F.length(text))])
+
+
+def _judged(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``contamination`` with the ``key`` of every row."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(item_text)).alias("words")).where(F.size("words") > 0)
     items = items.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x))).withColumn("n", F.least(F.size("words"), F.lit(window)))
     items = written(items, "items")
@@ -102,7 +112,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     prints = F.broadcast(prints) if few else prints
 
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("key", F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64("text")), F.length("text").cast("string")))
+    rows = rows.withColumn("key", _row_key(F.col("doc_id"), F.col("text")))
     cut = rows.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
     marks = _with_fingerprints(cut, lengths, k).select("key", "doc_id", F.size("words").cast("long").alias("n_words"), F.posexplode_outer("prints").alias("at", "f"))
     met = prints.withColumnRenamed("f", "pf").withColumn("met", F.lit(1))
@@ -131,12 +141,13 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int
     out = all_docs.join(result, "key", "left").withColumn("_t", F.explode(F.sequence(F.lit(1), F.col("times"))))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     items = F.coalesce(F.col("items"), F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), (n_hit > 0).alias("contaminated"))
+    return out.select("key", "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"), (n_hit > 0).alias("contaminated"))
 
 
 def clean_documents(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``df`` whose document has no hit, with its columns."""
-    bad = contamination(df, benchmark, **options).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    """The rows of ``df`` whose own text has no hit, with its columns; other rows of the same or a null doc_id stay."""
+    bad = _judged(df, benchmark, **options).where("contaminated").select(F.col("key").alias("_bad")).distinct()
     bad = written(bad, "contaminated")
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_DOCUMENTS else bad
-    return df.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    key = _row_key(F.col(options.get("doc_id", "doc_id")), F.col(options.get("text", "text")))
+    return df.join(bad, key == F.col("_bad"), "left_anti")

@@ -281,3 +281,12 @@ def test_repeating_phrases_are_cut_alike_wherever_they_stand():
                     run = run + len(c) if c in set(other) else 0
                     best = max(best, run)
                 assert best >= 16, (period, best)
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    bad = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, f"so {bad}", 1), (None, "a clean text", 2), (None, None, 3), (5, bad, 4), (5, "another clean text", 5), (6, "and one more", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    benchmark = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    got = decontaminate.clean_documents(df, benchmark).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr(r) for r in rows if r[2] not in (1, 4))
