@@ -101,7 +101,7 @@ def bucket_keys(symbols: np.ndarray, m: int) -> np.ndarray:
 
 
 _SIG = [f"s{i}" for i in range(LONGS)]
-_FEATURES = "doc_id long, n_shingles long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG)
+_FEATURES = "doc_id long, place long, n_shingles long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG)
 
 
 def _features(df: DataFrame, k: int) -> DataFrame:
@@ -109,14 +109,14 @@ def _features(df: DataFrame, k: int) -> DataFrame:
         cut = Shingles(k)
         for batch in batches:
             n, whole, sigs = [], [], []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(2).to_pylist():
                 s = cut.of(t)
                 n.append(len(s))
                 whole.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
                 sigs.append(signature(s).view(np.int64) if len(s) else np.zeros(LONGS, np.int64))
             w, s = np.array(whole, np.int64).reshape(-1, 2), np.array(sigs, np.int64).reshape(-1, LONGS)
-            columns = [batch.column(0), pa.array(n, pa.int64()), *[pa.array(w[:, i]) for i in (0, 1)], *[pa.array(np.ascontiguousarray(s[:, i])) for i in range(LONGS)]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "h0", "h1", *_SIG])
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), *[pa.array(w[:, i]) for i in (0, 1)], *[pa.array(np.ascontiguousarray(s[:, i])) for i in range(LONGS)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n_shingles", "h0", "h1", *_SIG])
 
     return df.mapInArrow(run, _FEATURES)
 
@@ -149,7 +149,7 @@ def _differing(a: str, b: str) -> Column:
 
 
 def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(id, set) of the given ids: their texts' shingles, cut again."""
+    """(id, set) of the given ids of classes: the shingles of the texts of those hashes, cut again."""
     ids = written(ids.distinct(), "compared")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
@@ -159,7 +159,7 @@ def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
             found = [cut.of(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
 
-    texts = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").select("doc_id", "text")
+    texts = docs.join(ids, docs["place"] == ids["id"], "left_semi").select("place", "text")
     return written(texts.mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
 
 
@@ -227,17 +227,25 @@ def near_duplicates(df: DataFrame, shingle_words: int = 5, percent: int = 80, do
     Texts are lower-cased in A-Z and cut at ASCII white space; a text of fewer words than a shingle is one shingle; a
     text without words has none and is linked with nothing. Texts are linked if 100 * common >= percent * union of
     their sets; component_id is the smallest doc_id reachable and kept says that the row's doc_id is that. Equal sets
-    are one class from the start. Rows that share a doc_id are one document; a null doc_id is never the smallest, and a
-    row of one stays if its class has no other. Other columns are ignored; an empty table gives an empty one.
+    are one class from the start. Each row is judged by its own text, whatever others share its doc_id; a null doc_id is
+    never the smallest, and a row of one is kept if its component has no other. Other columns are ignored; an empty
+    table gives an empty one.
     """
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _grouped(df, shingle_words, percent, doc_id, text).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, place (the text's hash), n_shingles, component (null without shingles) and component_id of every row.
+
+    A class goes by the smallest hash of its texts, and so does a component; ids of documents play no part in it.
+    """
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
     each = written(_features(docs, shingle_words), "features")
     radius, m = radius_and_chunks(percent / 100)
-    classes = each.where("n_shingles > 0").groupBy("h0", "h1").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in _SIG])
+    classes = each.where("n_shingles > 0").groupBy("h0", "h1").agg(F.min("place").alias("id"), F.min("doc_id").alias("least_doc"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in _SIG])
     classes = written(classes, "classes")
-    texts = docs.where(F.col("doc_id").isNotNull())
 
-    index = _keys(classes.where("id is not null"), m)
+    index = _keys(classes, m)
     bucket = Window.partitionBy("key")
     shared = index.select("key", "id", F.count("*").over(bucket).alias("n")).where("n > 1")
     shared = written(shared, "buckets")
@@ -255,7 +263,7 @@ def near_duplicates(df: DataFrame, shingle_words: int = 5, percent: int = 80, do
     stars = stars.select("id", F.explode(F.array("centre", "least")).alias("other")).where("id <> other")
     stars = stars.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     stars = written(stars.join(signed("a"), "a").join(signed("b"), "b").where(within("a", "b")).select("a", "b"), "pairs")
-    full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), texts, shingle_words)
+    full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), docs, shingle_words)
     links = _linked(stars, full, percent)
     found = components(links)
 
@@ -272,21 +280,32 @@ def near_duplicates(df: DataFrame, shingle_words: int = 5, percent: int = 80, do
         return side("a").join(side("b"), on).where(test).select("a", "b")
 
     large = written(several.where(F.col("n") > SMALL_BUCKET).select("id", "component").distinct(), "large")
-    rare = _rare_shingles(_sets(large.select("id"), texts, shingle_words), classes.select("id", "n"), percent).join(large, "id")
+    rare = _rare_shingles(_sets(large.select("id"), docs, shingle_words), classes.select("id", "n"), percent).join(large, "id")
     rest = apart(several.where(F.col("n") <= SMALL_BUCKET), "key").union(apart(rare, "shingle", ["place"])).distinct()
     rest = written(rest.join(stars, ["a", "b"], "left_anti"), "pairs")
-    full = _sets(rest.select(F.col("a").alias("id")).union(rest.select("b")), texts, shingle_words)
+    full = _sets(rest.select(F.col("a").alias("id")).union(rest.select("b")), docs, shingle_words)
     links = links.union(_linked(rest, full, percent))
     found = components(links)
 
-    own = classes.select("h0", "h1", F.col("id").alias("class"))
-    out = each.select("doc_id", "n_shingles", "h0", "h1").join(own, ["h0", "h1"], "left").join(found.withColumnRenamed("id", "class"), "class", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "class"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = classes.select("h0", "h1", "id", "least_doc").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = own.groupBy("component").agg(F.min("least_doc").alias("component_id"))
+    own = own.join(least, "component").select("h0", "h1", "component", "component_id")
+    out = each.select("doc_id", "place", "n_shingles", "h0", "h1").join(own, ["h0", "h1"], "left")
+    alone = F.col("n_shingles") == 0
+    return out.select("doc_id", "place", "n_shingles", F.when(~alone, F.col("component")).alias("component"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
 
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``df`` with one row of each component, that of the smallest (doc_id, text hash), nulls last, with its columns.
 
-def one_of_each(df: DataFrame, **options) -> DataFrame:
-    """The rows of ``df`` that near_duplicates keeps, with its columns; rows without a doc_id all stay."""
-    gone = written(near_duplicates(df, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "copies")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return df.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    Of rows alike in both any one stays. Rows without words are linked with nothing and all stay.
+    """
+    rows = written(_grouped(df, doc_id=doc_id, text=text, **options).where("component is not null").groupBy("component", "doc_id", "place").agg(F.count("*").alias("times")), "rows")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
+    told = rows.join(first, "component").select(F.col("doc_id").alias("_doc"), F.col("place").alias("_place"), same.alias("_first"), "times")
+    told = written(told.where("not _first or times > 1"), "copies")
+    told = F.broadcast(told) if told.count() <= BROADCAST_IDS else told
+    on = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_place"))
+    copies = df.join(told.where("_first"), on).withColumn("_place", F.xxhash64(text)).select(*df.columns, "_doc", "_place")
+    return df.join(told, on, "left_anti").unionByName(copies.dropDuplicates(["_doc", "_place"]).select(*df.columns))

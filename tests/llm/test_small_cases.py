@@ -290,3 +290,13 @@ def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
     benchmark = spark.createDataFrame([(1, bad)], "item_id long, text string")
     got = decontaminate.clean_documents(df, benchmark).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(repr(r) for r in rows if r[2] not in (1, 4))
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a, 1), (1, a, 2), (None, a, 3), (None, b, 4), (None, b, 5), (None, b + " end", 6), (2, c, 7), (2, d, 8), (3, c + " end", 9), (4, d + " end", 10), (5, "", 11), (None, None, 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = [r.n for r in neardup.one_of_each(df).collect()]
+    assert len(kept) == len(set(kept)) == 6 and {7, 8, 11, 12} <= set(kept) and len({1, 2} & set(kept)) == 1 and len({4, 5, 6} & set(kept)) == 1
+    got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()}
+    assert {(3, 2), (4, 2), (None, None), (None, 1)} <= got
