@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 FEATURES = 1 << 16
 ORDERS = 3
 UNKNOWN = "und"
-#: Labelled documents a language that the fit may use (its bound), and languages at most; the rest of the corpus is used for the frequencies.
-SAMPLE, LANGUAGES = 400, 200
+#: Labelled documents a language that the fit may use (its bound); of more than LANGUAGES languages each has fewer, but
+#: LEAST at least. All languages are learned; the rest of the corpus is used for the frequencies.
+SAMPLE, LANGUAGES, LEAST = 400, 200, 20
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 0.5, 1.0, 1e-3, 1e-4, 6, 16
 
 
@@ -137,16 +138,18 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _sample(docs: DataFrame) -> DataFrame:
-    """About SAMPLE learnable documents of each language, by a hash of the id: the same ones in every run."""
-    counts = docs.groupBy("lang").agg(F.count("*").alias("of_lang")).orderBy(F.desc("of_lang"), "lang").limit(LANGUAGES)
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
-    return docs.join(F.broadcast(counts), "lang").where(place * F.col("of_lang") < SAMPLE).select("doc_id", "lang", "text")
+    """About SAMPLE learnable documents of each language, fewer of many, by a hash of id and text: the same in every run."""
+    counts = docs.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    most = max(LEAST, SAMPLE * LANGUAGES // max(LANGUAGES, counts.count()))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
+    return docs.join(F.broadcast(counts), "lang").where(place * F.col("of_lang") < most).select("doc_id", "lang", "text")
 
 
 def fit(docs: DataFrame) -> Model | None:
     """A model from learnable documents (doc_id, lang, text); None if they show no language.
 
-    The sample reaches the driver as features, at most 2^16 a document, about SAMPLE documents a language.
+    The sample reaches the driver as features, at most 2^16 a document, about SAMPLE documents a language; the weights
+    take 2^16 numbers a language.
     """
     n, df = document_frequencies(docs.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1

@@ -300,3 +300,11 @@ def test_one_row_of_each_component_stays(spark):
     assert len(kept) == len(set(kept)) == 6 and {7, 8, 11, 12} <= set(kept) and len({1, 2} & set(kept)) == 1 and len({4, 5, 6} & set(kept)) == 1
     got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()}
     assert {(3, 2), (4, 2), (None, None), (None, 1)} <= got
+
+
+def test_every_language_is_sampled_and_shared_ids_are_not_all_or_none(spark):
+    rows = [(i, f"l{i % 230:03}", f"text {i}") for i in range(690)]
+    got = langid._sample(spark.createDataFrame(rows, "doc_id long, lang string, text string")).select("lang").distinct().count()
+    assert got == 230
+    one_id = spark.createDataFrame([(7, "en", f"text {i}") for i in range(4000)], "doc_id long, lang string, text string")
+    assert 300 < langid._sample(one_id).count() < 500
