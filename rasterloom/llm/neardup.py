@@ -7,28 +7,32 @@ chunk is therefore indexed once per symbol left out: all pairs within the radius
 
 Buckets are not expanded into pairs. First every member is compared with two of its bucket, the one whose buckets are
 the fullest (the likely original of a group of copies) and the smallest, and links are joined into components. What is
-left are buckets that still hold several components. Small ones are joined pair by pair. For the members of large ones
-nothing is left out either, but two sets of the wanted similarity must share one of their rarest shingles (as many as
-may differ, plus one), so they are joined on these. Both joins ask that components differ and signatures lie within the
-radius. Links count after both full sets are compared.
+left are buckets that still hold several components. In those of up to PAIRED members signatures are compared in the
+join. Members of larger ones are put into tiles of bounded size, a large component into tiles of its own, and each two
+tiles that meet in a bucket are compared in one go, but never tiles of one component; there too a pair must lie within
+the radius. Links count after both full sets are compared.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.llm.shared import written
 
 SYMBOLS, LONGS = 64, 16
-#: Buckets of several components with up to so many members are joined pair by pair, larger ones by rare shingles.
-SMALL_BUCKET = 16
+#: Members up to which the pairs of a bucket of several components are compared in the join; those of larger ones go by tiles.
+PAIRED = 32
+#: Weight of a tile: each member weighs 1, and 1 more per 1,000 shingles.
+TILE = 256
+#: Rows of one value in a task of a join, beyond which its rows are dealt over several.
+DEALT = 4096
 #: Documents whose texts are compared, up to which their ids are broadcast (16 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Distinct words that a worker remembers before it starts anew.
@@ -163,41 +167,134 @@ def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return written(texts.mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
 
 
+def _often(pairs: DataFrame, on: str) -> DataFrame | None:
+    """(on, parts) of the values of ``on`` with more than DEALT rows; None if there are none."""
+    often = written(pairs.groupBy(on).agg(F.ceil(F.count("*") / DEALT).cast("int").alias("parts")).where("parts > 1"), "often")
+    n = often.count()
+    return None if n == 0 else F.broadcast(often) if n <= BROADCAST_IDS else often
+
+
+def _met(pairs: DataFrame, side: DataFrame, on: str, other: str, often: DataFrame | None) -> DataFrame:
+    """``pairs`` joined with the one row of ``side`` per value of ``on``; a value of ``often`` is dealt over several tasks."""
+    if often is None:
+        return pairs.join(side, on)
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = pairs.join(often, on, "left").withColumn("_part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
+    copies = side.join(often, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(copies, [on, "_part"]).drop("_part")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _linked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of ids those whose full sets are similar enough."""
-    both = pairs.join(full.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    """Of the pairs (a, b) of ids, of which b may be anything often, those whose full sets are similar enough."""
+    side = lambda p, x: full.select(F.col("id").alias(p), F.col("set").alias(x))
+    both = _met(pairs.join(side("a", "x"), "a"), side("b", "y"), "b", "a", _often(pairs, "b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sets = ((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3)))
+            keep = pa.array([_similar(x, y, percent) for x, y in sets], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
 
     return written(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "links")
 
 
-def _rare_shingles(full: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(id, shingle, place): of each set the rarest shingles, one more than may differ in a similar set.
+def _tiles(large: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, component, tile, own) of the members of large buckets (key, id, n, component), and the tiles (ta, tb) to compare.
 
-    Any one order of all shingles makes this exact; here the rarest among these sets come first. A shingle of one set
-    only meets nothing and is not returned, but it takes a place: such ones lead, and ``place`` counts them.
+    A member belongs to its fullest bucket; a component with enough members there has tiles of its own (``own``), others
+    share some. Two tiles are compared if they meet in a bucket and are not one component's. In each bucket the component
+    with the most tiles is joined to the others only, so at most as many pairs are looked at in vain as are compared.
     """
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = np.frombuffer(x.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i, np.int64)), pa.array(s)], names=["id", "shingle"])
-
-    each = written(full.select("id", "set").mapInArrow(explode, "id long, shingle long"), "shingles")
-    often = each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
-    rare = each.join(often, "shingle").join(sizes, "id")
-    own = Window.partitionBy("id")
-    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "shingle")) - 1
-    return rare.withColumn("place", place).where(100 * F.col("place") <= (100 - percent) * F.col("n")).select("id", "shingle", "place")
+    member = large.groupBy("id").agg(F.max(F.struct("n", "key"))["key"].alias("home"), F.first("component").alias("component"))
+    member = written(member.join(sizes, "id").withColumn("weight", 1 + F.col("n") / 1000), "members")
+    parts = lambda w: F.ceil(F.col(w) / TILE)
+    each = member.groupBy("home", "component").agg(F.sum("weight").alias("w"))
+    shared = each.where(F.col("w") < TILE).groupBy("home").agg(F.sum("w").alias("shared"))
+    placed = member.join(each.join(shared, "home", "left"), ["home", "component"])
+    own = F.when(F.col("w") >= TILE, F.col("component"))
+    tile = F.when(own.isNotNull(), F.xxhash64("home", "component", F.pmod(F.xxhash64("id"), parts("w")))).otherwise(F.xxhash64("home", F.pmod(F.xxhash64("component"), parts("shared"))))
+    placed = written(placed.select("id", "component", tile.alias("tile"), own.alias("own")), "tiles")
+
+    spread = written(large.join(placed.select("id", "tile", "own"), "id").groupBy("key", "tile").agg(F.first("own").alias("own")), "spread")
+    most = spread.where("own is not null").groupBy("key", "own").agg(F.count("*").alias("tiles")).groupBy("key").agg(F.max_by("own", F.struct("tiles", "own")).alias("most"))
+    spread = spread.join(most, "key", "left")
+    main = F.coalesce(F.col("own") == F.col("most"), F.lit(False))
+    others = spread.where(~main).select("key", F.col("tile").alias("tb"), F.col("own").alias("ob"))
+    ordered = lambda df: df.select(F.least("ta", "tb").alias("ta"), F.greatest("ta", "tb").alias("tb"))
+    first = ordered(spread.where(main).select("key", F.col("tile").alias("ta")).join(others, "key"))
+    left = others.select("key", F.col("tb").alias("ta"), F.col("ob").alias("oa"))
+    second = ordered(left.join(others, "key").where("ta <= tb and not coalesce(oa = ob, false)"))
+    return placed, written(first.union(second).distinct(), "tile-pairs")
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each of the sets x with each of y."""
+    of = lambda sets: (np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets))
+    (i, a), (j, b) = of(x), of(y)
+    words = np.intersect1d(a, b)
+    out = np.zeros((len(x), len(y)), np.int64)
+
+    def columns(rows: int, i: np.ndarray, a: np.ndarray, part: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(part, a)
+        there = part[np.minimum(at, len(part) - 1)] == a
+        grid = np.zeros((rows, len(part)), np.float32)
+        grid[i[there], at[there]] = 1
+        return grid
+
+    for k in range(0, len(words), step):
+        part = words[k : k + step]
+        out += (columns(len(x), i, a, part) @ columns(len(y), j, b, part).T).astype(np.int64)
+    return out
+
+
+def _forest(linked: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids that join what the matrix of links between x and y joins; fewer than x and y together."""
+    none = len(x)
+    own, other = np.where(linked.any(1), np.arange(len(x)), none), np.full(len(y), none)
+    while True:
+        after = np.where(linked, own[:, None], none).min(0, initial=none)
+        own_after = np.minimum(own, np.where(linked, after[None], none).min(1, initial=none))
+        if (own_after == own).all() and (after == other).all():
+            break
+        own, other = own_after, after
+    ids, root = np.concatenate([x, y]), np.concatenate([own, other])
+    ids, root = ids[root < none], root[root < none]
+    keep = ids != x[root]
+    return ids[keep], x[root[keep]]
+
+
+def _compared_tiles(rows: DataFrame, pairs: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Links between members (tile, id, component, n, signature, set) of the tiles (ta, tb)."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        number = lambda c: table.column(c).to_numpy()
+        side, ids, part, n = number("side"), number("id"), number("component"), number("n")
+        symbols = np.ascontiguousarray(np.stack([number(s) for s in _SIG], axis=1)).view(np.uint16).reshape(len(ids), SYMBOLS)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        same = not len(y)  # a tile with itself
+        y = x if same else y
+        apart = np.zeros((len(x), len(y)), np.uint8)
+        for s in range(SYMBOLS):
+            apart += symbols[x, s][:, None] != symbols[y, s][None]
+        near = (apart <= radius) & (part[x][:, None] != part[y][None])
+        near &= 100 * np.minimum(n[x][:, None], n[y][None]) >= percent * np.maximum(n[x][:, None], n[y][None])
+        x, y, near = x[near.any(1)], y[near.any(0)], near[near.any(1)][:, near.any(0)]
+        a = b = np.zeros(0, np.int64)
+        if len(x):
+            sets = table.column("set").combine_chunks()
+            cut = lambda rows: [np.frombuffer(sets[i].as_buffer(), np.uint64) for i in rows.tolist()]
+            common = _common(cut(x), cut(y))
+            a, b = _forest(near & (100 * common >= percent * (n[x][:, None] + n[y][None] - common)), ids[x], ids[y])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    of = lambda p, k: p.join(rows, F.col("ta" if k == 0 else "tb") == F.col("tile")).drop("tile").withColumn("side", F.lit(k))
+    both = of(pairs, 0).unionByName(of(pairs.where("ta <> tb"), 1))
+    return written(both.groupBy("ta", "tb").applyInArrow(compare, "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -207,16 +304,17 @@ def components(links: DataFrame) -> DataFrame:
     smaller ones; it ends when every id hangs at its component's smallest. Each round is a written table.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    while not edges.isEmpty():
+    mark = lambda: tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())
+    before = mark()
+    while before[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        after = written(small.where("u <> v").distinct(), "edges")
-        same = after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
-        edges = after
-        if same:
+        edges = written(small.where("u <> v").distinct(), "edges")
+        after, before = before, mark()
+        if after == before:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
@@ -246,9 +344,8 @@ def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: s
     classes = written(classes, "classes")
 
     index = _keys(classes, m)
-    bucket = Window.partitionBy("key")
-    shared = index.select("key", "id", F.count("*").over(bucket).alias("n")).where("n > 1")
-    shared = written(shared, "buckets")
+    filled = index.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
+    shared = written(index.join(filled, "key"), "buckets")
 
     def within(a: str, b: str) -> Column:
         sizes = 100 * F.least(f"{a}n", f"{b}n") >= percent * F.greatest(f"{a}n", f"{b}n")
@@ -257,34 +354,33 @@ def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: s
     def signed(p: str) -> DataFrame:
         return classes.select(F.col("id").alias(p), F.col("n").alias(f"{p}n"), *[F.col(s).alias(f"{p}{s}") for s in _SIG])
 
-    full_buckets = shared.groupBy("id").agg(F.sum("n").alias("weight"))
-    centre = F.max(F.struct("weight", (-F.col("id")).alias("id"))).over(bucket)
-    stars = shared.join(full_buckets, "id").select("key", "id", (-centre["id"]).alias("centre"), F.min("id").over(bucket).alias("least"))
-    stars = stars.select("id", F.explode(F.array("centre", "least")).alias("other")).where("id <> other")
-    stars = stars.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    stars = written(stars.join(signed("a"), "a").join(signed("b"), "b").where(within("a", "b")).select("a", "b"), "pairs")
+    weighted = shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id")
+    centres = weighted.groupBy("key").agg((-F.max(F.struct("weight", (-F.col("id")).alias("id")))["id"]).alias("centre"))
+    stars = shared.join(centres, "key").select(F.col("id").alias("a"), F.explode(F.array_distinct(F.array("centre", "least"))).alias("b"))
+    stars = written(stars.where("a <> b").distinct(), "stars")
+    near = _met(stars.join(signed("a"), "a"), signed("b"), "b", "a", _often(stars, "b")).where(within("a", "b"))
+    stars = written(near.select("a", "b"), "pairs")
     full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), docs, shingle_words)
-    links = _linked(stars, full, percent)
-    found = components(links)
-
-    part = shared.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    several = part.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket)).where("lo <> hi")
-    several = written(several.select("key", "id", "n", "component"), "left")
-
-    def apart(rows: DataFrame, on: str, keep: Sequence[str] = ()) -> DataFrame:
-        side = lambda p: rows.select(on, F.col("id").alias(p), F.col("component").alias(f"{p}c"), *[F.col(c).alias(p + c) for c in keep]).join(signed(p), p)
-        test = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & within("a", "b")
-        if "place" in keep:  # what can still be common from there on
-            common = F.least(F.col("an") - F.col("aplace"), F.col("bn") - F.col("bplace"))
-            test = test & ((100 + percent) * common >= percent * (F.col("an") + F.col("bn")))
-        return side("a").join(side("b"), on).where(test).select("a", "b")
-
-    large = written(several.where(F.col("n") > SMALL_BUCKET).select("id", "component").distinct(), "large")
-    rare = _rare_shingles(_sets(large.select("id"), docs, shingle_words), classes.select("id", "n"), percent).join(large, "id")
-    rest = apart(several.where(F.col("n") <= SMALL_BUCKET), "key").union(apart(rare, "shingle", ["place"])).distinct()
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "pairs")
-    full = _sets(rest.select(F.col("a").alias("id")).union(rest.select("b")), docs, shingle_words)
-    links = links.union(_linked(rest, full, percent))
+    found = written(components(_linked(stars, full, percent)), "components")
+
+    part = written(shared.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component")), "parts")
+    several = part.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    several = written(part.join(several, "key"), "left")
+
+    few = several.where(F.col("n") <= PAIRED)
+    side = lambda p: few.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c")).join(signed(p), p)
+    rest = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & within("a", "b")).select("a", "b").distinct()
+    rest = written(rest.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "pairs")
+    large = several.where(F.col("n") > PAIRED)
+    ids = rest.select(F.col("a").alias("id")).union(rest.select("b"))
+    if not (none := large.isEmpty()):
+        placed, tiles = _tiles(large, classes.select("id", "n"))
+        ids = ids.union(placed.select("id"))
+    full = _sets(ids, docs, shingle_words)
+    links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(_linked(rest, full, percent))
+    if not none:
+        rows = placed.drop("own").join(classes.select("id", "n", *_SIG), "id").join(full, "id")
+        links = links.union(_compared_tiles(rows, tiles, radius, percent))
     found = components(links)
 
     own = classes.select("h0", "h1", "id", "least_doc").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))

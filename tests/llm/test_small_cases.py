@@ -308,3 +308,47 @@ def test_every_language_is_sampled_and_shared_ids_are_not_all_or_none(spark):
     assert got == 230
     one_id = spark.createDataFrame([(7, "en", f"text {i}") for i in range(4000)], "doc_id long, lang string, text string")
     assert 300 < langid._sample(one_id).count() < 500
+
+
+def test_texts_of_one_template_are_linked_as_by_all_pairs(spark):
+    import random
+
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9)))
+    base, slots = [word() for _ in range(100)], range(6, 100, 12)
+    values = {s: [word() for _ in range(6)] for s in slots}
+    rows = []
+    for i in range(300):
+        t = list(base)
+        for s in slots:
+            t[s] = rng.choice(values[s])
+        rows.append((i, " ".join(t)))
+    copies = [(1000 + i, " ".join([f"c{j}" if j != i % 60 + 3 else f"x{i}" for j in range(80)])) for i in range(400)]
+    rows += copies + [(2000, " ".join(f"c{j}" for j in range(66)))]
+    sets = {i: {tuple(w[j : j + 3]) for j in range(len(w) - 2)} for i, w in ((i, t.split()) for i, t in rows)}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {i: find(i) for i in sets}
+
+
+def test_tile_helpers():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 90, n).astype(np.uint64)) for n in (1, 20, 40, 60, 80)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[1:]] for a in sets]
+    assert neardup._common(sets, sets[1:], step=7).tolist() == want
+    linked = np.array([[0, 1, 0, 0], [0, 1, 1, 0], [0, 0, 0, 1], [0, 0, 0, 0]], bool)
+    a, b = neardup._forest(linked, np.array([1, 2, 3, 4]), np.array([5, 6, 7, 8]))
+    assert {(x, y) for x, y in zip(a.tolist(), b.tolist())} == {(2, 1), (6, 1), (7, 1), (8, 3)}
