@@ -80,7 +80,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rasterloom.llm.sharding import kd_shards
 
-    placed = kd_shards(table(spark, sf_dir, "documents"), shards=40, law="bytes")
+    placed = kd_shards(table(spark, sf_dir, "documents"), shards=40, law="bytes", dimensions=("n_chars",), categories=("source", "lang"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

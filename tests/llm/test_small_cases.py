@@ -132,6 +132,43 @@ def test_shards_are_near_equal_and_slots_gapless(spark):
     assert all(sorted(r.slot for r in x) == list(range(len(x))) for x in by.values())
 
 
+def test_shards_are_a_k_d_tree_by_brute_force(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, rng.choice("aé") * rng.randint(1, 300) + " " * rng.randint(0, 80), rng.choice("pqr"), rng.randint(1, 10**6)) for i in range(800)]
+    rows += [(1000 + i, "copied text", rng.choice("pqr"), rng.randint(1, 10**6)) for i in range(300)] + [(2000 + i, f"pair {i // 2}", None, None) for i in range(60)]
+    seen = {}
+    real = sharding.written
+    monkeypatch.setattr(sharding, "written", lambda df, label: seen.setdefault(label, real(df, label)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    out = sharding.kd_shards(df, 10, dimensions=("n",), categories=("source",)).collect()
+    places = {r.doc_id: r for r in seen["placed"].collect()}
+    leaves = {r.doc_id: r.shard for r in seen["leaves"].collect()}
+    text = {r[0]: r[1] for r in rows}
+    assert all(len({tuple(places[i].place) for i in text if text[i] == t}) == 1 for t in set(text.values()))
+
+    def grow(ids, first, shards):
+        if shards == 1:
+            return dict.fromkeys(ids, first)
+        widths = [max(places[i].place[a] for i in ids) - min(places[i].place[a] for i in ids) for a in range(4)]
+        axis = widths.index(max(widths))
+        key = {i: (places[i].place[axis] << 20) + places[i].group for i in ids}
+        want = sum(places[i]["size"] for i in ids) * (shards // 2) / shards
+        cuts = [-1, *sorted(set(key.values()))]
+        held = {c: sum(places[i]["size"] for i in ids if key[i] <= c) for c in cuts}
+        cut = min(cuts, key=lambda c: (abs(held[c] - want), -c))
+        parts = [i for i in ids if key[i] <= cut], [i for i in ids if key[i] > cut]
+        return grow(parts[0], first, shards // 2) | grow(parts[1], first + shards // 2, shards - shards // 2)
+
+    assert leaves == grow(list(places), 0, 10)
+    sizes = collections.Counter()
+    for r in out:
+        sizes[r.shard] += r.size
+    assert max(sizes.values()) / min(sizes.values()) < 1.02 and {r.doc_id for r in out} == set(text)
+    assert len({r.shard for r in out if text[r.doc_id] == "copied text"}) <= 3
+
+
 def test_mixing_targets(spark):
     rows = [(i, "w " * (i % 40 + 1), f"s{i % 7}" if i % 11 else None) for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
