@@ -24,15 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.shared import written
+from rasterloom.llm.shared import met, often, written
 
 SYMBOLS, LONGS = 64, 16
 #: Members up to which the pairs of a bucket of several components are compared in the join; those of larger ones go by tiles.
 PAIRED = 32
 #: Weight of a tile: each member weighs 1, and 1 more per 1,000 shingles.
 TILE = 256
-#: Rows of one value in a task of a join, beyond which its rows are dealt over several.
-DEALT = 4096
 #: Documents whose texts are compared, up to which their ids are broadcast (16 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Distinct words that a worker remembers before it starts anew.
@@ -167,23 +165,6 @@ def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return written(texts.mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
 
 
-def _often(pairs: DataFrame, on: str) -> DataFrame | None:
-    """(on, parts) of the values of ``on`` with more than DEALT rows; None if there are none."""
-    often = written(pairs.groupBy(on).agg(F.ceil(F.count("*") / DEALT).cast("int").alias("parts")).where("parts > 1"), "often")
-    n = often.count()
-    return None if n == 0 else F.broadcast(often) if n <= BROADCAST_IDS else often
-
-
-def _met(pairs: DataFrame, side: DataFrame, on: str, other: str, often: DataFrame | None) -> DataFrame:
-    """``pairs`` joined with the one row of ``side`` per value of ``on``; a value of ``often`` is dealt over several tasks."""
-    if often is None:
-        return pairs.join(side, on)
-    parts = F.coalesce("parts", F.lit(1))
-    dealt = pairs.join(often, on, "left").withColumn("_part", F.pmod(F.xxhash64(other), parts).cast("int")).drop("parts")
-    copies = side.join(often, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
-    return dealt.join(copies, [on, "_part"]).drop("_part")
-
-
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= percent * (len(x) + len(y) - common)
@@ -192,7 +173,7 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def _linked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of ids, of which b may be anything often, those whose full sets are similar enough."""
     side = lambda p, x: full.select(F.col("id").alias(p), F.col("set").alias(x))
-    both = _met(pairs.join(side("a", "x"), "a"), side("b", "y"), "b", "a", _often(pairs, "b"))
+    both = met(pairs.join(side("a", "x"), "a"), side("b", "y"), ["b"], ["a"], often(pairs, ["b"]))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +339,7 @@ def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: s
     centres = weighted.groupBy("key").agg((-F.max(F.struct("weight", (-F.col("id")).alias("id")))["id"]).alias("centre"))
     stars = shared.join(centres, "key").select(F.col("id").alias("a"), F.explode(F.array_distinct(F.array("centre", "least"))).alias("b"))
     stars = written(stars.where("a <> b").distinct(), "stars")
-    near = _met(stars.join(signed("a"), "a"), signed("b"), "b", "a", _often(stars, "b")).where(within("a", "b"))
+    near = met(stars.join(signed("a"), "a"), signed("b"), ["b"], ["a"], often(stars, ["b"])).where(within("a", "b"))
     stars = written(near.select("a", "b"), "pairs")
     full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), docs, shingle_words)
     found = written(components(_linked(stars, full, percent)), "components")

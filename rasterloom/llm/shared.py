@@ -33,6 +33,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of one value in a task of a join, beyond which they are dealt over several; rows of a side up to which it is broadcast.
+DEALT, BROADCAST_ROWS = 4096, 1_000_000
+
+
+def often(rows: DataFrame, on: list[str]) -> DataFrame | None:
+    """The values of ``on`` with more than DEALT rows, with the ``parts`` to deal them into; None if there are none."""
+    found = written(rows.groupBy(*on).agg(F.ceil(F.count("*") / DEALT).cast("int").alias("parts")).where("parts > 1"), "often")
+    n = found.count()
+    return None if n == 0 else F.broadcast(found) if n <= BROADCAST_ROWS else found
+
+
+def met(rows: DataFrame, side: DataFrame, on: list[str], spread: list[str], many: DataFrame | None) -> DataFrame:
+    """``rows`` joined with the one row of ``side`` per value of ``on``; the values in ``many`` (see ``often``) are dealt
+    over several tasks by a hash of ``spread``, with a copy of their row of ``side`` each."""
+    if many is None:
+        return rows.join(side, on)
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = rows.join(many, on, "left").withColumn("_part", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("parts")
+    copies = side.join(many, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return dealt.join(copies, [*on, "_part"]).drop("_part")
+
+
 def top_bits(hash_col: Column, bits: int) -> Column:
     """The leading bits of a signed 64-bit hash as a number whose order is that of the hash."""
     return F.shiftrightunsigned(hash_col.bitwiseXOR(F.lit(-(2**63))), 64 - bits).cast("int")

@@ -73,20 +73,23 @@ def test_secret_scan(spark, sf_dir, documents):
 
 def test_chunk_repeats(spark, sf_dir, documents):
     got = {r.doc_id: r for r in queries.op9_chunk_dedup(spark, sf_dir).collect()}
-    grams = collections.defaultdict(set)
-    for i, t, *_ in documents:
-        w = (t or "").split()
-        for j in range(len(w) - 50):
-            grams[tuple(w[j : j + 51])].add(i)
-    shared = set().union(*[s for s in grams.values() if len(s) > 1])
-    assert len(shared) and sum(got[i].repeated for i in shared) >= 0.99 * len(shared)
-    short = collections.defaultdict(set)
-    for i, t, *_ in documents:
-        w = (t or "").split()
-        for j in range(len(w) - 15):
-            short[tuple(w[j : j + 16])].add((i, j))
-    some = {i for s in short.values() if len(s) > 1 for i, _ in s}
-    assert all(i in some for i, r in got.items() if r.repeated)
+    words = {i: (t or "").split() for i, t, *_ in documents}
+
+    def places(n):
+        found = collections.defaultdict(set)
+        for i, w in words.items():
+            for j in range(len(w) - n + 1):
+                found[tuple(w[j : j + n])].add((i, j))
+        return found
+
+    shared = set().union(*[{i for i, _ in s} for s in places(51).values() if len({i for i, _ in s}) > 1])
+    assert len(shared) and all(got[i].repeated for i in shared)
+    short = places(16)
+    for i, r in got.items():
+        spans = [tuple(map(int, s.split(":"))) for s in r.spans.split(",") if s]
+        assert r.n_words == len(words[i]) and r.repeat_words == sum(e - a for a, e in spans) and spans == sorted(spans)
+        for a, e in spans:
+            assert all(len(short[tuple(words[i][j : j + 16])]) > 1 for j in range(a, e - 15)), (i, a, e)
 
 
 def test_mix_and_shards_cover_every_document(spark, sf_dir, documents):

@@ -311,13 +311,14 @@ def test_repeating_phrases_are_cut_alike_wherever_they_stand():
                 words = before + passage + after
                 ends = substring.cut(words, gear)
                 assert ends[-1] == len(words) and ends == sorted(set(ends))
-                chunks.append([tuple(words[a:e]) for a, e in zip([0, *ends], ends)])
-            for own, other in (chunks, chunks[::-1]):
-                run = best = 0
-                for c in own:
-                    run = run + len(c) if c in set(other) else 0
-                    best = max(best, run)
-                assert best >= 16, (period, best)
+                chunks.append({tuple(words[a:e]) for a, e in substring.units(ends, 16)})
+            assert chunks[0] & chunks[1], (period, phrase)
+
+
+def test_units_overlap_and_reach_the_end():
+    assert substring.units([], 16) == [] and substring.units([9, 15], 16) == [] and substring.units([9, 18], 16) == [(0, 18)]
+    got = substring.units([5, 10, 20, 26, 40, 43], 16)
+    assert got == [(0, 20), (5, 26), (10, 40), (20, 43)] and substring.units([5, 21, 30], 16) == [(0, 21), (0, 30)]
 
 
 def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
