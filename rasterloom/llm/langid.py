@@ -22,7 +22,10 @@ ORDERS = 3
 UNKNOWN = "und"
 #: Labelled documents a language that the fit may use (its bound); of more than LANGUAGES languages each has fewer, but
 #: LEAST at least. All languages are learned; the rest of the corpus is used for the frequencies.
-SAMPLE, LANGUAGES, LEAST = 400, 200, 20
+SAMPLE, LANGUAGES, LEAST = 400, 50, 20
+#: Features of a document that the fit may use (the weightiest; about that many different ones are in 20,000 letters), so
+#: that the driver holds 64 kB a document at most. Scores use all.
+FIT_FEATURES = 8192
 ALPHA, BETA, L1, L2, EPOCHS, BATCH = 0.5, 1.0, 1e-3, 1e-4, 6, 16
 
 
@@ -50,8 +53,8 @@ def _letters(text: str | None) -> np.ndarray | None:
     return np.concatenate([np.zeros(1, np.uint32), c[keep]])
 
 
-def _grams(letters: np.ndarray) -> np.ndarray:
-    """Hashed n-grams that end in ``letters``; all of the orders that fit."""
+def _grams(letters: np.ndarray, known: int = 0) -> np.ndarray:
+    """Hashed n-grams of all orders that end in ``letters`` behind the first ``known``."""
     c, out = letters.astype(np.uint64), []
     h = np.zeros(len(c), np.uint64)
     for n in range(1, ORDERS + 1):
@@ -59,15 +62,15 @@ def _grams(letters: np.ndarray) -> np.ndarray:
             break
         h = (h[: len(c) - n + 1] + c[n - 1 :] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-        out.append((h >> np.uint64(11)).astype(np.int64) & (FEATURES - 1))
+        out.append((h[max(0, known - n + 1) :] >> np.uint64(11)).astype(np.int64) & (FEATURES - 1))
     return np.concatenate(out)
 
 
 def term_frequencies(text: str | None, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray] | None:
     """(features, root of their share) of the whole text; None if it has no letter.
 
-    A long text is hashed in stretches that overlap by what an n-gram needs, so memory does not grow with it; n-grams
-    inside an overlap are counted once more, one in a hundred thousand.
+    A long text is hashed in stretches that begin with the letters that an n-gram needs from the one before, so memory
+    does not grow with it; each n-gram is counted where it ends.
     """
     if (c := _letters(text)) is None:
         return None
@@ -76,7 +79,8 @@ def term_frequencies(text: str | None, step: int = 1 << 20) -> tuple[np.ndarray,
     else:
         total = np.zeros(FEATURES, np.int64)
         for i in range(0, len(c), step):
-            total += np.bincount(_grams(c[max(0, i - ORDERS + 1) : i + step]), minlength=FEATURES)
+            known = min(i, ORDERS - 1)
+            total += np.bincount(_grams(c[i - known : i + step], known), minlength=FEATURES)
         ids = np.flatnonzero(total)
         n = total[ids]
     return ids, np.sqrt(n / n.sum())
@@ -148,8 +152,8 @@ def _sample(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame) -> Model | None:
     """A model from learnable documents (doc_id, lang, text); None if they show no language.
 
-    The sample reaches the driver as features, at most 2^16 a document, about SAMPLE documents a language; the weights
-    take 2^16 numbers a language.
+    The sample reaches the driver as features, at most FIT_FEATURES a document, about SAMPLE documents a language; the
+    weights take 2^16 numbers a language.
     """
     n, df = document_frequencies(docs.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1
@@ -160,6 +164,9 @@ def fit(docs: DataFrame) -> Model | None:
             for doc, lang, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if (found := term_frequencies(t)) is not None:
                     ids, tf = found
+                    if len(ids) > FIT_FEATURES:
+                        top = np.sort(np.argsort(-tf * idf[ids], kind="stable")[:FIT_FEATURES])
+                        ids, tf = ids[top], tf[top]
                     rows.append({"doc": str(doc), "lang": lang, "ids": ids.astype(np.int32).tobytes(), "tf": tf.astype(np.float32).tobytes()})
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc", pa.string()), ("lang", pa.string()), ("ids", pa.binary()), ("tf", pa.binary())]))
 
