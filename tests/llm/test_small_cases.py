@@ -64,15 +64,31 @@ def test_tokens_are_the_librarys(spark):
         assert (r.n_tokens, r.n_bytes, r.over_limit) == (want, len((r.text or "").encode()), want > 512)
 
 
-def test_proven_code_points_split_as_the_library_does():
+def test_code_points_split_as_the_library_does():
     import regex
     from tokenizers import Tokenizer
 
-    pre, pieces, proven = Tokenizer.from_file(tokenizer_file()).pre_tokenizer, regex.compile(token_counts.PATTERN), regex.compile(f"[{token_counts.PROVEN}]")
-    for c in map(chr, range(0x10000)):
-        if proven.match(c):
-            x = f"a{c}1"
-            assert [o for _, o in pre.pre_tokenize_str(x)] == [m.span() for m in pieces.finditer(x)], hex(ord(c))
+    pre, pieces, strange = Tokenizer.from_file(tokenizer_file()).pre_tokenizer, regex.compile(token_counts.PATTERN), regex.compile(f"[{token_counts.STRANGE}]")
+    known = [c for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff" and not strange.match(c)]
+    assert len(known) > 1_090_000
+    for i in range(0, len(known), 50_000):
+        text = "".join(f"a{c}{c}1\n" for c in known[i : i + 50_000])  # tells letters, digits, spaces and others apart
+        assert [o for _, o in pre.pre_tokenize_str(text)] == [m.span() for m in pieces.finditer(text)], i
+
+
+def test_shortcut_counts_as_the_library_on_mixed_scripts():
+    import random
+
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_file())
+    with open(tokenizer_file(), encoding="utf-8") as f:
+        counter = token_counts.Counter(f.read(), token_counts.whole_tokens(library))
+    counter.tokenizer = None  # no text below may go to the library
+    rng, ranges = random.Random(8), [(32, 126), (0xA0, 0x17F), (0x400, 0x45F), (0x5D0, 0x5EA), (0x620, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3001, 0x30FF), (0x4E00, 0x9FA5), (0xFF01, 0xFF5E), (0x1F300, 0x1F64F), (0xFE0F, 0xFE0F), (0x200B, 0x200F), (9, 13)]
+    for _ in range(2000):
+        text = "".join(chr(rng.randint(*rng.choice(ranges))) if rng.random() < 0.7 else rng.choice([" ", "  ", "'s", "'ll", "<|endoftext|>", "\n\n", "the"]) for _ in range(rng.randint(1, 60)))
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
 
 
 def test_warc_round_trip_and_revisits(spark):
@@ -288,7 +304,7 @@ def test_threshold_keeps_recall_where_positives_are_few():
     rng = np.random.default_rng(5)
     make = lambda alphabet: "".join(rng.choice(list(alphabet), 32))
     # alike but for their label, so that calibrated scores are about the share of positives
-    for positive, negative in ((100, 2000), (2, 400)):
+    for positive, negative in ((100, 2000), (3, 400)):
         texts = ["value " + make("0123456789abcdef") for _ in range(positive + negative)]
         codes = np.array([np.frombuffer(secrets.window(t, 6, 38), np.uint8) for t in texts])
         labels = np.r_[np.ones(positive), np.zeros(negative)]
@@ -390,3 +406,77 @@ def test_tile_helpers():
     linked = np.array([[0, 1, 0, 0], [0, 1, 1, 0], [0, 0, 0, 1], [0, 0, 0, 0]], bool)
     a, b = neardup._forest(linked, np.array([1, 2, 3, 4]), np.array([5, 6, 7, 8]))
     assert {(x, y) for x, y in zip(a.tolist(), b.tolist())} == {(2, 1), (6, 1), (7, 1), (8, 3)}
+
+
+def test_recall_holds_on_fresh_findings_below_one_half():
+    import numpy as np
+
+    rng = np.random.default_rng(15)
+    make = lambda alphabet: "".join(rng.choice(list(alphabet), 32))
+
+    def drawn(positive, negative):  # a tenth of the negatives looks like a positive, and they are many
+        texts = ["value " + make("0123456789abcdef") for _ in range(positive)] + ["value " + make("0123456789abcdef" if i % 10 == 0 else "ghijkl") for i in range(negative)]
+        return np.array([np.frombuffer(secrets.window(t, 6, 38), np.uint8) for t in texts]), np.r_[np.ones(positive), np.zeros(negative)]
+
+    net = secrets.train(*drawn(200, 6000))
+    codes, labels = drawn(1000, 2000)
+    assert net.threshold < 0.5 and (net.scores(codes)[labels == 1] >= net.threshold).mean() >= 0.95
+    assert (net.scores(codes)[labels == 0] >= net.threshold).mean() < 0.2
+
+
+def test_parts_of_the_labels_are_apart_and_hold_both():
+    import numpy as np
+
+    labels = np.r_[np.ones(3), np.zeros(40)]
+    own, calibrate, bound = secrets.parts(labels, np.random.default_rng(1))
+    assert sorted([*own, *calibrate, *bound]) == list(range(43)) and all(labels[p].any() and not labels[p].all() for p in (own, calibrate, bound))
+
+
+def test_added_columns_replace_clashing_ones(spark):
+    df = spark.createDataFrame([(1, "password = hunter22x", "mine", 7)], "doc_id long, text string, base string, spans int")
+    got = secrets.with_secrets(df, None).collect()[0]
+    assert got.asDict().keys() == {"doc_id", "text", "base", "spans"} and len(got.base) == len(got.spans) == 1
+
+
+def test_long_texts_are_counted_exactly():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    text = "".join(rng.choice(list("abcdefgh é中 "), 3 * (1 << 20) + 17))
+    one, many = langid.term_frequencies(text, step=1 << 30), langid.term_frequencies(text, step=1 << 20)
+    assert (one[0] == many[0]).all() and (one[1] == many[1]).all()
+    short = "so ein Text, der kurz ist"
+    for step in (1, 2, 3, 7):
+        a, b = langid.term_frequencies(short), langid.term_frequencies(short, step=step)
+        assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+
+
+def test_stages_leave_other_columns_alone(spark):
+    import corpus_pipeline
+
+    words = lambda i: " ".join(f"w{(i * 31 + j * j) % 977}" for j in range(60))
+    rows = [(i if i % 7 else None, f"document {i} {words(i)}", "en", f"s{i % 3}", 1, -7, "mine", True, i, i, "b", "s", 0, 1) for i in range(40)]
+    names = "doc_id long, text string, lang string, source string, n_chars long, score int, lang_pred string, held_out boolean, place long, h long, base string, spans string, position int, component int"
+    docs = spark.createDataFrame(rows, names)
+    sf = fresh_path(spark, "sf")
+    spark.createDataFrame([(1, rows[1][1])], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs.write.parquet(f"{sf}/documents.parquet")
+    want = {r[9]: r for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, sf)
+        got = docs.collect()
+        assert docs.columns == [n.split()[0] for n in names.split(", ")] and all(tuple(r) == want[r.h] for r in got), name
+        if name != "mixing":
+            assert {r.h for r in got} == set(want) - ({1} if name == "decontamination" else set()), name
+    last = corpus_pipeline.run(spark, sf)
+    assert last.columns == [n.split()[0] for n in names.split(", ")] + ["shard", "slot"] and {r.h for r in last.collect()} <= set(want) - {1}
+    assert all(tuple(r)[:-2] == want[r.h] for r in last.collect())
+
+
+def test_pipeline_of_no_documents(spark):
+    import corpus_pipeline
+
+    sf = fresh_path(spark, "sf")
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, sf).collect() == []
