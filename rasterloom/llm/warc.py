@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.llm import files
-from rasterloom.llm.shared import fresh_path, written
+from rasterloom.llm.shared import BROADCAST_ROWS, DEALT, fresh_path, met, written
 
 #: Fixed values of the formats: the skippable frame for a dictionary, the magic number of a raw dictionary, of a frame.
 SKIPPABLE, RAW_DICTIONARY, FRAME = 0x184D2A5D, b"\x37\xa4\x30\xec", b"\x28\xb5\x2f\xfd"
@@ -169,16 +169,25 @@ def write_archives(df: DataFrame, path: str, page_id: str = "page_id", url: str
     them are null, in which case all are responses. A null url becomes about:blank. A task that is run again writes
     under new names, and only what its last run wrote is in the manifest. Other columns are ignored.
 
-    Only payloads that occur twice are on the small side of the join, with the digest and one id each.
+    Ids are cast to long; an empty table writes nothing. What is shuffled to find equal payloads is a digest and an id a
+    row; payloads stay where they were read, as the list of payloads that occur twice is broadcast. If that has over
+    BROADCAST_ROWS rows, rows meet it in a shuffled join in which a payload of many pages is dealt over several tasks.
     """
     rows = df.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    rows = rows.withColumn("key", F.unhex(F.sha2("html", 256))).withColumn("long_enough", F.octet_length("html") >= min_bytes)
+    key = F.unhex(F.sha2("html", 256))
     firsts = (
-        rows.where("long_enough").groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-        .where("n > 1").select(F.col("key").alias("first_key"), "first")
+        rows.where(F.octet_length("html") >= min_bytes).select(key.alias("key"), "page_id")
+        .groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     )
-    joined = rows.join(firsts.hint("shuffle_hash"), F.col("key") == F.col("first_key"), "left")
-    revisit = F.col("first").isNotNull() & F.col("long_enough") & ~F.col("page_id").eqNullSafe(F.col("first"))
+    firsts = written(firsts, "warc-firsts")
+    if firsts.count() <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(firsts.withColumnRenamed("key", "_key")), key == F.col("_key"), "left")
+    else:
+        keyed = rows.withColumn("key", key)
+        many = firsts.where(F.col("n") > DEALT).select("key", F.ceil(F.col("n") / DEALT).cast("int").alias("parts"))
+        single = keyed.select("page_id", "url", "html", "key").join(firsts, "key", "left_anti").withColumns({"first": F.lit(None).cast("long"), "n": F.lit(1).cast("long")})
+        joined = met(keyed, firsts, ["key"], ["page_id", "url"], F.broadcast(many) if many.count() <= BROADCAST_ROWS else many).unionByName(single)
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     joined = joined.select("page_id", "url", "html", revisit.alias("revisit"), F.col("first").alias("refers_to"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +228,8 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """One row per record of the archives in ``manifest`` (column path): page_id, url, record_type, refers_to,
     payload_bytes, payload_digest and, unless ``payloads`` is false, payload (null for a revisit).
 
-    Headers, lengths and digests of each record are checked; a record that fails, or an archive that holds another
+    Rows alike in everything are records of their own, and an archive of no records gives none. Headers, lengths and
+    digests of each record are checked; a record that fails, or an archive that holds another
     number of them than the manifest says, ends the job with BadRecord. A task reads one archive as a stream.
     """
     schema = RECORDS if payloads else RECORDS.removesuffix(", payload binary")
