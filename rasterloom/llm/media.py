@@ -3,7 +3,7 @@
 ``df.write.format("media_archive")`` stores (doc_id, n_bytes, payload) and ``spark.read.format("media_archive")``
 streams them back. The reader plans byte ranges over each archive's directory: the driver knows only paths and sizes, a
 task reads the directory at the end of its archive and takes the members whose offset lies in its range. Members are
-read one by one at their offset, checked against length and CRC, and retried alone.
+read one by one at their offset, checked against length and CRC, and retried alone; so is the directory.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ import uuid
 import wave
 import zipfile
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -75,19 +77,40 @@ class Damaged(OSError):
     """A member whose bytes aren't what the directory says."""
 
 
-def member(path: str, offset: int, packed: int, size: int, crc: int, method: int, tries: int = 4, wait: float = 0.2) -> bytes:
-    """One member by its offset, read anew from a fresh handle if that fails."""
+def retried(what, tries: int = 4, wait: float = 0.2):
+    """The result of ``what``, which opens what it reads; called anew if that fails."""
     for left in reversed(range(tries)):
         try:
-            with files.readable(path) as f:
-                return member_of(f, offset, packed, size, crc, method)
-        except (OSError, zlib.error, struct.error):
+            return what()
+        except (OSError, EOFError, zlib.error, struct.error, zipfile.BadZipFile):
             if not left:
                 raise
             time.sleep(wait)
     raise AssertionError
 
 
+def member(path: str, offset: int, packed: int, size: int, crc: int, method: int, tries: int = 4, wait: float = 0.2) -> bytes:
+    """One member by its offset, read anew from a fresh handle if that fails."""
+
+    def once() -> bytes:
+        with files.readable(path) as f:
+            return member_of(f, offset, packed, size, crc, method)
+
+    return retried(once, tries, wait)
+
+
+@lru_cache(4)
+def directory(path: str) -> list[tuple[int, tuple[int, int, int, int], bytes]]:
+    """(offset, (packed, size, crc, method), comment) of an archive's members by offset; a worker that is given several
+    ranges of an archive reads its directory once."""
+
+    def once() -> list:
+        with files.readable(path) as f, zipfile.ZipFile(f) as pack:
+            return sorted((i.header_offset, (i.compress_size, i.file_size, i.CRC, i.compress_type), i.comment) for i in pack.infolist())
+
+    return retried(once)
+
+
 def member_of(f, offset: int, packed: int, size: int, crc: int, method: int) -> bytes:
     f.seek(offset)
     head = f.read(30)
@@ -190,23 +213,28 @@ class MediaReader(DataSourceReader):
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        with files.readable(partition.path) as f:
-            directory = [i for i in zipfile.ZipFile(f).infolist() if partition.lo <= i.header_offset < partition.hi]
-        rows, weight = [], 0
-        f = files.readable(partition.path)
-        for i in directory:
-            known = (i.header_offset, i.compress_size, i.file_size, i.CRC, i.compress_type)
-            try:
-                media = member_of(f, *known)
-            except (OSError, zlib.error, struct.error):
-                media = member(partition.path, *known)
-                f = files.readable(partition.path)
-            doc_id, n_bytes = json.loads(i.comment)
-            rows.append({"doc_id": doc_id, "n_bytes": n_bytes, "media": media})
-            weight += len(media)
-            if weight > BATCH_BYTES:
-                yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
-                rows, weight = [], 0
+        listed = directory(partition.path)
+        own = listed[bisect_left(listed, (partition.lo,)) : bisect_left(listed, (partition.hi,))]
+        rows, weight, f = [], 0, None
+        try:
+            for offset, known, comment in own:
+                try:
+                    f = f or files.readable(partition.path)
+                    media = member_of(f, offset, *known)
+                except (OSError, zlib.error, struct.error):  # this member alone, from fresh handles; the next opens anew
+                    if f is not None:
+                        f.close()
+                        f = None
+                    media = member(partition.path, offset, *known)
+                doc_id, n_bytes = json.loads(comment)
+                rows.append({"doc_id": doc_id, "n_bytes": n_bytes, "media": media})
+                weight += len(media)
+                if weight > BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
+                    rows, weight = [], 0
+        finally:
+            if f is not None:
+                f.close()
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
 
@@ -239,7 +267,11 @@ _ARROW_FEATURES = pa.schema([(n, pa.string() if t == "string" else pa.int64()) f
 
 
 def media_features(media: DataFrame) -> DataFrame:
-    """Digests and features of the stored payloads, computed from the bytes that were read back."""
+    """Digests and features of the stored payloads, computed from the bytes that were read back.
+
+    One row per member, a null doc_id and repeated rows included; equal payloads get equal values; no member, no row. A
+    payload whose length does not fit n_bytes ends the job with Damaged.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
