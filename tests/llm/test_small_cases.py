@@ -480,3 +480,37 @@ def test_pipeline_of_no_documents(spark):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     assert corpus_pipeline.run(spark, sf).collect() == []
+
+
+def test_revisits_in_the_shuffled_join(spark, monkeypatch):
+    rows = [(i, f"http://x/{i}", "hot" if i % 3 else f"own {i}") for i in range(60)] + [(100, None, "pair"), (101, None, "pair"), (None, None, None), (102, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    read = lambda: sorted(map(repr, warc.read_archives(warc.write_archives(pages, warc.archive_folder(pages)), payloads=False).collect()))
+    want = read()
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(warc, "DEALT", 4)
+    assert read() == want and len(want) == 64
+
+
+def test_media_ranges_retry_members_and_directory(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "media")
+    media.store_media(spark.createDataFrame([(i, f"text {i} " * (i + 1)) for i in range(300)], "doc_id long, text string").coalesce(1), path)
+    reader = media.MediaReader(path, 700)
+    ranges = reader.partitions()
+    assert len(ranges) > 3
+    opened, real = [], media.files.readable
+
+    def flaky(p):
+        if p.endswith(".zip"):
+            opened.append(real(p))
+            if len(opened) % 3 == 1:
+                raise OSError("lost")
+            return opened[-1]
+        return real(p)
+
+    media.directory.cache_clear()
+    monkeypatch.setattr(media.files, "readable", flaky)
+    monkeypatch.setattr(media.time, "sleep", lambda s: None)
+    rows = [r for part in ranges for batch in reader.read(part) for r in batch.to_pylist()]
+    assert sorted(r["doc_id"] for r in rows) == list(range(300))
+    assert all(f.closed for n, f in enumerate(opened) if n % 3)
