@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.shared import met, often, written
+from rasterloom.llm.shared import dropped, met, often, written
 
 SYMBOLS, LONGS = 64, 16
 #: Members up to which the pairs of a bucket of several components are compared in the join; those of larger ones go by tiles.
@@ -152,8 +152,8 @@ def _differing(a: str, b: str) -> Column:
 
 def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(id, set) of the given ids of classes: the shingles of the texts of those hashes, cut again."""
-    ids = written(ids.distinct(), "compared")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    own = written(ids.distinct(), "compared")
+    ids = F.broadcast(own) if own.count() <= BROADCAST_IDS else own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingles(k)
@@ -162,7 +162,9 @@ def _sets(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "set"])
 
     texts = docs.join(ids, docs["place"] == ids["id"], "left_semi").select("place", "text")
-    return written(texts.mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
+    sets = written(texts.mapInArrow(run, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
+    dropped(own)
+    return sets
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -293,7 +295,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = written(small.where("u <> v").distinct(), "edges")
+        last, edges = edges, written(small.where("u <> v").distinct(), "edges")
+        dropped(last)
         after, before = before, mark()
         if after == before:
             break
@@ -338,15 +341,18 @@ def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: s
     weighted = shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id")
     centres = weighted.groupBy("key").agg((-F.max(F.struct("weight", (-F.col("id")).alias("id")))["id"]).alias("centre"))
     stars = shared.join(centres, "key").select(F.col("id").alias("a"), F.explode(F.array_distinct(F.array("centre", "least"))).alias("b"))
-    stars = written(stars.where("a <> b").distinct(), "stars")
+    starred = stars = written(stars.where("a <> b").distinct(), "stars")
     near = met(stars.join(signed("a"), "a"), signed("b"), ["b"], ["a"], often(stars, ["b"])).where(within("a", "b"))
     stars = written(near.select("a", "b"), "pairs")
     full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), docs, shingle_words)
-    found = written(components(_linked(stars, full, percent)), "components")
+    links = _linked(stars, full, percent)
+    found = written(components(links), "components")
+    dropped(starred, full, links)
 
     part = written(shared.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component")), "parts")
     several = part.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
     several = written(part.join(several, "key"), "left")
+    dropped(shared, part)
 
     few = several.where(F.col("n") <= PAIRED)
     side = lambda p: few.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c")).join(signed(p), p)
@@ -362,7 +368,8 @@ def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: s
     if not none:
         rows = placed.drop("own").join(classes.select("id", "n", *_SIG), "id").join(full, "id")
         links = links.union(_compared_tiles(rows, tiles, radius, percent))
-    found = components(links)
+    found = written(components(links), "components")
+    dropped(rest, stars, several, full)
 
     own = classes.select("h0", "h1", "id", "least_doc").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = own.groupBy("component").agg(F.min("least_doc").alias("component_id"))

@@ -32,7 +32,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: cuts the lineage and outlives executors."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read any more: what was made of them has been written itself."""
+    for t in tables:
+        session = t.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(t._written)
+        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 #: Rows of one value in a task of a join, beyond which they are dealt over several; rows of a side up to which it is broadcast.
