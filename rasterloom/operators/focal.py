@@ -1,19 +1,25 @@
-"""Moving windows over cells without self-joins: two passes of window functions, one along rows, one along columns."""
+"""Moving windows over cells without self-joins: two passes of window functions, one along rows, one along columns, or,
+for wide windows and many classes, square tiles with a margin, each summed as an array in a task."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rasterloom.functions.expr import at_least, ratio
 from rasterloom.model import CELL
 
-#: Half-width in cells from which running sums replace sliding frames, whose cost grows with their width.
-PREFIX_FROM = 16
+#: Half-width in cells from which tiles replace sliding frames, whose cost grows with their width.
+TILED_FROM = 6
+#: Side of a tile in cells, at least; a wider window has tiles of its half-width, so a cell is sent to 9 tiles at most.
+SIDE = 256
 
 
 @dataclass(frozen=True)
@@ -39,55 +45,84 @@ class Kernel:
                 start = d
         return out
 
+    def widths(self) -> list[tuple[int, int]]:
+        """(row offset, half-width) of every row of the window."""
+        return [(d, w) for a, b, w in self.bands() for k in range(a, b + 1) for d in {k, -k}]
+
 
 def _sliding(value: str, keys: Sequence[str], order: str, lo: int, hi: int) -> Column:
     return F.coalesce(F.sum(value).over(Window.partitionBy(*keys).orderBy(order).rangeBetween(lo, hi)), F.lit(0.0))
 
 
-def _between(running: str, w, end, lo: int, hi: int) -> Column:
-    """Sum over offsets lo..hi from running sums over dense rows; beyond an end the sum stops there."""
-    at = lambda k: F.col(running) if k == 0 else (F.coalesce(F.lead(running, k).over(w), end) if k > 0 else F.coalesce(F.lag(running, -k).over(w), F.lit(0.0)))
-    return at(hi) - at(lo - 1)
+def _by_tile(df: DataFrame, names: Sequence[str], reach: int, group: Sequence[str], compute: Callable[[pa.Table, Callable], list[np.ndarray]]) -> DataFrame:
+    """Adds double columns ``names`` to all rows of ``df``, computed tile by tile from the rows up to ``reach`` cells around.
 
+    Each cell is sent to the tiles whose margin it lies in, in one shuffle; a task holds one tile and its margin.
+    ``compute`` gets a tile's rows and a function that sums an array over them (one number a row) over the window of
+    each own cell, in the order of the rows that are the tile's own.
+    """
+    side = max(SIDE, reach)
+    span = lambda c: F.explode(F.sequence(F.floor((F.col(c) - reach) / side), F.floor((F.col(c) + reach) / side)))
+    spread = df.withColumn("_tc", span("col")).withColumn("_tr", span("row"))
+    columns = list(df.columns)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+
+    def run(table: pa.Table) -> pa.Table:
+        x0, y0 = table.column("_tc")[0].as_py() * side, table.column("_tr")[0].as_py() * side
+        x, y = (table.column(c).to_numpy().astype(np.int64) - o for c, o in (("col", x0), ("row", y0)))
+        own = (x >= 0) & (x < side) & (y >= 0) & (y < side)
+        n = side + 2 * reach
+
+        def summed(values: np.ndarray, widths: Sequence[tuple[int, int]]) -> np.ndarray:
+            grid = np.zeros((n, n))
+            np.add.at(grid, (y + reach, x + reach), values)
+            running = np.concatenate([np.zeros((n, 1)), np.cumsum(grid, axis=1)], axis=1)
+            out = np.zeros((side, side))
+            for dy, w in widths:
+                rows = running[reach + dy : reach + dy + side]
+                out += rows[:, reach + w + 1 : reach + w + 1 + side] - rows[:, reach - w : reach - w + side]
+            return out[y[own], x[own]]
+
+        made = compute(table, summed)
+        kept = table.select(columns).filter(pa.array(own))
+        for name, values in zip(names, made):
+            kept = kept.append_column(name, pa.array(values, pa.float64()))
+        return kept
+
+    return spread.groupBy(*group, "_tc", "_tr").applyInArrow(run, schema)
+
+
+def focal_sums(df: DataFrame, values: Sequence[str], kernel: Kernel, group: Sequence[str] = (), tiled: bool | None = None) -> DataFrame:
+    """Adds <value>__sum over the kernel around every row's cell; missing rows and nulls add nothing.
+
+    Narrow windows: pass one sums along the row for each distinct half-width, pass two adds those along the column, in
+    two shuffles by (group, row) and (group, col). From a half-width of TILED_FROM: tiles (``_by_tile``), in one.
+    """
+    tiled = kernel.radius >= TILED_FROM if tiled is None else tiled
+    own = df.columns
+    if tiled:
+        widths = kernel.widths()
 
-def focal_sums(df: DataFrame, values: Sequence[str], kernel: Kernel, group: Sequence[str] = (), prefix: bool | None = None) -> DataFrame:
-    """Adds <value>__sum over the kernel around every row's cell.
+        def sums(table: pa.Table, summed: Callable) -> list[np.ndarray]:
+            return [summed(np.nan_to_num(table.column(v).to_numpy().astype(float)), widths) for v in values]
 
-    Pass one sums along the row for each distinct half-width, pass two adds those along the column; two shuffles, by
-    (group, row) and (group, col), whatever the radius. Sliding frames work with missing rows; running sums, used from
-    a radius of PREFIX_FROM, need every cell of the grid present.
-    """
-    prefix = kernel.radius >= PREFIX_FROM if prefix is None else prefix
+        return _by_tile(df, [f"{v}__sum" for v in values], kernel.radius, group, sums).select(*own, *[f"{v}__sum" for v in values])
     bands = kernel.bands()
-    own = df.columns
     first, second = [*group, "row"], [*group, "col"]
-    along, down = Window.partitionBy(*first).orderBy("col"), Window.partitionBy(*second).orderBy("row")
-    whole = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     part = lambda v, i: f"_{v}_{i}"
-    if prefix:
-        so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        df = df.withColumns({f"_p_{v}": F.sum(F.coalesce(F.col(v), F.lit(0.0))).over(so_far(along)) for v in values})
-        df = df.withColumns({f"_t_{v}": F.last(f"_p_{v}").over(whole(along)) for v in values})
-        df = df.withColumns({part(v, i): _between(f"_p_{v}", along, F.col(f"_t_{v}"), -w, w) for v in values for i, (_, _, w) in enumerate(bands)})
-        names = [part(v, i) for v in values for i in range(len(bands))]
-        df = df.withColumns({f"_q{n}": F.sum(n).over(so_far(down)) for n in names})
-        df = df.withColumns({f"_u{n}": F.last(f"_q{n}").over(whole(down)) for n in names})
-        take = lambda n, lo, hi: _between(f"_q{n}", down, F.col(f"_u{n}"), lo, hi)
-    else:
-        df = df.withColumns({part(v, i): _sliding(v, first, "col", -w, w) for v in values for i, (_, _, w) in enumerate(bands)})
-        take = lambda n, lo, hi: _sliding(n, second, "row", lo, hi)
+    df = df.withColumns({part(v, i): _sliding(v, first, "col", -w, w) for v in values for i, (_, _, w) in enumerate(bands)})
     made = {}
     for v in values:
         total = None
         for i, (a, b, _) in enumerate(bands):
             n = part(v, i)
-            x = take(n, -b, b) if a == 0 else take(n, a, b) + take(n, -b, -a)
+            x = _sliding(n, second, "row", -b, b) if a == 0 else _sliding(n, second, "row", a, b) + _sliding(n, second, "row", -b, -a)
             total = x if total is None else total + x
         made[f"{v}__sum"] = total
     return df.withColumns(made).select(*own, *made)
 
 
-def focal(df: DataFrame, bands: Sequence[str], kernel: Kernel, stats: Sequence[str] = ("mean",), group: Sequence[str] = (), mask_center: bool = False, prefix: bool | None = None) -> DataFrame:
+def focal(df: DataFrame, bands: Sequence[str], kernel: Kernel, stats: Sequence[str] = ("mean",), group: Sequence[str] = (), mask_center: bool = False, tiled: bool | None = None) -> DataFrame:
     """Adds <band>_<stat> (mean, sum, count, stdDev) over the valid cells of the kernel; null where there are none.
 
     Masked centres get a value too unless ``mask_center``. Input must have a row for every cell that is to have one
@@ -105,7 +140,7 @@ def focal(df: DataFrame, bands: Sequence[str], kernel: Kernel, stats: Sequence[s
         cols |= {f"v_{b}": shift(b), f"n_{b}": F.when(F.col(b).isNotNull(), 1.0).otherwise(0.0)}
         if spread:
             cols[f"s_{b}"] = shift(b) * shift(b)
-    summed = focal_sums(df.withColumns(cols), list(cols), kernel, group, prefix)
+    summed = focal_sums(df.withColumns(cols), list(cols), kernel, group, tiled)
     out = {}
     for b in bands:
         n = F.round(F.col(f"n_{b}__sum"))
@@ -191,18 +226,16 @@ def slope_aspect(df: DataFrame, z: str, cell: float, group: Sequence[str] = ())
     return df.withColumn("slope", F.when(valid, slope)).withColumn("aspect", F.when(valid, aspect)).drop("_gx", "_gy")
 
 
-def class_proportions(df: DataFrame, cls: str, classes: Sequence[int], radius: int, group: Sequence[str] = (), at_once: int = 8, prefix: str = "class_") -> DataFrame:
+def class_proportions(df: DataFrame, cls: str, classes: Sequence[int], radius: int, group: Sequence[str] = (), prefix: str = "class_") -> DataFrame:
     """Share of each class among the valid cells of a circle, 0 where there are none: <prefix><class>_<radius>.
 
-    Classes are done ``at_once`` together, which bounds the width of the rows in the passes.
+    All classes are counted from one column of codes, tile by tile: one shuffle however many they are.
     """
-    keys = [*group, *CELL]
-    out = None
-    for i in range(0, len(classes), at_once):
-        part = classes[i : i + at_once]
-        flags = {f"k{k}": F.coalesce((F.col(cls) == k).cast("double"), F.lit(0.0)) for k in part} | {"n": F.col(cls).isNotNull().cast("double")}
-        s = focal_sums(df.select(*keys, cls).withColumns(flags), [*flags], Kernel(radius), group)
-        n = F.round(F.col("n__sum"))
-        s = s.select(*keys, *[F.coalesce(ratio(F.round(F.col(f"k{k}__sum")), n), F.lit(0.0)).alias(f"{prefix}{k}_{radius}") for k in part])
-        out = s if out is None else out.join(s, keys)
-    return out
+    widths, names = Kernel(radius).widths(), [f"{prefix}{k}_{radius}" for k in classes]
+
+    def shares(table: pa.Table, summed: Callable) -> list[np.ndarray]:
+        code = table.column(cls).to_numpy().astype(float)  # null: nan
+        n = summed((~np.isnan(code)).astype(float), widths)
+        return [np.divide(summed((code == k).astype(float), widths), n, out=np.zeros_like(n), where=n > 0) for k in classes]
+
+    return _by_tile(df.select(*group, *CELL, cls), names, radius, group, shares).select(*group, *CELL, *names)

@@ -289,22 +289,27 @@ _STATS = ("mean", "sum", "count", "stdDev")
 _FOCAL = "SELECT col, row, z AS elevation, round(avg(v), 6) AS elevation_mean, round(sum(v), 6) AS elevation_sum, count(v) AS elevation_count, round(stddev_pop(v), 5) AS elevation_stdDev FROM {x} GROUP BY col, row, z"
 
 
-def _focal(fx: Fixture, k: fo.Kernel, prefix: bool | None = None) -> DataFrame:
-    out = fo.focal(fx.dem_gaps(), ["elevation"], k, _STATS, prefix=prefix)
+def _focal(fx: Fixture, k: fo.Kernel, tiled: bool | None = None) -> DataFrame:
+    out = fo.focal(fx.dem_gaps(), ["elevation"], k, _STATS, tiled=tiled)
     return rounded(out.withColumn("elevation_stdDev", F.round("elevation_stdDev", 5)))
 
 
 add("foc1_circle", lambda fx: _focal(fx, fo.Kernel(3)), _FOCAL.format(x=around(circle(3))))
-add("foc1_circle_prefix", lambda fx: _focal(fx, fo.Kernel(5), True), _FOCAL.format(x=around(circle(5))))
+add("foc1_circle_tiled", lambda fx: _focal(fx, fo.Kernel(5), True), _FOCAL.format(x=around(circle(5))))
 add("foc1_square", lambda fx: _focal(fx, fo.Kernel(2, "square")), _FOCAL.format(x=around("a.col - b.col BETWEEN -2 AND 2 AND a.row - b.row BETWEEN -2 AND 2")))
 add("foc2_focal_stats", lambda fx: rounded(fo.focal_stats(fx.dem_gaps(), ["elevation"], fo.Kernel(2), "150")), f"SELECT col, row, round(avg(v), 6) AS elevation_150 FROM {around(circle(2))} GROUP BY col, row")
 add("foc3_zero_focal", lambda fx: fo.focal_stats(fx.dem_gaps(), ["elevation"], fo.Kernel(0), "0"), "SELECT col, row, elevation AS elevation_0 FROM dem_gaps")
 add("foc4_gaussian_fill", lambda fx: rounded(fo.gaussian_fill(fx.dem_gaps(), ["elevation"])), "SELECT a.col, a.row, round(coalesce(any_value(a.elevation), sum(b.elevation * exp(-((a.col - b.col) * (a.col - b.col) + (a.row - b.row) * (a.row - b.row)) / 2.0)) / sum(CASE WHEN b.elevation IS NOT NULL THEN exp(-((a.col - b.col) * (a.col - b.col) + (a.row - b.row) * (a.row - b.row)) / 2.0) END)), 6) AS elevation FROM dem_gaps a JOIN dem_gaps b ON a.col - b.col BETWEEN -3 AND 3 AND a.row - b.row BETWEEN -3 AND 3 GROUP BY a.col, a.row")
 add("foc5_tpi", lambda fx: rounded(fo.tpi(fx.dem_gaps(), "elevation", [4])), f"SELECT col, row, z AS elevation, round(z - avg(v), 6) AS tpi_4 FROM {around(circle(4))} GROUP BY col, row, z")
 add("foc6_dev", lambda fx: rounded(fo.dev(fx.dem_gaps(), "elevation", [4]), 5), f"SELECT col, row, z AS elevation, round((z - avg(v)) / greatest(stddev_pop(v), 0.001), 5) AS dev_4 FROM {around(circle(4))} GROUP BY col, row, z")
+for _r in (20, 33):
+    add(f"foc6_dev_{_r}", lambda fx, r=_r: rounded(fo.dev(fx.dem_gaps(), "elevation", [r]), 5), f"SELECT col, row, z AS elevation, round((z - avg(v)) / greatest(stddev_pop(v), 0.001), 5) AS dev_{_r} FROM {around(circle(_r))} GROUP BY col, row, z")
+add("foc5_tpi_67", lambda fx: rounded(fo.tpi(fx.dem_gaps(), "elevation", [67]), 5), f"SELECT col, row, z AS elevation, round(z - avg(v), 5) AS tpi_67 FROM {around(circle(67))} GROUP BY col, row, z")
+_FOC8 = [*range(0, 38, 2)]
+add("foc8_species_proportions", lambda fx: rounded(fo.class_proportions(fx.species(), "species", _FOC8, 3, ["year"])), "SELECT a.year, a.col, a.row, " + ", ".join(f"round(count(*) FILTER (b.species = {k}) / count(b.species), 6) AS class_{k}_3" for k in _FOC8) + f" FROM species a JOIN species b ON a.year = b.year AND {circle(3)} GROUP BY a.year, a.col, a.row")
 add("foc7_tri", lambda fx: rounded(fo.tri(fx.dem_gaps(), "elevation"), 4), f"SELECT col, row, z AS elevation, round(CASE WHEN z IS NOT NULL THEN sqrt(coalesce(sum((v - z) * (v - z)), 0)) END, 4) AS tri FROM {around('a.col - b.col BETWEEN -1 AND 1 AND a.row - b.row BETWEEN -1 AND 1')} GROUP BY col, row, z")
 _K = [20, 210, 220]
-add("foc8_class_proportions", lambda fx: rounded(fo.class_proportions(fx.landcover().where("year = 1998").select(*CELL, "b1"), "b1", _K, 3, at_once=2)), "SELECT a.col, a.row, " + ", ".join(f"round(count(*) FILTER (b.b1 = {k}) / count(b.b1), 6) AS class_{k}_3" for k in _K) + f" FROM (SELECT * FROM landcover WHERE year = 1998) a JOIN (SELECT * FROM landcover WHERE year = 1998) b ON {circle(3)} GROUP BY a.col, a.row")
+add("foc8_class_proportions", lambda fx: rounded(fo.class_proportions(fx.landcover().where("year = 1998").select(*CELL, "b1"), "b1", _K, 3)), "SELECT a.col, a.row, " + ", ".join(f"round(count(*) FILTER (b.b1 = {k}) / count(b.b1), 6) AS class_{k}_3" for k in _K) + f" FROM (SELECT * FROM landcover WHERE year = 1998) a JOIN (SELECT * FROM landcover WHERE year = 1998) b ON {circle(3)} GROUP BY a.col, a.row")
 _SLOPE = "(SELECT d.col, d.row, d.elevation, (e.elevation - w.elevation) / 60.0 AS gx, (n.elevation - s.elevation) / 60.0 AS gy FROM dem_gaps d LEFT JOIN dem_gaps e ON e.col = d.col + 1 AND e.row = d.row LEFT JOIN dem_gaps w ON w.col = d.col - 1 AND w.row = d.row LEFT JOIN dem_gaps n ON n.col = d.col AND n.row = d.row - 1 LEFT JOIN dem_gaps s ON s.col = d.col AND s.row = d.row + 1)"
 _DEG = "CASE WHEN elevation IS NOT NULL THEN degrees(atan(sqrt(gx * gx + gy * gy))) END"
 _ASP = "CASE WHEN elevation IS NOT NULL THEN (degrees(atan2(-gx, -gy)) + 360) % 360 END"

@@ -61,19 +61,30 @@ def test_spans_longer_than_a_stretch(spark):
     assert tuple(hit) == (890, 10, 899)
 
 
-@pytest.mark.parametrize("prefix", [False, True])
-def test_focal_mean_of_a_constant_is_the_constant(spark, prefix):
+@pytest.mark.parametrize("tiled", [False, True])
+def test_focal_mean_of_a_constant_is_the_constant(spark, tiled):
     df = grid_of(spark, [[7.0] * 6] * 5)
-    out = focal.focal(df, ["z"], focal.Kernel(2), ("mean", "stdDev", "count"), prefix=prefix)
+    out = focal.focal(df, ["z"], focal.Kernel(2), ("mean", "stdDev", "count"), tiled=tiled)
     assert {(round(r.z_mean, 9), round(r.z_stdDev, 9)) for r in out.collect()} == {(7.0, 0.0)}
 
 
+def test_wide_windows_across_tiles_agree_with_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(focal, "SIDE", 24)
+    values = [[None if (c * 5 + r * 3) % 7 == 0 else float((c * 13 + r * 7) % 19) for c in range(70)] for r in range(60)]
+    df = grid_of(spark, values).where("not (col = 30 and row = 30)")  # a missing row
+    got = {(x.col, x.row): (x.z_sum, x.z_count) for x in focal.focal(df, ["z"], focal.Kernel(20), ("sum", "count")).collect()}
+    assert len(got) == 70 * 60 - 1
+    for c, r in [(0, 0), (24, 24), (23, 47), (69, 59), (35, 30), (48, 1)]:
+        near = [values[j][i] for i in range(70) for j in range(60) if (i - c) ** 2 + (j - r) ** 2 <= 400 and (i, j) != (30, 30) and values[j][i] is not None]
+        assert got[c, r][1] == len(near) and abs(got[c, r][0] - sum(near)) < 1e-6
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 5, 7])
 def test_focal_ways_agree_with_brute_force(spark, radius):
     values = [[None if (c * 5 + r * 3) % 7 == 0 else float((c * 13 + r * 7) % 19) for c in range(9)] for r in range(8)]
     df = grid_of(spark, values)
-    for prefix in (False, True):
-        got = {(x.col, x.row): (x.z_sum, x.z_count) for x in focal.focal(df, ["z"], focal.Kernel(radius), ("sum", "count"), prefix=prefix).collect()}
+    for tiled in (False, True):
+        got = {(x.col, x.row): (x.z_sum, x.z_count) for x in focal.focal(df, ["z"], focal.Kernel(radius), ("sum", "count"), tiled=tiled).collect()}
         for c in range(9):
             for r in range(8):
                 near = [values[j][i] for i in range(9) for j in range(8) if (i - c) ** 2 + (j - r) ** 2 <= radius**2 and values[j][i] is not None]
