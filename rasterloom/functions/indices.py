@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions.expr import clamp, normalized_difference, ratio, unmask
@@ -93,16 +93,16 @@ def ndrs_name(classes: Sequence[int]) -> str:
 def add_ndrs(df: DataFrame, landcover: DataFrame, classes: Sequence[int], image: str = "image_id", drs: str = "DRS", cover: str = "b1", last_year: int = 2019, stride: int = 1) -> DataFrame:
     """DRS normalised by its range over an image's forest pixels, for all pixels; ``df`` has year, col, row.
 
-    Land cover is that of the image's year, at most ``last_year``. The range comes from every ``stride``-th cell and is
-    one row per image, joined back on the image. A flat or missing range gives null.
+    Land cover is that of the image's year, at most ``last_year``. The range comes from every ``stride``-th cell that is
+    forest, which are picked out before anything is joined or grouped, and is one row per image, joined back on the
+    image. A flat or missing range gives null.
     """
-    cover_rows = landcover.select(F.col("year").alias("_y"), *CELL, F.col(cover).alias("_cls"))
+    on_stride = (F.col("col") % stride == 0) & (F.col("row") % stride == 0)
+    forest = landcover.where(F.col(cover).isin(list(classes))).select(F.col("year").alias("_y"), *CELL)
     name = ndrs_name(classes)
-    j = df.withColumn("_y", F.least(F.col("year"), F.lit(last_year))).join(cover_rows, ["_y", *CELL], "left")
-    used = F.col("_cls").isin(list(classes))
-    if stride > 1:
-        used = used & (F.col("col") % stride == 0) & (F.col("row") % stride == 0)
-    stats = j.groupBy(image).agg(F.min(F.when(used, F.col(drs))).alias("_lo"), F.max(F.when(used, F.col(drs))).alias("_hi"))
+    slim = df.select(image, F.least(F.col("year"), F.lit(last_year)).alias("_y"), *CELL, drs)
+    slim, forest = (slim.where(on_stride), forest.where(on_stride)) if stride > 1 else (slim, forest)
+    stats = slim.join(forest, ["_y", *CELL], "left_semi").groupBy(image).agg(F.min(drs).alias("_lo"), F.max(drs).alias("_hi"))
     k = df.join(stats, image, "left")
     x = F.when(F.col(drs).isNotNull() & F.col("_lo").isNotNull(), F.least(F.greatest(F.col(drs), F.col("_lo")), F.col("_hi")))
     return k.withColumn(name, ratio(x - F.col("_lo"), F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi")
@@ -114,9 +114,3 @@ def add_ndrs_stressed(df: DataFrame, landcover: DataFrame, band: str, year: int
     j = df.join(chosen, CELL, "left")
     value = unmask(F.when(F.col("_cls") == cls, F.col(band)), 0.0)
     return j.withColumn(f"{band}_stressed", (value > above).cast("int")).drop("_cls")
-
-
-def range_normalised(band: str, image: str) -> Column:
-    """(x - min) / (max - min) of a band within an image, as a window."""
-    w = Window.partitionBy(image)
-    return ratio(F.col(band) - F.min(band).over(w), F.max(band).over(w) - F.min(band).over(w))

@@ -22,10 +22,6 @@ def select_bands(df: DataFrame, names: Sequence[str] | str, rename: Sequence[str
     return df.select(*keys, *[F.col(f"`{a}`").alias(b) for a, b in zip(picked, new)])
 
 
-def drop_bands(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*names)
-
-
 def select_requested(df: DataFrame, bands: Sequence[str], variables: Sequence[str]) -> DataFrame:
     """The wanted bands of the variables that any of them needs: names decide, so only those columns are read."""
     needed = {v for v in variables if any(b.split("_")[0] == v for b in bands)}
@@ -64,9 +60,14 @@ def to_bands(df: DataFrame, images: Mapping | Sequence, bands: Sequence[str], im
     return df.where(F.col(image).isin(list(names))).groupBy(*CELL).agg(*made)
 
 
-def hydrosoil_names(columns: Sequence[str], asset: str | None = None) -> dict[str, str]:
-    """New name of each stacked band: without the trailing _b1, prefixed by the asset where one is given."""
-    return {c: (f"{asset}_" if asset else "") + re.sub(r"_b1$", "", c) for c in columns if c not in CELL}
+def asset_image(rows: DataFrame, asset: str, images: Sequence[str], chosen: Sequence[str] | None = None, band: str = "b1") -> DataFrame:
+    """An asset's images (asset, image_id, col, row, band) as one, without the trailing _<band> in the names.
+
+    Chosen images go by their own names; all of them, where none are chosen, by <asset>_<image>.
+    """
+    stacked = to_bands(rows.where(F.col("asset") == asset), [i for i in images if chosen is None or i in chosen], [band])
+    name = lambda c: ("" if chosen else f"{asset}_") + re.sub(f"_{band}$", "", c)
+    return stacked.withColumnsRenamed({c: name(c) for c in stacked.columns if c not in CELL})
 
 
 def suffixed(df: DataFrame, suffix: str, but: Sequence[str]) -> DataFrame:

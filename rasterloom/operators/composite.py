@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.functions.crs import transform_crs
 from rasterloom.functions.expr import ratio
-from rasterloom.model import CELL
+from rasterloom.model import CELL, Grid
 
 #: Reducers by name; each makes a column from a band.
 REDUCERS = {
@@ -77,10 +78,19 @@ def reduce_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("stdDev", F.stddev_pop))])
 
 
-def sample(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n pixels, the same in every run: the smallest values of an arithmetic hash of the cell (a top-n, not a sort)."""
+def sample(df: DataFrame, n: int, seed: int = 0, grid: Grid | None = None) -> DataFrame:
+    """n pixels, the same in every run: the smallest values of an arithmetic hash of the cell (a top-n, not a sort).
+
+    With a grid the longitude and latitude of each cell's centre come with it.
+    """
     place = F.pmod(F.col("col") * 7919 + F.col("row") * 104729 + F.lit(seed * 611953), F.lit(1_000_003))
-    return df.withColumn("_place", place).orderBy("_place", *CELL).limit(n).drop("_place")
+    return df.withColumn("_place", place).orderBy("_place", *CELL).limit(n).drop("_place") if grid is None else located(sample(df, n, seed), grid)
+
+
+def located(df: DataFrame, grid: Grid) -> DataFrame:
+    """Adds longitude and latitude of the cells' centres."""
+    lon, lat = transform_crs(grid.x_of(F.col("col")), grid.y_of(F.col("row")), grid.crs, "EPSG:4326")
+    return df.withColumns({"longitude": lon, "latitude": lat})
 
 
 def class_bands(df: DataFrame, cls: str, classes: Sequence[int], prefix: str = "class_") -> DataFrame:

@@ -40,8 +40,10 @@ def stretch(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98, ke
 
 
 def grid_fit(grids: DataFrame, template: DataFrame, tolerance: float = 1e-4) -> DataFrame:
-    """Per raster grid against a one-row template (crs, x0, y0, dx, dy, n_cols, n_rows): same projection, resolution
-    and lattice (corner offset modulo the cell, which wraps), same extent, and whether it stacks."""
+    """Per raster grid against a one-row template (crs, x0, y0, dx, dy, n_cols, n_rows): same projection, resolution,
+    distances of its corner from the nearest grid lines (offset_x, offset_y), whether it is on the lattice, whether it
+    has the template's whole extent, and whether it stacks with the template once that is cropped to it: the same
+    projection, resolution and lattice, and an extent inside the template's. The tolerance is in units of the map."""
     t = template.select(*[F.col(c).alias(f"t_{c}") for c in ("crs", "x0", "y0", "dx", "dy", "n_cols", "n_rows")])
     j = grids.crossJoin(F.broadcast(t))
 
@@ -49,12 +51,20 @@ def grid_fit(grids: DataFrame, template: DataFrame, tolerance: float = 1e-4) ->
         m = F.pmod(F.col(c) - F.col(f"t_{c}"), F.abs(f"t_{d}"))
         return F.least(m, F.abs(f"t_{d}") - m)
 
+    def ends(p: str, c: str, d: str, n: str):
+        a, b = F.col(p + c), F.col(p + c) + F.col(p + d) * F.col(p + n)
+        return F.least(a, b), F.greatest(a, b)
+
     crs = F.col("crs") == F.col("t_crs")
-    res = (F.abs(F.col("dx") - F.col("t_dx")) < tolerance) & (F.abs(F.col("dy") - F.col("t_dy")) < tolerance)
-    lattice = (off("x0", "dx") <= tolerance * F.abs("t_dx")) & (off("y0", "dy") <= tolerance * F.abs("t_dy"))
-    extent = (F.abs(F.col("x0") - F.col("t_x0")) < tolerance) & (F.abs(F.col("y0") - F.col("t_y0")) < tolerance) & (F.col("n_cols") == F.col("t_n_cols")) & (F.col("n_rows") == F.col("t_n_rows"))
-    j = j.withColumns({"crs_equal": crs, "res_equal": res, "aligned": lattice, "same_extent": extent})
-    return j.withColumn("stackable", crs & res & lattice & extent).drop(*t.columns)
+    res = (F.abs(F.col("dx") - F.col("t_dx")) <= tolerance) & (F.abs(F.col("dy") - F.col("t_dy")) <= tolerance)
+    j = j.withColumns({"crs_equal": crs, "res_equal": res, "offset_x": off("x0", "dx"), "offset_y": off("y0", "dy")})
+    lattice = crs & (F.col("offset_x") <= tolerance) & (F.col("offset_y") <= tolerance)
+    inside = same = F.lit(True)
+    for c, d, n in (("x0", "dx", "n_cols"), ("y0", "dy", "n_rows")):
+        (lo, hi), (t_lo, t_hi) = ends("", c, d, n), ends("t_", c, d, n)
+        inside = inside & (lo >= t_lo - tolerance) & (hi <= t_hi + tolerance)
+        same = same & (F.abs(lo - t_lo) <= tolerance) & (F.abs(hi - t_hi) <= tolerance)
+    return j.withColumns({"aligned": lattice, "same_extent": same, "stackable": res & lattice & inside}).drop(*t.columns)
 
 
 def count_outside(pixels: DataFrame, value: str, aoi: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rasterloom.functions.crs import transform_crs
 from rasterloom.functions.expr import ratio
 from rasterloom.model import CELL, Grid
 from rasterloom.operators.composite import reducer
@@ -44,23 +44,30 @@ def aggregate_to_grid(df: DataFrame, bands: Sequence[str], fine: Grid, coarse: G
     return parts.groupBy(*keys, *CELL).agg(*[ratio(F.sum(F.col("_w") * F.col(b)), F.sum(weight(b))).alias(b) for b in bands])
 
 
+def tiles_of(boxes: DataFrame, size: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Squares of a metric size that cover each box (min_x, min_y, max_x, max_y), from its lower left corner."""
+    step = F.lit(float(size))
+    count = lambda lo, hi: F.greatest(F.ceil((F.col(hi) - F.col(lo)) / step), F.lit(1)).cast("int")
+    t = boxes.withColumn("tile_y", F.explode(F.sequence(F.lit(0), count("min_y", "max_y") - 1))).withColumn("tile_x", F.explode(F.sequence(F.lit(0), count("min_x", "max_x") - 1)))
+    x, y = F.col("min_x") + F.col("tile_x") * step, F.col("min_y") + F.col("tile_y") * step
+    return t.select(*keys, "tile_x", "tile_y", x.alias("min_x"), y.alias("min_y"), (x + step).alias("max_x"), (y + step).alias("max_y"))
+
+
 def split_into_tiles(spark: SparkSession, min_x: float, min_y: float, max_x: float, max_y: float, size: float) -> DataFrame:
-    """Squares of a metric size that cover a box, from its lower left corner."""
-    nx, ny = max(1, math.ceil((max_x - min_x) / size)), max(1, math.ceil((max_y - min_y) / size))
-    i = F.col("id")
-    t = spark.range(nx * ny).select((i % nx).cast("int").alias("tile_x"), F.floor(i / nx).cast("int").alias("tile_y"))
-    x, y = F.lit(float(min_x)) + F.col("tile_x") * float(size), F.lit(float(min_y)) + F.col("tile_y") * float(size)
-    return t.select("tile_x", "tile_y", x.alias("min_x"), y.alias("min_y"), (x + float(size)).alias("max_x"), (y + float(size)).alias("max_y"))
+    """``tiles_of`` one given box."""
+    ends = {"min_x": min_x, "min_y": min_y, "max_x": max_x, "max_y": max_y}
+    return tiles_of(spark.range(1).select(*[F.lit(float(v)).alias(k) for k, v in ends.items()]), size)
 
 
 def snap_to_grid(df: DataFrame, bands: Sequence[str], source: Grid, target: Grid, method: str = "nearest") -> DataFrame:
     """Values at the target's cell centres: the source cell there, or a bilinear or bicubic mix of 4 or 16 of them.
 
-    Target cells look up source cells by an equi-join; masked or missing neighbours mask a mixed value.
+    Target cells look up source cells by an equi-join; masked or missing neighbours mask a mixed value. Grids may be of
+    different projections; then centres are transformed to the source's.
     """
     spark = df.sparkSession
-    u = (target.x_of(F.col("col")) - source.x0) / source.dx - 0.5
-    v = (target.y_of(F.col("row")) - source.y0) / source.dy - 0.5
+    x, y = transform_crs(target.x_of(F.col("col")), target.y_of(F.col("row")), target.crs, source.crs)
+    u, v = (x - source.x0) / source.dx - 0.5, (y - source.y0) / source.dy - 0.5
     t = target.cells(spark).withColumn("_u", u).withColumn("_v", v)
     if method == "nearest":
         t = t.select(F.col("col").alias("_c"), F.col("row").alias("_r"), F.floor(F.col("_u") + 0.5).cast("int").alias("col"), F.floor(F.col("_v") + 0.5).cast("int").alias("row"))
@@ -88,7 +95,11 @@ def reference_template(features: DataFrame, cell_key: str = "feature_id") -> Dat
     """One row (x0, y0, dx, dy, n_cols, n_rows): the lattice of the largest cell, grown outwards to all of them.
 
     ``features`` has min_x, min_y, max_x, max_y of each cell; cells cut by a border are smaller, so the largest is whole.
+    A raster's own lattice (those six columns) is the template as it is.
     """
+    lattice = ["x0", "y0", "dx", "dy", "n_cols", "n_rows"]
+    if set(lattice) <= set(features.columns):
+        return features.select(*lattice)
     area = (F.col("max_x") - F.col("min_x")) * (F.col("max_y") - F.col("min_y"))
     s = features.agg(F.max_by(F.struct("min_x", "min_y", "max_x", "max_y"), F.struct(area, (-F.col(cell_key)).alias("k"))).alias("b"), F.min("min_x").alias("x1"), F.min("min_y").alias("y1"), F.max("max_x").alias("x2"), F.max("max_y").alias("y2"))
     s = s.select("b.*", "x1", "y1", "x2", "y2").withColumn("dx", F.col("max_x") - F.col("min_x")).withColumn("dy", F.col("max_y") - F.col("min_y"))

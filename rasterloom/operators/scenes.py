@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rasterloom.model import CELL
+
 
 def filter_date(df: DataFrame, start, end, time: str = "time_start") -> DataFrame:
     """start <= time < end."""
@@ -49,15 +51,11 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def pixels_of(scenes: DataFrame, pixels: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Pixels of the given scenes, with the scene columns to carry."""
-    return pixels.join(scenes.select("image_id", *carry), "image_id")
-
-
-def date_list(spark: SparkSession, start: date, end: date, step: int = 1, unit: str = "year") -> DataFrame:
-    """start_date: every ``step`` units from the start while within the rounded number of units to the end."""
+def dates_within(periods: DataFrame, step: int = 1, unit: str = "year") -> DataFrame:
+    """start_date: of each period (start, end) every ``step`` units from the start while within the rounded number of
+    units to the end."""
     months = {"year": 12, "month": 1}.get(unit)
-    a, b = F.lit(start).cast("date"), F.lit(end).cast("date")
+    a, b = F.col("start").cast("date"), F.col("end").cast("date")
     if months:
         n = F.round(F.months_between(b, a) / months).cast("int")
         at = F.add_months(a, F.col("i") * months)
@@ -65,7 +63,12 @@ def date_list(spark: SparkSession, start: date, end: date, step: int = 1, unit:
         days = {"day": 1, "week": 7}[unit]
         n = F.round(F.datediff(b, a) / days).cast("int")
         at = F.date_add(a, F.col("i") * days)
-    return spark.range(1).select(F.explode(F.sequence(F.lit(0), n, F.lit(step))).alias("i")).select(at.alias("start_date"))
+    return periods.select("start", F.explode(F.sequence(F.lit(0), n, F.lit(step))).alias("i")).select(at.alias("start_date"))
+
+
+def date_list(spark: SparkSession, start: date, end: date, step: int = 1, unit: str = "year") -> DataFrame:
+    """``dates_within`` one given period."""
+    return dates_within(spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end")), step, unit)
 
 
 def windows_from(starts: DataFrame, days: int) -> DataFrame:
@@ -98,19 +101,18 @@ def sensor_priority(scenes: DataFrame, window: str = "start_date", sensor: str =
     return scenes.join(has, window).where(use).drop("_old", "_new")
 
 
-def floor_start(start: date, end: date, earliest: date) -> tuple[date, date]:
-    """A period moved to begin no earlier than the archive does, of unchanged length."""
-    return (start, end) if start >= earliest else (earliest, earliest + (end - start))
+def floor_windows(windows: DataFrame, earliest: date) -> DataFrame:
+    """Windows moved to begin no earlier than the archive does, of unchanged length; those that become one are one."""
+    start = F.greatest(F.col("start_date"), F.lit(earliest))
+    return windows.select(start.alias("start_date"), F.date_add(start, F.datediff("end_date", "start_date")).alias("end_date")).distinct()
 
 
-def with_series_columns(df: DataFrame, start: str = "start_date") -> DataFrame:
-    return df.withColumn("month", F.month(start)).withColumn("year", F.year(start))
-
+def with_empty_windows(series: DataFrame, windows: DataFrame, cells: DataFrame, window: str = "start_date") -> DataFrame:
+    """A series with every cell of the windows that have no scene at all, all bands masked there."""
+    left = windows.select(window).join(series.select(window).distinct(), window, "left_anti")
+    empty = cells.select(*CELL).crossJoin(F.broadcast(left))  # windows are few; these rows are the result
+    return series.unionByName(empty, allowMissingColumns=True)
 
-def latest_per(df: DataFrame, keys: Sequence[str], time: str = "time_start", image: str = "image_id") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(F.col(time).desc(), F.col(image).desc())
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
-
-def days(n: int) -> timedelta:
-    return timedelta(days=n)
+def with_series_columns(df: DataFrame, start: str = "start_date") -> DataFrame:
+    return df.withColumn("month", F.month(start)).withColumn("year", F.year(start))

@@ -97,10 +97,10 @@ def clip(pixels: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def filter_by_spans(features: DataFrame, own: DataFrame, aoi: DataFrame, key: str = "feature_id") -> DataFrame:
-    """Features that share a cell with the area: the exact test behind a box test."""
-    cells = span_cells(aoi, "feature_id").select(*CELL).distinct()
-    hit = span_cells(own, key).join(cells, CELL, "left_semi").select(key).distinct()
-    return features.join(hit, key, "left_semi")
+    """Features that share a cell with the area: the exact test behind a box test. Spans meet spans, not cells."""
+    area = split_spans(aoi).select(F.col("row").alias("_row"), F.col("stretch").alias("_stretch"), F.col("col_lo").alias("_lo"), F.col("col_hi").alias("_hi"))
+    on = (F.col("row") == F.col("_row")) & (F.col("stretch") == F.col("_stretch")) & (F.col("col_lo") <= F.col("_hi")) & (F.col("col_hi") >= F.col("_lo"))
+    return features.join(split_spans(own).join(area, on, "left_semi").select(key).distinct(), key, "left_semi")
 
 
 def dilated(spans: DataFrame, grid: Grid, radius: float, key: str = "feature_id") -> DataFrame:

@@ -148,6 +148,19 @@ for _cls in ([210], [220], [210, 220, 230]):
     )
 add("ix21_stressed", lambda fx: ix.add_ndrs_stressed(sr(fx).select(*KEY, F.col("SR_B4").alias("NDRS")), fx.landcover(), "NDRS", year=1999, above=0.2).select(*KEY, "NDRS_stressed"), f"SELECT {KEYS}, CAST(coalesce(CASE WHEN b1 = 210 THEN SR_B4 END, 0) > 0.2 AS INT) AS NDRS_stressed FROM sr LEFT JOIN (SELECT * FROM landcover WHERE year = 1999) USING (col, row)")
 
+add(
+    "ix21_stressed_chain",
+    lambda fx: ix.add_ndrs_stressed(ix.add_ndrs(_with_year(fx), fx.landcover(), [210], last_year=1999), fx.landcover(), "NDRS_coni", year=1999, above=0.5).select(*KEY, "NDRS_coni_stressed"),
+    """SELECT image_id, x.col, x.row, CAST(coalesce(CASE WHEN b1 = 210 THEN (least(greatest(DRS, lo), hi) - lo) / nullif(hi - lo, 0) END, 0) > 0.5 AS INT) AS NDRS_coni_stressed
+        FROM (SELECT image_id, col, row, sqrt(SR_B3 * SR_B3 + SR_B5 * SR_B5) AS DRS FROM sr JOIN scenes USING (image_id)) x LEFT JOIN (
+            SELECT image_id, min(sqrt(SR_B3 * SR_B3 + SR_B5 * SR_B5)) AS lo, max(sqrt(SR_B3 * SR_B3 + SR_B5 * SR_B5)) AS hi FROM sr JOIN scenes USING (image_id)
+            JOIN landcover ON landcover.year = least(year(time_start), 1999) AND landcover.col = sr.col AND landcover.row = sr.row WHERE b1 = 210 GROUP BY image_id) USING (image_id)
+        LEFT JOIN (SELECT col, row, b1 FROM landcover WHERE year = 1999) c ON c.col = x.col AND c.row = x.row""",
+)
+for _n, _sensor, _from in (("landsat", ix.LANDSAT, sr), ("sentinel2", ix.SENTINEL2, s2)):
+    _all = list(_sensor.indices)
+    add(f"ix22_registry_{_n}", lambda fx, s=_sensor, f=_from, a=_all: stepped(ix.add_indices(f(fx), s, a).select(*KEY, *a), *a), f"SELECT {KEYS}, {', '.join(f'{step(index_sql(x, _sensor))} AS {x}' for x in _all)} FROM {'sr' if _n == 'landsat' else 's2'}")
+
 # --- scalings and scalar operators -------------------------------------------------------------------------------
 add("sc1_scale_factors", lambda fx: rounded(scaling.apply_scale_factors(fx.pixels_ls(), SR).select(*KEY, *SR, "ST_B6"), 9), f"SELECT {KEYS}, {', '.join(f'round({b} * 0.0000275 + -0.2, 9) AS {b}' for b in SR)}, round(ST_B6 * 0.00341802 + 149.0, 9) AS ST_B6 FROM pixels_ls")
 add("sc2_scale_reflectance", lambda fx: rounded(sr(fx).select(*KEY, *LS), 9), f"SELECT {KEYS}, {rd(LS, 9)} FROM sr")
@@ -178,7 +191,16 @@ add("sc14_constant", lambda fx: fx.dem().select(*CELL, F.lit(0.9785).alias("a"),
 add("sc15_argmax", lambda fx: fx.class_probs().select("time_start", *CELL, F.round("water", 6).alias("water"), expr.argmax([F.col(c) for c in _C]).alias("label")), f"SELECT time_start, col, row, round(water, 6) AS water, list_position([{', '.join(_C)}], greatest({', '.join(_C)})) - 1 AS label FROM class_probs")
 add("sc16_names", lambda fx: bd.suffixed(expr.renamed_by(fx.soil(), r"_0_5cm$", "_top"), "_mean", CELL).withColumn("name", F.concat(F.lit("cell_"), expr.padded(F.col("col"), 3))), "SELECT col, row, clay_0_5cm AS clay_top_mean, ksat AS ksat_mean, stc AS stc_mean, 'cell_' || lpad(CAST(col AS VARCHAR), 3, '0') AS name FROM soil")
 add("sc17_dates", lambda fx: fx.scenes().select("image_id", F.year("time_start").alias("year"), F.month("time_start").alias("month"), F.date_format("time_start", "yyyy-MM-dd").alias("day"), F.date_add(F.to_date("time_start"), 121).alias("until")), "SELECT image_id, CAST(year(time_start) AS INT) AS year, CAST(month(time_start) AS INT) AS month, strftime(time_start, '%Y-%m-%d') AS day, CAST(time_start AS DATE) + 121 AS until FROM scenes")
-add("sc18_conditional", lambda fx: fx.scenes().select("image_id", F.greatest(F.to_date("time_start"), F.lit(date(1996, 6, 1))).alias("start")), "SELECT image_id, greatest(CAST(time_start AS DATE), DATE '1996-06-01') AS start FROM scenes")
+_FLOORED = "SELECT DISTINCT greatest(start_date, DATE '1996-08-01') AS start_date, CAST(greatest(start_date, DATE '1996-08-01') + 121 AS DATE) AS end_date FROM windows"
+add("sc18_conditional", lambda fx: sc.join_windows(fx.scenes(), sc.floor_windows(fx.windows(), date(1996, 8, 1))).groupBy("start_date", "end_date").agg(F.count("*").alias("n")), f"SELECT f.start_date, f.end_date, count(*) AS n FROM ({_FLOORED}) f JOIN scenes ON time_start >= f.start_date AND time_start < f.end_date GROUP BY ALL")
+_OUTSIDE = lambda fx: fx.windows().withColumns({c: F.add_months(c, 48) for c in ("start_date", "end_date")})
+add(
+    "sc18_empty_collection",
+    lambda fx: rounded(sc.with_empty_windows(cp.composite(_ndvi(fx, _OUTSIDE(fx)), ["NDVI"], "mean"), _OUTSIDE(fx), fx.dem())),
+    f"""SELECT start_date, col, row, round(avg(v), 6) AS NDVI FROM (SELECT a AS start_date, col, row, CASE WHEN QA_PIXEL & 56 = 0 THEN {nd('SR_B4', 'SR_B3')} END AS v
+        FROM sr JOIN scenes USING (image_id) JOIN (SELECT make_date(y, 6, 1) AS a, make_date(y - 4, 6, 1) + 121 + to_years(4) AS b FROM (SELECT unnest(range(1999, 2006)) AS y)) ON time_start >= a AND time_start < b WHERE cloud_pct < 80) GROUP BY ALL
+        UNION ALL SELECT make_date(y, 6, 1), col, row, NULL FROM dem, (SELECT unnest(range(1999, 2006)) AS y) WHERE NOT EXISTS (SELECT 1 FROM scenes WHERE cloud_pct < 80 AND time_start >= make_date(y, 6, 1) AND time_start < make_date(y - 4, 6, 1) + 121 + to_years(4))""",
+)
 
 # --- scenes ------------------------------------------------------------------------------------------------------
 _SC = "SELECT image_id, time_start, cloud_pct, sensor FROM scenes"
@@ -201,16 +223,30 @@ add("flt8_select_requested", lambda fx: bd.select_requested(fx.soil(), ["clay_0_
 add("flt9_first", lambda fx: sc.first_scene(sc.filter_date(fx.scenes(), "1998-01-01", "1999-01-01")), f"{_SC} WHERE time_start >= TIMESTAMP '1998-01-01' AND time_start < TIMESTAMP '1999-01-01' ORDER BY time_start, image_id LIMIT 1")
 add("flt10_first_rows", lambda fx: sc.first_rows(fx.points().select("point_id", "x", "y"), 5, "point_id"), "SELECT point_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM points ORDER BY point_id LIMIT 5")
 add("flt11_distinct", lambda fx: sc.distinct_values(fx.points(), "batch"), "SELECT DISTINCT batch FROM points")
-add("gen1_date_list", lambda fx: sc.date_list(fx.spark, date(1995, 6, 1), date(2001, 6, 1), 2, "year").crossJoin(fx.scenes().agg(F.count("*").alias("n_scenes"))), "SELECT make_date(y, 6, 1) AS start_date, n_scenes FROM (SELECT unnest([1995, 1997, 1999, 2001]) AS y), (SELECT count(*) AS n_scenes FROM scenes)")
+_PERIOD = lambda fx: fx.scenes().agg(F.trunc(F.min("time_start"), "month").alias("start"), F.trunc(F.max("time_start"), "month").alias("end"))
+for _u, _per in (("year", 12), ("month", 1)):
+    add(
+        f"gen1_date_list_{_u}",
+        lambda fx, u=_u: sc.dates_within(_PERIOD(fx), 2, u),
+        f"""SELECT CAST(a + to_months(CAST(i * {_per} AS INT)) AS DATE) AS start_date FROM (SELECT a, unnest(range(0, CAST(round(((year(b) - year(a)) * 12 + month(b) - month(a)) / {_per}.0) AS BIGINT) + 1, 2)) AS i
+        FROM (SELECT date_trunc('month', min(time_start)) AS a, date_trunc('month', max(time_start)) AS b FROM scenes))""",
+    )
 add("jn4_windows", lambda fx: sc.join_windows(fx.scenes(), fx.windows()).select("image_id", "start_date", "end_date"), "SELECT image_id, start_date, end_date FROM placed")
 add("jn5_sensor_priority", lambda fx: sc.sensor_priority(sc.join_windows(fx.scenes(), fx.windows())).select("image_id", "sensor", "start_date"), "SELECT image_id, sensor, start_date FROM used")
+_BOX = "SELECT * FROM placed WHERE (image_id * 7) % 50 <= 14 AND (image_id * 7) % 50 + 5 >= 10 AND (image_id * 3) % 40 <= 14 AND (image_id * 3) % 40 + 4 >= 10"
+add(
+    "jn5_sensor_priority_in_area",
+    lambda fx: sc.sensor_priority(sc.join_windows(sc.filter_bounds(_boxed(fx), 10, 10, 14, 14), fx.windows())).select("image_id", "sensor", "start_date"),
+    f"""SELECT b.image_id, sensor, b.start_date FROM ({_BOX}) b JOIN (SELECT start_date, bool_or(sensor = 'LT05') AS old, bool_or(sensor IN ('LC08', 'LC09')) AS new FROM ({_BOX}) GROUP BY ALL) USING (start_date)
+        WHERE (sensor = 'LT05' AND old) OR (sensor IN ('LC08', 'LC09') AND new) OR (sensor = 'LE07' AND NOT old AND NOT new)""",
+)
 add("agg19_window_counts", lambda fx: sc.join_windows(fx.scenes(), fx.windows()).groupBy("start_date", "sensor").agg(F.count("*").alias("n")), "SELECT start_date, sensor, count(*) AS n FROM placed GROUP BY ALL")
 
 # --- composites and statistics -----------------------------------------------------------------------------------
 
 
-def _ndvi(fx: Fixture) -> DataFrame:
-    use = sc.join_windows(sc.filter_property(fx.scenes(), F.col("cloud_pct") < 80), fx.windows()).select("image_id", "start_date")
+def _ndvi(fx: Fixture, windows: DataFrame | None = None) -> DataFrame:
+    use = sc.join_windows(sc.filter_property(fx.scenes(), F.col("cloud_pct") < 80), fx.windows() if windows is None else windows).select("image_id", "start_date")
     x = masks.mask_cloud_snow(fx.pixels_ls().select(*KEY, "SR_B3", "SR_B4", "QA_PIXEL").join(use, "image_id"), ["SR_B3", "SR_B4"])
     return ix.add_indices(scaling.scale_reflectance(x, ["SR_B3", "SR_B4"]), ix.LANDSAT, ["NDVI"])
 
@@ -252,11 +288,26 @@ add("agg16_stretch", lambda fx: rounded(qa.stretch(_ksat(fx), "ksat")), "SELECT
 add("agg17_display_range", lambda fx: cp.reduce_region(fx.dem(), ["elevation"], ["minMax"], []), "SELECT min(elevation) AS elevation_min, max(elevation) AS elevation_max FROM dem")
 add("agg18_sample", lambda fx: cp.sample(fx.dem(), 40), "SELECT col, row, elevation FROM dem ORDER BY (col * 7919 + row * 104729) % 1000003, col, row LIMIT 40")
 
+add("agg18_sample_located", lambda fx: rounded(cp.sample(fx.dem(), 40, grid=Grid(50, fx.n_rows(), -120.0, 50.0, 0.1, 0.1, "EPSG:4326"))), "SELECT col, row, elevation, round(-120.0 + (col + 0.5) * 0.1, 6) AS longitude, round(50.0 + (row + 0.5) * 0.1, 6) AS latitude FROM dem ORDER BY (col * 7919 + row * 104729) % 1000003, col, row LIMIT 40")
+
 # --- joins and regions -------------------------------------------------------------------------------------------
 add("jn1_add_bands", lambda fx: bd.add_bands(fx.dem(), fx.upslope()), "SELECT col, row, elevation, CAST(upa AS DOUBLE) AS upa FROM dem FULL JOIN upslope USING (col, row)")
 add("jn1_overwrite", lambda fx: bd.add_bands(fx.dem(), fx.dem_gaps(), overwrite=True), "SELECT col, row, elevation FROM dem_gaps")
 add("jn2_combine_images", lambda fx: bd.combine_images([fx.dem(), fx.forest_age(), fx.dem_gaps()]), 'SELECT col, row, d.elevation AS "0_elevation", age AS "1_age", x.elevation AS "2_elevation" FROM dem d JOIN forest_age USING (col, row) JOIN dem_gaps x USING (col, row)')
 add("jn3_to_bands", lambda fx: bd.to_bands(fx.landcover().withColumnRenamed("year", "image_id"), {1995: "y95", 2001: "y01"}, ["b1"]), "SELECT col, row, max(b1) FILTER (year = 1995) AS y95_b1, max(b1) FILTER (year = 2001) AS y01_b1 FROM landcover GROUP BY col, row")
+_DEPTHS = {"ksat": ["0-5cm", "5-15cm"], "stc": ["0-5cm"], "wcsat": ["0-5cm", "5-15cm"]}
+_HS = """SELECT col, row, max(CAST(ksat AS BIGINT)) AS k0, max(CAST(ksat + 1 AS BIGINT)) AS k5, max(CAST(stc AS BIGINT)) AS s0, max(CAST(clay_0_5cm AS BIGINT)) AS w0, max(CAST(clay_0_5cm + 7 AS BIGINT)) AS w5 FROM soil GROUP BY col, row"""
+
+
+def _hydrosoil(fx: Fixture) -> DataFrame:
+    """One image per asset and depth."""
+    layers = {("ksat", "0-5cm"): F.col("ksat"), ("ksat", "5-15cm"): F.col("ksat") + 1, ("stc", "0-5cm"): F.col("stc"), ("wcsat", "0-5cm"): F.col("clay_0_5cm"), ("wcsat", "5-15cm"): F.col("clay_0_5cm") + 7}
+    each = F.explode(F.array(*[F.struct(F.lit(a).alias("asset"), F.lit(i).alias("image_id"), v.cast("bigint").alias("b1")) for (a, i), v in layers.items()]))
+    return fx.soil().select(*CELL, each.alias("x")).select(*CELL, "x.*")
+
+
+add("jn3_asset_image", lambda fx: bd.asset_image(_hydrosoil(fx), "ksat", _DEPTHS["ksat"]), f'SELECT col, row, k0 AS "ksat_0-5cm", k5 AS "ksat_5-15cm" FROM ({_HS})')
+add("jn3_asset_image_chosen", lambda fx: bd.asset_image(_hydrosoil(fx), "wcsat", _DEPTHS["wcsat"], ["5-15cm"]), f'SELECT col, row, w5 AS "5-15cm" FROM ({_HS})')
 add("jn6_aligned_mask", lambda fx: masks.mask_by_aligned(fx.dem(), fx.forest_age(), F.col("age") <= 40, ["elevation"]), "SELECT col, row, CASE WHEN age <= 40 THEN elevation END AS elevation FROM dem LEFT JOIN forest_age USING (col, row)")
 add("zon1_spans", lambda fx: zo.span_cells(zo.polygon_spans(fx.polygons(), fx.grid())), "SELECT feature_id, row, col FROM poly_cells")
 add("zon2_reduce_regions", lambda fx: rounded(zo.reduce_regions(fx.dem_gaps(), zo.polygon_spans(fx.polygons(), fx.grid()), fx.polygons(), ["elevation"], "mean")), "SELECT polys.feature_id, round(avg(elevation), 6) AS elevation FROM polys LEFT JOIN (poly_cells JOIN dem_gaps USING (col, row)) USING (feature_id) GROUP BY polys.feature_id")
@@ -322,6 +373,12 @@ add(
     """SELECT CAST(i AS INT) AS tile_x, CAST(j AS INT) AS tile_y, CAST(i * 16 AS DOUBLE) AS min_x, CAST(j * 16 AS DOUBLE) AS min_y, CAST(i * 16 + 16 AS DOUBLE) AS max_x, CAST(j * 16 + 16 AS DOUBLE) AS max_y
         FROM (SELECT unnest(range(0, 4)) AS i), (SELECT unnest(range(0, CAST(ceil(n_rows / 16) AS BIGINT))) AS j FROM g)""",
 )
+add(
+    "grd1_tiles_of_areas",
+    lambda fx: resample.tiles_of(zo.bounds(fx.polygons()), 2.0, ["feature_id"]),
+    """SELECT feature_id, CAST(i AS INT) AS tile_x, CAST(j AS INT) AS tile_y, CAST(px + i * 2 AS DOUBLE) AS min_x, CAST(py + j * 2 AS DOUBLE) AS min_y, CAST(px + i * 2 + 2 AS DOUBLE) AS max_x, CAST(py + j * 2 + 2 AS DOUBLE) AS max_y
+        FROM polys, (SELECT unnest(range(0, 3)) AS i), (SELECT unnest(range(0, 3)) AS j) WHERE i * 2 < side AND j * 2 < side""",
+)
 _TARGET = lambda fx: Grid(20, fx.n_rows() // 3, 1.0, 1.0, 2.0, 2.0)
 _T = "(SELECT CAST(c AS INT) AS col, CAST(r AS INT) AS row, 1 + (c + 0.5) * 2 - 0.5 AS u, 1 + (r + 0.5) * 2 - 0.5 AS v FROM (SELECT unnest(range(0, 20)) AS c), (SELECT unnest(range(0, n_rows // 3)) AS r FROM g)) t"
 _NEAREST = f"SELECT t.col, t.row, elevation FROM {_T} LEFT JOIN dem_gaps d ON d.col = floor(u + 0.5) AND d.row = floor(v + 0.5)"
@@ -342,8 +399,34 @@ def _round_trip(fx: Fixture) -> DataFrame:
 
 
 add("grd3_round_trip", _round_trip, "SELECT point_id, " + ", ".join(f"round(x / 5 - 120.0, 5) AS lon{s}, round(point_id % 12 + 49.5, 5) AS lat{s}" for s in ("", "_3400", "_3402", "_3978", "_3348")) + " FROM points")
+
+
+def _conic_sql(lon0: float, lat0: float, lat1: float, lat2: float, easting: float, northing: float) -> tuple[str, str]:
+    """Forward coordinates of points (lon, lat) by the closed form, in SQL with the ellipsoid's constants in place."""
+    e = "0.08181919104281579"
+    m = lambda f: f"(cos({f}) / sqrt(1 - {e} * {e} * sin({f}) * sin({f})))"
+    ts = lambda f: f"(tan(pi() / 4 - ({f}) / 2) / pow((1 - {e} * sin({f})) / (1 + {e} * sin({f})), {e} / 2))"
+    r = lambda d: f"radians({d})"
+    n = f"(ln({m(r(lat1))} / {m(r(lat2))}) / ln({ts(r(lat1))} / {ts(r(lat2))}))"
+    rho = lambda f: f"(6378137.0 * {m(r(lat1))} / ({n} * pow({ts(r(lat1))}, {n})) * pow({ts(f)}, {n}))"
+    theta = f"({n} * radians(lon - ({lon0})))"
+    return f"{rho('radians(lat)')} * sin({theta}) + {easting}", f"{rho(r(lat0))} - {rho('radians(lat)')} * cos({theta}) + {northing}"
+
+
+def _forward(fx: Fixture) -> DataFrame:
+    lon, lat, out = F.col("x") / 5 - 120.0, F.col("point_id") % 12 + 49.5, {}
+    for name in ("3978", "3348"):
+        x, y = crs.transform_crs(lon, lat, "EPSG:4326", f"EPSG:{name}")
+        out |= {f"x_{name}": x, f"y_{name}": y}
+    return rounded(fx.points().select("point_id", *[c.alias(n) for n, c in out.items()]), 3)
+
+
+_XY = {"3978": _conic_sql(-95.0, 49.0, 49.0, 77.0, 0.0, 0.0), "3348": _conic_sql(-91.86666666666666, 63.390675, 49.0, 77.0, 6200000.0, 3000000.0)}
+add("grd3_forward", _forward, "SELECT point_id, " + ", ".join(f"round({v}, 3) AS {a}_{n}" for n, xy in _XY.items() for a, v in zip("xy", xy)) + " FROM (SELECT point_id, x / 5 - 120.0 AS lon, point_id % 12 + 49.5 AS lat FROM points)")
 add("grd4_template", lambda fx: rounded(resample.reference_template(zo.bounds(fx.polygons()))), "SELECT round(bx + floor(round((x1 - bx) / s, 9)) * s, 6) AS x0, round(b_y + floor(round((y1 - b_y) / s, 9)) * s, 6) AS y0, CAST(s AS DOUBLE) AS dx, CAST(s AS DOUBLE) AS dy, CAST(ceil(round((x2 - bx) / s, 9)) - floor(round((x1 - bx) / s, 9)) AS INT) AS n_cols, CAST(ceil(round((y2 - b_y) / s, 9)) - floor(round((y1 - b_y) / s, 9)) AS INT) AS n_rows FROM (SELECT arg_min(px, feature_id) AS bx, arg_min(py, feature_id) AS b_y, any_value(side) AS s FROM polys WHERE side = (SELECT max(side) FROM polys)), (SELECT min(px) AS x1, min(py) AS y1, max(px + side) AS x2, max(py + side) AS y2 FROM polys)")
 
+add("grd4_template_of_raster", lambda fx: resample.reference_template(_grids(fx).where("raster = 4")).withColumn("n_rows", F.col("n_rows").cast("int")), "SELECT CAST(n_nationkey % 3 * 15.0 AS DOUBLE) AS x0, CAST(n_nationkey % 2 * 30.0 AS DOUBLE) AS y0, CAST(30.0 AS DOUBLE) AS dx, CAST(30.0 AS DOUBLE) AS dy, CAST(98 AS INT) AS n_cols, CAST(n_nationkey % 4 + 97 AS INT) AS n_rows FROM nation WHERE n_nationkey = 4")
+
 # --- interpolation -----------------------------------------------------------------------------------------------
 _IDW = "SELECT c.col, c.row, round(coalesce({keep} max(s.z) FILTER (s.col = c.col AND s.row = c.row), sum(s.z / d2) FILTER (d2 > 0) / sum(1 / d2) FILTER (d2 > 0), any_value(m)), 6) AS elevation FROM dem_gaps c LEFT JOIN (SELECT s.*, c.col AS cc, c.row AS cr, CAST((s.col - c.col) * (s.col - c.col) + (s.row - c.row) * (s.row - c.row) AS DOUBLE) AS d2 FROM dem c JOIN (SELECT col, row, elevation AS z FROM dem_gaps WHERE elevation IS NOT NULL ORDER BY (col * 7919 + row * 104729) % 1000003, col, row LIMIT 60) s ON (s.col - c.col) * (s.col - c.col) + (s.row - c.row) * (s.row - c.row) <= 36) s ON cc = c.col AND cr = c.row, (SELECT avg(elevation) AS m FROM (SELECT elevation FROM dem_gaps WHERE elevation IS NOT NULL ORDER BY (col * 7919 + row * 104729) % 1000003, col, row LIMIT 60)) GROUP BY c.col, c.row"
 add("wf1_idw", lambda fx: rounded(interpolate.idw(fx.dem_gaps(), ["elevation"], 6, 2, 60)), _IDW.format(keep=""))
@@ -366,10 +449,15 @@ add("wf8_landsat_filled", lambda fx: rounded(wf.landsat_series(fx.scenes(), fx.p
     FROM (SELECT start_date, dem.col, dem.row, v FROM (SELECT DISTINCT start_date FROM used) CROSS JOIN dem LEFT JOIN (SELECT start_date, col, row, avg({index_sql("NDVI", ix.LANDSAT)}) AS v FROM {_LS} GROUP BY ALL) USING (start_date, col, row)) a
     JOIN (SELECT start_date, col, row, avg({index_sql("NDVI", ix.LANDSAT)}) AS v FROM {_LS} GROUP BY ALL) b USING (start_date)
     WHERE a.col - b.col BETWEEN -3 AND 3 AND a.row - b.row BETWEEN -3 AND 3 AND a.col BETWEEN 5 AND 44 GROUP BY start_date, a.col, a.row""")
-add("wf9_sentinel_series", lambda fx: rounded(wf.sentinel_series(fx.scenes(), fx.pixels_s2(), fx.windows(), ["NDVI", "RDI"]).select("start_date", *CELL, "B8", "NDVI", "RDI", "month", "year")), f"SELECT start_date, col, row, round(median(B8), 6) AS B8, round(median({nd('B8', 'B4')}), 6) AS NDVI, round(median(B12 / nullif(B8A, 0)), 6) AS RDI, CAST(month(start_date) AS INT) AS month, CAST(year(start_date) AS INT) AS year FROM s2 JOIN placed USING (image_id) WHERE cloud_pct < 20 GROUP BY start_date, col, row")
+add("wf9_sentinel_series", lambda fx: rounded(wf.sentinel_series(fx.scenes(), fx.pixels_s2(), fx.windows(), ["NDVI", "RDI"], earliest=date(1996, 8, 1)).select("start_date", *CELL, "B8", "NDVI", "RDI", "month", "year")), f"SELECT start_date, col, row, round(median(B8), 6) AS B8, round(median({nd('B8', 'B4')}), 6) AS NDVI, round(median(B12 / nullif(B8A, 0)), 6) AS RDI, CAST(month(start_date) AS INT) AS month, CAST(year(start_date) AS INT) AS year FROM s2 JOIN (SELECT image_id, cloud_pct, f.start_date FROM scenes JOIN ({_FLOORED}) f ON time_start >= f.start_date AND time_start < f.end_date) USING (image_id) WHERE cloud_pct < 20 GROUP BY start_date, col, row")
 add("wf10_soil_points", lambda fx: rounded(wf.soil_stack(fx.soil(), ["clay_0_5cm"], ["clay"], fx.points(), fx.grid())["points"], 3), "SELECT point_id, round(clay_0_5cm / 10.0, 3) AS clay_0_5cm FROM point_cells JOIN soil USING (col, row)")
 add("wf10_soil_coarse", lambda fx: rounded(wf.soil_stack(fx.soil(), ["clay_0_5cm"], ["clay"])["coarse"], 4), "SELECT CAST(col // 4 AS INT) AS col, CAST(row // 4 AS INT) AS row, round(avg(clay_0_5cm / 10.0), 4) AS clay_0_5cm FROM soil GROUP BY col // 4, row // 4")
 add("wf11_hydrosoil", lambda fx: rounded(wf.hydrosoil_stack(fx.soil(), ["ksat"], ["stc"]).withColumn("stc", F.col("stc").cast("int")), 6), "SELECT col, row, round(k, 6) AS ksat, stc FROM (SELECT CAST(col // 4 AS INT) AS col, CAST(row // 4 AS INT) AS row, stc, row_number() OVER (PARTITION BY col // 4, row // 4 ORDER BY count(*) DESC, stc) AS rn, sum(sum(CAST(CAST(ksat * 0.0001 AS FLOAT) AS DOUBLE))) OVER (PARTITION BY col // 4, row // 4) / sum(count(*)) OVER (PARTITION BY col // 4, row // 4) AS k FROM soil GROUP BY col // 4, row // 4, stc) WHERE rn = 1")
+add(
+    "wf11_hydrosoil_points",
+    lambda fx: rounded(wf.hydrosoil_points(wf.hydrosoil_image(_hydrosoil(fx), _DEPTHS, ["ksat", "stc"], {"stc": ["0-5cm"]}), fx.points(), fx.grid(), ["ksat_0-5cm", "ksat_5-15cm"], ["0-5cm"]).withColumn("0-5cm", F.col("0-5cm").cast("int"))),
+    f'SELECT point_id, batch, round(k0 * 0.0001, 6) AS "ksat_0-5cm", round(k5 * 0.0001, 6) AS "ksat_5-15cm", CAST(s0 AS INT) AS "0-5cm" FROM point_cells JOIN ({_HS}) USING (col, row)',
+)
 add("wf12_phenology", lambda fx: rounded(wf.phenology_series(fx.phenology(), ["EVI_Area_1"], {"0": 0, "150": 2}, fx.grid()), 6), f"SELECT a.year, a.col, a.row, round(CAST(CAST(any_value(a.EVI_Area_1) * 0.1 AS FLOAT) AS DOUBLE), 6) AS EVI_Area_1_0, round(avg(CAST(CAST(b.EVI_Area_1 * 0.1 AS FLOAT) AS DOUBLE)), 6) AS EVI_Area_1_150 FROM phenology a JOIN phenology b ON a.year = b.year AND {circle(2)} GROUP BY a.year, a.col, a.row")
 add("wf13_polygon_summary", lambda fx: rounded(wf.polygon_summary(_series(fx), zo.polygon_spans(fx.polygons(), fx.grid()), ["NDVI"])), f"SELECT feature_id, start_date, round(avg(v), 6) AS NDVI_mean FROM (SELECT start_date, col, row, avg({index_sql('NDVI', ix.LANDSAT)}) AS v FROM {_LS} GROUP BY ALL) JOIN poly_cells USING (col, row) GROUP BY ALL")
 _TPI = f"(SELECT col, row, z - avg(v) AS elevation FROM {around(circle(3), 'dem')} GROUP BY col, row, z)"
@@ -380,16 +468,23 @@ add("e3_tpi_to_coarse", lambda fx: wf.tpi_to_coarse(fx.dem(), 3, *(Grid(50, fx.n
 
 def _grids(fx: Fixture) -> DataFrame:
     k = F.col("n_nationkey")
-    rows = fx.read("nation").select(k.alias("raster"), F.when(k % 7 == 0, "EPSG:3978").otherwise("EPSG:3400").alias("crs"), (k % 3 * 15.0).alias("x0"), (k % 2 * 30.0).alias("y0"), F.when(k % 5 == 0, 25.0).otherwise(30.0).alias("dx"), F.lit(30.0).alias("dy"), F.lit(100).alias("n_cols"), (k % 4 + 99).cast("int").alias("n_rows"))
-    return rows
+    x0 = k % 3 * 15.0 + F.when(k % 4 == 3, 0.05).when(k % 4 == 2, 0.00004).otherwise(0.0)  # 0.05 m off is off, 0.00004 m is not
+    return fx.read("nation").select(k.alias("raster"), F.when(k % 7 == 0, "EPSG:3978").otherwise("EPSG:3400").alias("crs"), x0.alias("x0"), (k % 2 * 30.0).alias("y0"), F.when(k % 5 == 0, 25.0).otherwise(30.0).alias("dx"), F.lit(30.0).alias("dy"), F.lit(98).alias("n_cols"), (k % 4 + 97).cast("int").alias("n_rows"))
 
 
 def _fit(fx: Fixture) -> DataFrame:
     t = fx.spark.range(1).select(F.lit("EPSG:3400").alias("crs"), *[F.lit(v).alias(n) for n, v in (("x0", 0.0), ("y0", 0.0), ("dx", 30.0), ("dy", 30.0), ("n_cols", 100), ("n_rows", 100))])
-    return qa.grid_fit(_grids(fx), t).select("raster", *[F.col(c).cast("int").alias(c) for c in ("crs_equal", "res_equal", "aligned", "same_extent", "stackable")])
+    return rounded(qa.grid_fit(_grids(fx), t).select("raster", "offset_x", "offset_y", *[F.col(c).cast("int").alias(c) for c in ("crs_equal", "res_equal", "aligned", "same_extent", "stackable")]))
 
 
-add("qa1_grid_fit", _fit, "SELECT raster, CAST(a AS INT) AS crs_equal, CAST(b AS INT) AS res_equal, CAST(c AS INT) AS aligned, CAST(d AS INT) AS same_extent, CAST(a AND b AND c AND d AS INT) AS stackable FROM (SELECT n_nationkey AS raster, n_nationkey % 7 <> 0 AS a, n_nationkey % 5 <> 0 AS b, n_nationkey % 3 <> 1 AS c, n_nationkey % 3 = 0 AND n_nationkey % 2 = 0 AND n_nationkey % 4 = 1 AS d FROM nation)")
+add(
+    "qa1_grid_fit",
+    _fit,
+    """SELECT raster, round(ox, 6) AS offset_x, 0.0 AS offset_y, CAST(a AS INT) AS crs_equal, CAST(b AS INT) AS res_equal, CAST(a AND ox <= 0.0001 AS INT) AS aligned, 0 AS same_extent,
+        CAST(a AND b AND ox <= 0.0001 AND x0 + dx * 98 <= 3000.0001 AND y0 + 30 * nr <= 3000.0001 AS INT) AS stackable
+        FROM (SELECT *, least(x0 % 30, 30 - x0 % 30) AS ox FROM (SELECT n_nationkey AS raster, n_nationkey % 7 <> 0 AS a, n_nationkey % 5 <> 0 AS b, CASE WHEN n_nationkey % 5 = 0 THEN 25.0 ELSE 30.0 END AS dx, n_nationkey % 2 * 30.0 AS y0, n_nationkey % 4 + 97 AS nr,
+            CAST(n_nationkey % 3 * 15.0 AS DOUBLE) + CASE n_nationkey % 4 WHEN 3 THEN 0.05 WHEN 2 THEN 0.00004 ELSE 0.0 END AS x0 FROM nation))""",
+)
 add("qa2_count_outside", lambda fx: qa.count_outside(fx.dem_gaps(), "elevation", zo.polygon_spans(fx.aoi(), fx.grid())), "SELECT count(elevation) AS n_outside, CAST(count(elevation) = 0 AS INT) AS in_boundary FROM dem_gaps WHERE col NOT BETWEEN 5 AND 44")
 add("qa3_na_mask", lambda fx: qa.na_mask(densify(fx.dem_gaps().where("elevation is not null"), fx.grid()), "elevation"), "SELECT col, row, elevation, CASE WHEN elevation IS NULL THEN 1 ELSE 0 END AS na FROM dem_gaps")
 add("qa4_checkerboard", lambda fx: qa.checkerboard(fx.spark, fx.grid(), zo.polygon_spans(fx.polygons(), fx.grid())), "SELECT DISTINCT col, row, (col + row) % 2 AS value FROM poly_cells")
@@ -423,13 +518,22 @@ _ROWS = [(1, [[(1.2, 1.2), (9.2, 1.2), (9.2, 6.2), (1.2, 6.2)], [(3.2, 2.2), (5.
 add("src4_inline_features", lambda fx: rounded(zo.reduce_regions(fx.dem(), zo.polygon_spans(f := io.features_from_rows(fx.spark, _ROWS), fx.grid()), f, ["elevation"])), "SELECT CAST(k AS BIGINT) AS feature_id, round(avg(elevation), 6) AS elevation FROM (SELECT 1 AS k, elevation FROM dem WHERE col + 0.5 BETWEEN 1.2 AND 9.2 AND row + 0.5 BETWEEN 1.2 AND 6.2 AND NOT (col + 0.5 BETWEEN 3.2 AND 5.2 AND row + 0.5 BETWEEN 2.2 AND 4.2) UNION ALL SELECT 2, elevation FROM dem WHERE col >= 20 AND row >= 3 AND (col + 0.5 - 20) + (row + 0.5 - 3) < 6) GROUP BY k")
 
 
-def _tiles(fx: Fixture) -> DataFrame:
+def _tiles(fx: Fixture, pattern: str = r"tile_\d\.d/.*\.parquet$") -> DataFrame:
     path = _folder(fx, "tiles")
     for i in range(3):
         fx.dem_gaps().where((F.col("row") % 3 == i) | (F.col("row") % 5 == 0)).withColumn("elevation", F.col("elevation") + i).coalesce(1).write.parquet(f"{path}/tile_{i}.d")
-    return io.read_tiles(fx.spark, path, r"\.parquet$").withColumn("order", F.regexp_extract(F.input_file_name(), r"tile_(\d)", 1))
+    return io.read_tiles(fx.spark, path, pattern).withColumn("order", F.regexp_extract("tile", r"tile_(\d)", 1))
+
+
+def _one_tile(fx: Fixture) -> DataFrame:
+    """A single file by its own path."""
+    path = _written(fx, "tile", lambda p: fx.dem_gaps().coalesce(1).write.parquet(p))
+    file = next(f for f in fx.spark.read.parquet(path).inputFiles())
+    return io.read_tiles(fx.spark, file).select(*CELL, "elevation")
 
 
+add("src5_tiles", lambda fx: _tiles(fx, r"^tile_1\.d/.*\.parquet$").select(*CELL, "elevation", F.col("order").cast("int").alias("tile")), "SELECT col, row, elevation + 1 AS elevation, 1 AS tile FROM dem_gaps WHERE row % 3 = 1 OR row % 5 = 0")
+add("src5_single_file", _one_tile, "SELECT col, row, elevation FROM dem_gaps")
 add("src6_mosaic_tiles", lambda fx: rounded(io.mosaic_tiles(_tiles(fx), "elevation", ["order"])), "SELECT col, row, round(elevation + CASE WHEN row % 5 = 0 THEN 2 ELSE row % 3 END, 6) AS elevation FROM dem_gaps")
 add("src7_named_layers", lambda fx: io.read_named_layers(fx.spark, {n: _written(fx, n, lambda p, n=n: fx.soil().select(*CELL, F.col(n).cast("int").alias("b1")).write.parquet(p)) for n in ("ksat", "stc")}), "SELECT col, row, ksat, stc FROM soil")
 
@@ -439,10 +543,12 @@ def _back(fx: Fixture, write: Callable[[str], object], schema: str | None = None
     return fx.spark.read.csv(path, header=True, schema=schema) if schema else fx.spark.read.parquet(path)
 
 
+add("snk1_table_csv", lambda fx: _back(fx, lambda p: io.write_table_csv(fx.scenes().select("image_id", "cloud_pct", "sensor"), p), "image_id long, cloud_pct int, sensor string"), "SELECT image_id, cloud_pct, sensor FROM scenes")
 add("snk2_stats_csv", lambda fx: _back(fx, lambda p: io.write_stats_csv(cp.reduce_region(fx.pixels_ls(), ["SR_B4"], ["minMax"]), p), "image_id long, SR_B4_min long, SR_B4_max long"), "SELECT image_id, min(SR_B4) AS SR_B4_min, max(SR_B4) AS SR_B4_max FROM pixels_ls GROUP BY image_id")
 _NAME = lambda: F.when(F.col("year") != 1998, F.concat(F.lit("lc_"), F.col("year").cast("string")))
 add("snk3_images", lambda fx: _back(fx, lambda p: io.write_images(fx.landcover(), p, _NAME())).select("year", *CELL, "b1", F.col("file_key").cast("string").alias("file_key")), "SELECT year, col, row, b1, 'lc_' || year AS file_key FROM landcover WHERE year <> 1998")
 add("snk4_bands", lambda fx: _back(fx, lambda p: io.write_bands(fx.soil(), p, F.lit("soil"), ["ksat", "stc"])).select(*CELL, "band", "value"), "SELECT col, row, 'ksat' AS band, CAST(ksat AS DOUBLE) AS value FROM soil UNION ALL SELECT col, row, 'stc', CAST(stc AS DOUBLE) FROM soil")
 add("snk5_on_grid", lambda fx: _back(fx, lambda p: io.write_on_grid(fx.dem_gaps(), p, ["elevation"], fx.grid(), _TARGET(fx))), _NEAREST)
+add("snk5_at_scale", lambda fx: _back(fx, lambda p: io.write_on_grid(fx.dem_gaps(), p, ["elevation"], fx.grid(), scale=2.0)), "SELECT CAST(c AS INT) AS col, CAST(r AS INT) AS row, elevation FROM (SELECT unnest(range(0, 25)) AS c), (SELECT unnest(range(0, n_rows // 2)) AS r FROM g) LEFT JOIN dem_gaps d ON d.col = 2 * c + 1 AND d.row = 2 * r + 1")
 add("snk6_batched", lambda fx: _back(fx, lambda p: io.write_batched(fx.points().select("point_id", "batch"), p), "point_id long, batch int, file_key string").select("point_id", "batch", "file_key"), "SELECT point_id, batch, 'points_batch' || lpad(CAST(batch AS VARCHAR), 2, '0') AS file_key FROM points")
 add("snk7_round_and_cast", lambda fx: io.round_and_cast(fx.upslope().withColumn("upa", F.col("upa") * 50), ["upa"]).withColumn("upa", F.col("upa").cast("int")), "SELECT col, row, CAST(round_even(upa * 50, 0) AS INT) AS upa FROM upslope")

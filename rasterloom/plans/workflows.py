@@ -40,8 +40,12 @@ def landsat_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, ind
     return clip(out, aoi) if aoi is not None else out
 
 
-def sentinel_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, indices: Sequence[str], cloud_below: float = 20, aoi: DataFrame | None = None) -> DataFrame:
-    """start_date, col, row, reflectance bands and indices (medians of the index, not indices of the median)."""
+def sentinel_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, indices: Sequence[str], cloud_below: float = 20, aoi: DataFrame | None = None, earliest: date | None = date(2019, 6, 1)) -> DataFrame:
+    """start_date, col, row, reflectance bands and indices (medians of the index, not indices of the median).
+
+    Windows that begin before the archive is complete (``earliest``) are moved there.
+    """
+    windows = s.floor_windows(windows, earliest) if earliest else windows
     raw = [c for c in SENTINEL2.roles.values() if c in pixels.columns]
     use = s.join_windows(s.filter_property(scenes, F.col("cloud_pct") < cloud_below), windows).select("image_id", "start_date")
     x = masks.mask_s2_clouds(pixels.join(use, "image_id"), raw)
@@ -96,12 +100,18 @@ def canopy_stack(height: DataFrame, sd: DataFrame) -> DataFrame:
 
 def tpi_to_coarse(dem: DataFrame, radius: int, fine: Grid, coarse: Grid, aoi: DataFrame | None = None, z: str = "elevation") -> DataFrame:
     """Topographic position on the fine grid (computed before the clip, so edges see their ring), averaged by area to
-    the coarse one and rounded to whole numbers."""
-    from rasterloom.operators.resample import aggregate_to_grid
+    the coarse one and rounded to whole numbers. A fine grid of another projection is first brought to the coarse one's,
+    bilinearly and at its own cell size."""
+    from rasterloom.operators.resample import aggregate_to_grid, snap_to_grid
     from rasterloom.sources.io import round_and_cast
 
     x = f.tpi(densify(dem, fine), z, [radius])
     x = clip(x, aoi) if aoi is not None else x
+    if fine.crs != coarse.crs:
+        step = abs(fine.dx)
+        n = lambda k, d: round(k * abs(d) / step)
+        warped = Grid(n(coarse.n_cols, coarse.dx), n(coarse.n_rows, coarse.dy), coarse.x0, coarse.y0, step, step if coarse.dy > 0 else -step, coarse.crs)
+        x, fine = snap_to_grid(x, [f"tpi_{radius}"], fine, warped, "bilinear"), warped
     return round_and_cast(aggregate_to_grid(x, [f"tpi_{radius}"], fine, coarse), [f"tpi_{radius}"])
 
 
@@ -114,6 +124,23 @@ def soil_stack(soil: DataFrame, bands: Sequence[str], variables: Sequence[str],
     return out
 
 
+def hydrosoil_image(rows: DataFrame, assets: Mapping[str, Sequence[str]], selected: Sequence[str] = (), chosen: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """The images of the selected assets (all where none is) as bands of one, by asset and depth (``bands.asset_image``).
+
+    ``assets`` names every asset's images; ``chosen`` those to keep of an asset.
+    """
+    wanted = [a for a in assets if not selected or a in selected]
+    if not wanted:
+        raise ValueError(f"none of {list(selected)} is an asset")
+    parts = [b.asset_image(rows, a, assets[a], (chosen or {}).get(a)) for a in wanted]
+    return parts[0] if len(parts) == 1 else b.combine_images(parts, prefix=False)
+
+
+def hydrosoil_points(stack: DataFrame, points: DataFrame, grid: Grid, continuous: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Scaled values at the points of every batch, which is kept for ``io.write_batched``; not clipped."""
+    return sample_regions(scaling.scale_hydrosoil(stack, continuous, categorical), points, grid, ["point_id", "batch"])
+
+
 def hydrosoil_stack(stack: DataFrame, continuous: Sequence[str], categorical: Sequence[str], factor: int = 4) -> DataFrame:
     """Means of continuous and modes of categorical bands on coarser cells; either list may be empty."""
     x = scaling.scale_hydrosoil(stack, continuous, categorical)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -42,14 +43,15 @@ def features_from_rows(spark: SparkSession, rows: Sequence[tuple[int, Sequence[S
 
 
 def read_tiles(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Rows of the files below ``path`` whose name matches a regular expression, with the name in ``tile``; an error
-    when no file matches."""
-    df = spark.read.option("recursiveFileLookup", "true").parquet(path).withColumn("tile", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    if pattern:
-        df = df.where(F.col("tile").rlike(pattern))
-    if df.isEmpty():
+    """Rows of one file, or of the files below ``path`` whose path below it matches a regular expression, with that path
+    in ``tile``; an error when no file matches. Names are listed and chosen first, so other files are never opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").collect()  # names alone
+    below = lambda p: p.split(path.removeprefix("file://").rstrip("/") + "/", 1)[-1]
+    chosen = {r.path: below(r.path) for r in listed if r.path.endswith(".parquet") and (pattern is None or re.search(pattern, below(r.path)))}
+    if not chosen:
         raise FileNotFoundError(f"no tile in {path} matches {pattern or 'anything'}")
-    return df
+    at = F.input_file_name()
+    return spark.read.parquet(*chosen).withColumn("tile", F.element_at(F.split(at, F.lit(re.escape(path.removeprefix("file://").rstrip("/")) + "/"), 2), -1))
 
 
 def mosaic_tiles(tiles: DataFrame, band: str, order: Sequence[str] = ("tile",)) -> DataFrame:
@@ -86,17 +88,26 @@ def with_file_key(df: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
     return named.where(good), named.where(~good)
 
 
+#: Side of the block of cells that one task writes of an image; files of a batch.
+BLOCK, PARTS = 4096, 8
+
+
+def blocks(df: DataFrame) -> list[Column]:
+    """What deals an image's cells over tasks: blocks of BLOCK x BLOCK cells, where there are cells."""
+    return [F.floor(F.col(c) / BLOCK) for c in CELL] if set(CELL) <= set(df.columns) else []
+
+
 def write_images(df: DataFrame, path: str, key: Column, mode: str = "errorifexists") -> DataFrame:
     """One folder per image, named by the key; returns the rows that could not be named."""
     good, bad = with_file_key(df, key)
-    good.repartition("file_key").write.mode(mode).partitionBy("file_key").parquet(path)
+    good.repartition("file_key", *blocks(good)).write.mode(mode).partitionBy("file_key").parquet(path)
     return bad
 
 
 def write_bands(df: DataFrame, path: str, key: Column, bands: Sequence[str], mode: str = "errorifexists") -> DataFrame:
     """One folder per image and band."""
     good, bad = with_file_key(df, key)
-    unpivoted(good, bands).repartition("file_key", "band").write.mode(mode).partitionBy("file_key", "band").parquet(path)
+    unpivoted(good, bands).repartition("file_key", "band", *blocks(good)).write.mode(mode).partitionBy("file_key", "band").parquet(path)
     return bad
 
 
@@ -115,8 +126,9 @@ def with_batch_name(df: DataFrame, batch: str = "batch", stem: str = "points") -
 
 
 def write_batched(df: DataFrame, path: str, batch: str = "batch", stem: str = "points", mode: str = "errorifexists") -> None:
-    """All batches in one job, a folder of CSV each."""
-    with_batch_name(df, batch, stem).repartition("file_key").write.mode(mode).partitionBy("file_key").csv(path, header=True)
+    """All batches in one job, a folder of CSV each; a batch is dealt over up to PARTS files."""
+    parts = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+    with_batch_name(df, batch, stem).repartition("file_key", parts).write.mode(mode).partitionBy("file_key").csv(path, header=True)
 
 
 def round_and_cast(df: DataFrame, bands: Sequence[str], dtype: str = "smallint") -> DataFrame:
