@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.functions import masks, scaling
+from rasterloom.functions import crs, masks, scaling
 from rasterloom.functions.expr import at_least
 from rasterloom.functions.indices import LANDSAT, SENTINEL2, add_indices
 from rasterloom.model import CELL, Grid, densify
@@ -108,7 +108,9 @@ def tpi_to_coarse(dem: DataFrame, radius: int, fine: Grid, coarse: Grid, aoi: Da
     x = f.tpi(densify(dem, fine), z, [radius])
     x = clip(x, aoi) if aoi is not None else x
     if fine.crs != coarse.crs:
-        step = abs(fine.dx)
+        at = lambda k: crs.transform_crs(F.lit(fine.x0 + (fine.n_cols / 2 + k) * fine.dx), F.lit(fine.y0 + fine.n_rows / 2 * fine.dy), fine.crs, coarse.crs)
+        (x1, y1), (x2, y2) = at(0), at(1)
+        step = dem.sparkSession.range(1).select(F.hypot(x2 - x1, y2 - y1)).first()[0]  # the cell's width in the coarse grid's units
         n = lambda k, d: round(k * abs(d) / step)
         warped = Grid(n(coarse.n_cols, coarse.dx), n(coarse.n_rows, coarse.dy), coarse.x0, coarse.y0, step, step if coarse.dy > 0 else -step, coarse.crs)
         x, fine = snap_to_grid(x, [f"tpi_{radius}"], fine, warped, "bilinear"), warped

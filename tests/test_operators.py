@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rasterloom.functions import crs, expr, masks, scaling
 from rasterloom.functions import indices as ix
 from rasterloom.model import Grid, densify
-from rasterloom.operators import bands, composite, focal, interpolate, qa, resample, zonal
+from rasterloom.operators import bands, composite, focal, interpolate, qa, resample, scenes, zonal
 from rasterloom.plans import workflows
 from rasterloom.sources import io
 
@@ -170,10 +170,54 @@ def test_harmonised_bands_keep_flags(spark):
 def test_streaming_composite_matches_batch(spark, tmp_path):
     from rasterloom.streaming.composites import streaming_composite
 
-    rows = [(0, 0, f"2001-0{m}-01 00:00:00", float(m)) for m in (1, 2, 3, 9)]
+    rows = [(c, 0, f"2001-0{m}-0{d} 00:00:00", None if (m, c) == (2, 1) else float(m * d + c)) for m in (1, 2, 3, 4, 9) for d in (1, 5) for c in (0, 1)]
     df = spark.createDataFrame(rows, "col int, row int, t string, z double").selectExpr("col", "row", "to_timestamp(t) AS time_start", "z")
-    df.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    q = streaming_composite(stream, ["z"], length="120 days", late="1 day").writeStream.outputMode("append").format("memory").queryName("made").trigger(availableNow=True).start()
-    q.awaitTermination(60)
-    assert [r.z for r in spark.sql("SELECT z FROM made ORDER BY start_date").collect()][:1] != []
+    df.where("month(time_start) < 9").coalesce(1).write.parquet(str(tmp_path / "in"))
+    df.where("month(time_start) = 9").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = streaming_composite(stream, ["z"], length="60 days", late="1 day").writeStream.outputMode("append").format("memory").queryName("made").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    batch = df.withColumn("start_date", F.window("time_start", "60 days")["start"])
+    want = composite.composite(batch.where("month(time_start) < 9"), ["z"], "mean")  # the last window is still open
+    told = lambda x: sorted((str(r.start_date), r.col, r.row, r.z) for r in x.collect())
+    assert told(spark.table("made")) == told(want) and want.count() >= 4
+
+
+def test_transverse_mercator_against_a_series_of_another_kind(spark):
+    f = 1 / 298.257222101
+    n = f / (2 - f)
+    e = math.sqrt(f * (2 - f))
+    radius = 6378137 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280]
+
+    def kruger(lon, lat):
+        phi, lam = math.radians(lat), math.radians(lon + 115)
+        t = math.sinh(math.atanh(math.sin(phi)) - e * math.atanh(e * math.sin(phi)))
+        xi, eta = math.atan2(t, math.cos(lam)), math.asinh(math.sin(lam) / math.hypot(t, math.cos(lam)))
+        east = eta + sum(a * math.cos(2 * j * xi) * math.sinh(2 * j * eta) for j, a in enumerate(alpha, 1))
+        north = xi + sum(a * math.sin(2 * j * xi) * math.cosh(2 * j * eta) for j, a in enumerate(alpha, 1))
+        return 500000 + 0.9992 * radius * east, 0.9992 * radius * north
+
+    points = [(-115.0, 54.0), (-120.0, 49.0), (-110.0, 60.0), (-112.5, 51.05), (-118.9, 56.2)]
+    df = spark.createDataFrame(points, "lon double, lat double")
+    x, y = crs.transform_crs(F.col("lon"), F.col("lat"), "EPSG:4326", "EPSG:3400")
+    for r in df.select("lon", "lat", x.alias("x"), y.alias("y")).collect():
+        a, b = kruger(r.lon, r.lat)
+        assert abs(r.x - a) < 0.05 and abs(r.y - b) < 0.05  # metres
+
+
+def test_template_of_another_projection(spark):
+    fine = Grid(40, 40, -115.01, 54.0, 0.0005, -0.0005, "EPSG:4326")
+    df = fine.cells(spark).withColumn("elevation", F.col("col") * 3.0 + F.col("row") * 3.0)  # a plane is flat everywhere
+    lon, lat = crs.transform_crs(F.lit(-115.0), F.lit(53.99), "EPSG:4326", "EPSG:3400")
+    mid = spark.range(1).select(lon.alias("x"), lat.alias("y")).first()
+    coarse = Grid(4, 4, mid.x - 400, mid.y + 400, 200.0, -200.0, "EPSG:3400")
+    out = workflows.tpi_to_coarse(df, 2, fine, coarse).collect()
+    assert {(r.col, r.row) for r in out} == {(c, r) for c in range(4) for r in range(4)} and all(r.tpi_2 == 0 for r in out)
+
+
+def test_dates_of_rounded_periods(spark):
+    rows = [("1995-06-01", "2001-11-30"), ("1995-06-01", "2001-12-15")]
+    for (a, b), last in zip(rows, ("2001-06-01", "2002-06-01")):
+        got = scenes.dates_within(spark.sql(f"SELECT DATE '{a}' AS start, DATE '{b}' AS end"), 1, "year").agg(F.max("start_date")).first()[0]
+        assert str(got) == last
