@@ -373,7 +373,7 @@ def _grouped(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: s
 
     own = classes.select("h0", "h1", "id", "least_doc").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = own.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    own = own.join(least, "component").select("h0", "h1", "component", "component_id")
+    own = met(own, least, ["component"], ["id"], often(own, ["component"])).select("h0", "h1", "component", "component_id")
     out = each.select("doc_id", "place", "n_shingles", "h0", "h1").join(own, ["h0", "h1"], "left")
     alone = F.col("n_shingles") == 0
     return out.select("doc_id", "place", "n_shingles", F.when(~alone, F.col("component")).alias("component"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -387,7 +387,7 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **opt
     rows = written(_grouped(df, doc_id=doc_id, text=text, **options).where("component is not null").groupBy("component", "doc_id", "place").agg(F.count("*").alias("times")), "rows")
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")).alias("first"))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
-    told = rows.join(first, "component").select(F.col("doc_id").alias("_doc"), F.col("place").alias("_place"), same.alias("_first"), "times")
+    told = met(rows, first, ["component"], ["doc_id", "place"], often(rows, ["component"])).select(F.col("doc_id").alias("_doc"), F.col("place").alias("_place"), same.alias("_first"), "times")
     told = written(told.where("not _first or times > 1"), "copies")
     told = F.broadcast(told) if told.count() <= BROADCAST_IDS else told
     on = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_place"))

@@ -46,7 +46,7 @@ def dropped(*tables: DataFrame) -> None:
 
 
 #: Rows of one value in a task of a join, beyond which they are dealt over several; rows of a side up to which it is broadcast.
-DEALT, BROADCAST_ROWS = 4096, 1_000_000
+DEALT, BROADCAST_ROWS = 1024, 1_000_000
 
 
 def often(rows: DataFrame, on: list[str]) -> DataFrame | None:
