@@ -99,15 +99,80 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm import merkle
+
+    lowered = {"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")}
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.verified(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], changed=lowered, where=tampered)
+
+
+def op12_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm.signature_tree import similar_texts
+
+    return similar_texts(table(spark, sf_dir, "documents"), shingle_words=5, percent=80).select("doc_id", "n_shingles", "component_id")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rasterloom.llm import conversations
+
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repaired(conversations.damaged(rows), rows.select("conv_id").distinct())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_warc, op3_curriculum_mix, op4_media_columns, op5_winnowing,
         op6_secret_scan, op7_minhash_hamming, op8_kd_sharding, op9_chunk_dedup, op10_language_id,
+        op11_merkle_manifest, op12_signature_tree, op13_conversation_repair,
     )
 }
 
+#: CRC-32 of a decimal number's digits.
+_CRC = """xor(list_reduce(list_transform(string_split(CAST({x} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda r, b: list_reduce(range(0, 8), lambda d, i: xor(d >> 1, (d & 1) * 3988292384), xor(r, b)), 4294967295), 4294967295)"""
+_SHA_OF = lambda text: "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _merkle_sql(depth: int = 5) -> str:
+    """The tree unrolled: n0 are the leaves, n1 their runs, up to ``depth`` levels in a group; then the groups' own tree."""
+    said = [
+        f"d AS (SELECT doc_id, source, {_SHA_OF('text')} AS leaf, {_SHA_OF('low')} AS lowered, {_CRC.format(x='doc_id')} % 5 = 0 AS asked FROM "
+        "(SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents))",
+        "l AS (SELECT doc_id, source, leaf, CASE WHEN asked THEN lowered ELSE leaf END AS read, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d)",
+    ]
+
+    def levels(p: str, key: str, first: str) -> str:
+        said.append(f"{p}0 AS (SELECT {key}, r, n, h FROM {first})")
+        for i in range(1, depth + 1):
+            said.append(f"{p}{i} AS (SELECT {key}, r // 16 AS r, CAST(ceil(any_value(n) / 16.0) AS BIGINT) AS n, sha256(string_agg(h, '' ORDER BY r)) AS h FROM {p}{i - 1} WHERE n > 1 GROUP BY {key}, r // 16)")
+            others = ", ".join(f"coalesce(string_agg(h, '') OVER (run ROWS BETWEEN {span}), '') AS {side}" for side, span in (("lft", "UNBOUNDED PRECEDING AND 1 PRECEDING"), ("rgt", "1 FOLLOWING AND UNBOUNDED FOLLOWING")))
+            said.append(f"{p}s{i} AS (SELECT {key}, r, {others} FROM {p}{i - 1} WHERE n > 1 WINDOW run AS (PARTITION BY {key}, r // 16 ORDER BY r))")
+        return " UNION ALL ".join(f"SELECT {key}, h FROM {p}{i} WHERE n = 1" for i in range(depth + 1))
+
+    tops = levels("a", "source", "(SELECT source, r, n, leaf AS h FROM l)")
+    said.append(f"sub AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM ({tops}))")
+    root = levels("b", "k", "(SELECT 0 AS k, r, n, h FROM sub)")
+    said.append(f"root AS (SELECT h AS root FROM ({root}))")
+    joins, sides = "", []
+    for i in range(1, depth + 1):
+        joins += f" LEFT JOIN as{i} ON as{i}.source IS NOT DISTINCT FROM l.source AND as{i}.r = l.r // {16 ** (i - 1)}"
+        sides.append(f"as{i}")
+    for i in range(1, depth + 1):
+        joins += f" LEFT JOIN bs{i} ON bs{i}.r = sub.r // {16 ** (i - 1)}"
+        sides.append(f"bs{i}")
+    fold = "read"
+    for x in sides:
+        said_fold = f"f{x}"
+        joins += f", LATERAL (SELECT CASE WHEN {x}.r IS NULL THEN {fold} ELSE sha256({x}.lft || {fold} || {x}.rgt) END AS {said_fold})"
+        fold = said_fold
+    proof = " || ".join(f"coalesce({x}.lft || {x}.rgt, '')" for x in sides)
+    return "WITH " + ",\n".join(said) + f"\nSELECT doc_id, leaf, sub.h AS subroot, root, sha256({proof}) AS proof_sha256, {fold} AS folded_root, {fold} = root AS verified FROM root, l JOIN sub ON sub.source IS NOT DISTINCT FROM l.source{joins}"
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op2_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
      k AS (SELECT page_id, octet_length(body) AS payload_bytes, upper(sha1(body)) AS hex, min(page_id) OVER (PARTITION BY body) AS first FROM p)

@@ -95,3 +95,26 @@ def with_running_total(df: DataFrame, keys: list[str], hash_name: str, ties: lis
     within = Window.partitionBy(*names, "_bucket").orderBy(hash_name, *ties).rowsBetween(Window.unboundedPreceding, -1)
     total = F.col("_offset") + F.coalesce(F.sum(value).over(within), F.lit(0))
     return joined.withColumn(out, total).drop(*names, *[f"_r{n}" for n in names], "_rb", "_bucket", "_offset")
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str], label: str) -> DataFrame:
+    """``rows`` as a written table with ``rank`` (from 0) within their group, by ``order``, and ``total``, the group's size.
+
+    Nulls come first and a null group is a group. Rows are sorted by range over as many tasks as a shuffle has, however
+    large a group is; only the counts of (group, task) are accumulated. Rows alike in all of these columns are ranked in
+    any order.
+    """
+    by = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = written(rows.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), label)
+    names = [f"_g{i}" for i in range(len(group))]
+    task = F.shiftright("_at", 33)
+    counts = placed.groupBy(*[F.col(c).alias(n) for n, c in zip(names, group)], task.alias("_task")).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    every = Window.partitionBy(*names)
+    before = F.coalesce(F.sum("_n").over(every.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = written(counts.select(*names, "_task", (before - F.col("_first")).alias("_shift"), F.sum("_n").over(every).alias("total")), f"{label}-counts")
+    on = task == F.col("_task")
+    for a, c in zip(names, group):
+        on = on & F.col(c).eqNullSafe(F.col(a))
+    side = F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts
+    return placed.join(side, on).withColumn("rank", F.col("_at") + F.col("_shift")).drop(*names, "_task", "_shift", "_at")
