@@ -171,7 +171,7 @@ def verified(df: DataFrame, columns: list[str], group: str = "source", key: str
     any name; an empty table gives an empty one.
     """
     leaf = leaf_digest(df, columns)
-    read = leaf if not changed else F.when(F.coalesce(where, F.lit(True)), leaf_digest(df, columns, changed)).otherwise(leaf)
+    read = leaf if not changed else F.when(F.lit(True) if where is None else where, leaf_digest(df, columns, changed)).otherwise(leaf)
     rows = df.select(F.col(group).alias("group"), F.col(key).alias("key"), leaf.alias("leaf"), read.alias("read"))
     made = manifest(rows, "group", ["key"])
     found = proofs(made, made.leaves.select("group", "rank", "key", "leaf", "read"), "group")

@@ -173,6 +173,16 @@ def _merkle_sql(depth: int = 5) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op11_merkle_manifest": _merkle_sql(),
+    "op12_signature_tree": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     p AS (SELECT doc_id, w, least(len(w), 5) AS k, unnest(range(0, len(w) - least(len(w), 5) + 1)) AS i FROM d WHERE len(w) > 0),
+     s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + k], ' ') AS x FROM p),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.x = y.x AND x.doc_id < y.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+     e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+     r AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op2_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
      k AS (SELECT page_id, octet_length(body) AS payload_bytes, upper(sha1(body)) AS hex, min(page_id) OVER (PARTITION BY body) AS first FROM p)
