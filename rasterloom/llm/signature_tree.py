@@ -1,8 +1,8 @@
 """Exact Jaccard join of texts' word shingles by signature trees.
 
-A leaf of the tree is a set of shingles: a bitmap of 1024 bits with the bit of each shingle set, its size, and its excess,
-the shingles that found their bit set already. A node above holds the OR of its members' bitmaps, the range of their sizes
-and their greatest excess. Two members of nodes A and B have at most |A and B| + min(excess) shingles in common, and need
+A leaf of the tree is a set of shingles: a bitmap with the bit of each shingle set (two bits a shingle or more, so that
+unlike sets of any size differ), its size, and its excess, the shingles that found their bit set already. A node above
+holds the OR of its members' bitmaps, all folded to 1024 bits, the range of their sizes and their greatest excess. Two members of nodes A and B have at most |A and B| + min(excess) shingles in common, and need
 percent / (100 + percent) of their sizes' sum; a pair of nodes that can't reach that is not descended into.
 
 At the top a bitmap of 2^64 bits is kept as the list of its bits, for those shingles alone of which similar sets must
@@ -12,8 +12,9 @@ nobody together; it is the same for all sets, hence nothing is lost whatever the
 
 As in ``neardup``, each member is first compared with two of its bucket, links are joined into components, and members of
 one component never meet again. What is left goes down the tree: small buckets are one node, their leaves tested in the
-join; larger ones have nodes of bounded weight (tiles), pairs of which are pruned before their sets are sent, and each
-pair that stays is descended in one task, over nodes of NODE leaves. Links count after both full sets are compared.
+join; larger ones have nodes of bounded weight (tiles), pairs of which are pruned, and each pair that stays is descended
+in one task, over nodes of NODE leaves. Only then are sets sent, of the leaves that it came to. Links count after both
+full sets are compared.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ BITS, LONGS, NODE = 1024, 16, 16
 LOCAL, WINDOW, FREQUENT, MOST = 3, 4_000_000, 32, 200_000
 
 _SIG = [f"s{i}" for i in range(LONGS)]
-_LEAVES = "doc_id long, place long, n long, excess long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG) + ", prefix array<long>"
+_LEAVES = "doc_id long, place long, n long, excess long, narrow long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG) + ", bits array<long>, prefix array<long>"
 
 
 def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,40 +81,74 @@ def prefix(shingles: np.ndarray, percent: int, last: np.ndarray, times: np.ndarr
     return np.concatenate([rare, rest[np.lexsort((rest, seen))][: size - len(rare)]])
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles & np.uint64(BITS - 1)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.uint64)
+def bitmap(shingles: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """``bits`` bits, a power of two; halves ORed are the bitmap of half the width."""
+    out = np.zeros(bits, np.uint8)
+    out[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out).view(np.uint64)
+
+
+def width(n: int) -> int:
+    """Bits for a set of n: the power of two with two a shingle or more, at least BITS."""
+    return max(BITS, 1 << (2 * n - 1).bit_length()) if n else BITS
+
+
+def excess(n: int, bits: np.ndarray) -> int:
+    return n - int(np.bitwise_count(bits).sum())
 
 
 def _leaves(docs: DataFrame, k: int, percent: int, last: np.ndarray, times: np.ndarray) -> DataFrame:
+    """Per row its set's size, digest, prefix and bitmaps: ``bits`` as wide as it needs with its ``excess``, and folded to
+    BITS with the excess there (``narrow``)."""
+
+    def lists(values: list[np.ndarray]) -> pa.ListArray:
+        ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingles(k)
         for batch in batches:
-            n, excess, whole, sigs, heads = [], [], [], [], []
+            sizes, whole, sigs, wide, heads = [], [], [], [], []
             for t in batch.column(2).to_pylist():
                 s = cut.of(t)
-                sigs.append(bitmap(s))
-                n.append(len(s))
-                excess.append(len(s) - int(np.bitwise_count(sigs[-1]).sum()))
+                bits = bitmap(s, width(len(s)))
+                sigs.append(np.bitwise_or.reduce(bits.reshape(-1, LONGS), axis=0))
+                sizes.append((len(s), excess(len(s), bits), excess(len(s), sigs[-1])))
+                wide.append(bits.view(np.int64))
                 whole.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
                 heads.append(prefix(s, percent, last, times).view(np.int64))
-            w, b = np.array(whole, np.int64).reshape(-1, 2), np.array(sigs, np.uint64).reshape(-1, LONGS).view(np.int64)
-            ends = np.cumsum([0, *map(len, heads)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *heads])))
-            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(excess, pa.int64()), *[pa.array(np.ascontiguousarray(w[:, i])) for i in (0, 1)], *[pa.array(np.ascontiguousarray(b[:, i])) for i in range(LONGS)], lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "excess", "h0", "h1", *_SIG, "prefix"])
+            n, w, b = np.array(sizes, np.int64).reshape(-1, 3), np.array(whole, np.int64).reshape(-1, 2), np.array(sigs, np.uint64).reshape(-1, LONGS).view(np.int64)
+            column = lambda m, i: pa.array(np.ascontiguousarray(m[:, i]))
+            columns = [batch.column(0), batch.column(1), *[column(n, i) for i in range(3)], *[column(w, i) for i in range(2)], *[column(b, i) for i in range(LONGS)], lists(wide), lists(heads)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "excess", "narrow", "h0", "h1", *_SIG, "bits", "prefix"])
 
     return docs.select("doc_id", "place", "text").mapInArrow(run, _LEAVES)
 
 
-def _may_link(a: str, b: str, percent: int, low: str = "n", high: str = "n") -> Column:
-    """Whether members of two nodes (columns with those prefixes) can be similar enough, by sizes and possible overlap."""
-    sizes = (100 * F.col(a + high) >= percent * F.col(b + low)) & (100 * F.col(b + high) >= percent * F.col(a + low))
-    shared = F.least(a + "excess", b + "excess")
+def _sizes_allow(a: str, b: str, percent: int, low: str = "n", high: str = "n") -> Column:
+    return (100 * F.col(a + high) >= percent * F.col(b + low)) & (100 * F.col(b + high) >= percent * F.col(a + low))
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two leaves (columns with those prefixes) can be similar enough, by sizes and possible overlap. Of two widths
+    the greater, twice the other where sizes allow a link, is folded; its excess grows by that, so the other's is taken."""
+    x, y = F.col(f"{a}bits"), F.col(f"{b}bits")
+    n = F.least(F.size(x), F.size(y))
+
+    def narrowed(z: Column) -> Column:
+        return F.when(F.size(z) == n, z).otherwise(F.zip_with(F.slice(z, F.lit(1), n), F.slice(z, n + 1, n), lambda p, q: p.bitwiseOR(q)))
+
+    both = F.aggregate(F.zip_with(narrowed(x), narrowed(y), lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda t, c: t + c)
+    more = F.when(F.size(x) == F.size(y), F.least(a + "excess", b + "excess")).when(F.size(x) == n, F.col(a + "excess")).otherwise(F.col(b + "excess"))
+    return F.when(_sizes_allow(a, b, percent), (100 + percent) * (both + more) >= percent * (F.col(a + "n") + F.col(b + "n"))).otherwise(F.lit(False))
+
+
+def _nodes_may_link(a: str, b: str, percent: int) -> Column:
+    """The same for nodes: ranges of sizes, greatest excess, bitmaps of BITS."""
+    shared = F.least(a + "narrow", b + "narrow")
     for s in _SIG:
         shared = shared + F.bit_count(F.col(a + s).bitwiseAND(F.col(b + s)))
-    return sizes & ((100 + percent) * shared >= percent * (F.col(a + low) + F.col(b + low)))
+    return _sizes_allow(a, b, percent, "low", "high") & ((100 + percent) * shared >= percent * (F.col(a + "low") + F.col(b + "low")))
 
 
 class _Nodes:
@@ -149,36 +184,70 @@ def traversed(a: _Nodes, b: _Nodes, percent: int) -> np.ndarray:
     return back
 
 
-def _descended(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Links between members (tile, id, component, n, excess, signature, set) of the pairs (ta, tb) of tiles."""
+def wide_overlap(near: np.ndarray, x: list[np.ndarray], y: list[np.ndarray], ex: np.ndarray, ey: np.ndarray) -> np.ndarray:
+    """Greatest possible overlap of the pairs in the matrix ``near`` by their full bitmaps; 0 elsewhere.
 
-    def compare(table: pa.Table) -> pa.Table:
+    A pair's narrower width counts. A folded bitmap has a greater excess, so the narrower set's is taken, which both of
+    its bounds allow.
+    """
+    out = np.zeros(near.shape, np.int64)
+    for i in np.flatnonzero(near.any(1)):
+        for size in {len(y[j]) for j in np.flatnonzero(near[i])}:
+            at = np.array([j for j in np.flatnonzero(near[i]) if len(y[j]) == size])
+            n = min(size, len(x[i]))
+            fold = lambda z: np.bitwise_or.reduce(z.reshape(*z.shape[:-1], -1, n), axis=-2)
+            rows = fold(np.stack([y[j] for j in at]))
+            more = np.minimum(ex[i], ey[at]) if size == len(x[i]) else np.full(len(at), ex[i]) if n == len(x[i]) else ey[at]
+            out[i, at] = np.bitwise_count(rows & fold(x[i])).sum(axis=1, dtype=np.int64) + more
+    return out
+
+
+def _descended(members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(ta, tb, side, id) of the leaves that the descent from the pairs (ta, tb) of tiles comes to; no sets are needed."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
         number = lambda c: table.column(c).to_numpy()
-        side, ids, part, n, excess = (number(c) for c in ("side", "id", "component", "n", "excess"))
-        sigs = np.stack([number(s) for s in _SIG], axis=1).view(np.uint64)
+        side, ids, part, n, more, narrow = (number(c) for c in ("side", "id", "component", "n", "excess", "narrow"))
+        sigs, bits = np.stack([number(s) for s in _SIG], axis=1).view(np.uint64), [np.array(v, np.int64).view(np.uint64) for v in table.column("bits").to_pylist()]
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         y = y if len(y) else x  # a tile with itself
-        near = traversed(_Nodes(n[x], excess[x], sigs[x], part[x]), _Nodes(n[y], excess[y], sigs[y], part[y]), percent)
-        x, y, near = x[near.any(1)], y[near.any(0)], near[near.any(1)][:, near.any(0)]
+        near = traversed(_Nodes(n[x], narrow[x], sigs[x], part[x]), _Nodes(n[y], narrow[y], sigs[y], part[y]), percent)
+        overlap = wide_overlap(near, [bits[i] for i in x], [bits[i] for i in y], more[x], more[y])
+        near &= (100 + percent) * overlap >= percent * (n[x][:, None] + n[y][None])
+        a, b = ids[x[near.any(1)]], ids[y[near.any(0)]]
+        found, sides = np.concatenate([a, b]), np.repeat(np.array([0, 1], np.int32), [len(a), len(b)])
+        return pa.table({"ta": pa.array([key[0].as_py()] * len(found), pa.int64()), "tb": pa.array([key[1].as_py()] * len(found), pa.int64()), "side": pa.array(sides), "id": pa.array(found, pa.int64())})
+
+    of = lambda p, k: p.join(members, F.col("ta" if k == 0 else "tb") == F.col("tile")).drop("tile").withColumn("side", F.lit(k))
+    both = of(pairs, 0).unionByName(of(pairs.where("ta <> tb"), 1))
+    return written(both.groupBy("ta", "tb").applyInArrow(run, "ta long, tb long, side int, id long"), "reached")
+
+
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    """Links between the leaves (ta, tb, side, id, component, n, set) that the descent came to, pair by pair of tiles."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        number = lambda c: table.column(c).to_numpy()
+        side, ids, part, n = (number(c) for c in ("side", "id", "component", "n"))
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         a = b = np.zeros(0, np.int64)
-        if len(x):
+        if len(x) and len(y):
             sets = table.column("set").combine_chunks()
             cut = lambda rows: [np.frombuffer(sets[i].as_buffer(), np.uint64) for i in rows.tolist()]
             common = _common(cut(x), cut(y))
-            a, b = _forest(near & (100 * common >= percent * (n[x][:, None] + n[y][None] - common)), ids[x], ids[y])
+            linked = (100 * common >= percent * (n[x][:, None] + n[y][None] - common)) & (part[x][:, None] != part[y][None])
+            a, b = _forest(linked, ids[x], ids[y])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    of = lambda p, k: p.join(rows, F.col("ta" if k == 0 else "tb") == F.col("tile")).drop("tile").withColumn("side", F.lit(k))
-    both = of(pairs, 0).unionByName(of(pairs.where("ta <> tb"), 1))
-    return written(both.groupBy("ta", "tb").applyInArrow(compare, "a long, b long"), "links")
+    return written(rows.groupBy("ta", "tb").applyInArrow(compare, "a long, b long"), "links")
 
 
 def _pruned(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (ta, tb) of tiles whose members (tile, n, excess, signature) can be similar enough."""
-    tiles = members.groupBy("tile").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("excess").alias("excess"), *[F.bit_or(s).alias(s) for s in _SIG])
+    """The pairs (ta, tb) of tiles whose members (tile, n, narrow, signature) can be similar enough."""
+    tiles = members.groupBy("tile").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("narrow").alias("narrow"), *[F.bit_or(s).alias(s) for s in _SIG])
     tiles = written(tiles, "tile-nodes")
-    side = lambda t, p: tiles.select(F.col("tile").alias(t), *[F.col(c).alias(p + c) for c in ("low", "high", "excess", *_SIG)])
-    return pairs.join(side("ta", "a"), "ta").join(side("tb", "b"), "tb").where(_may_link("a", "b", percent, "low", "high")).select("ta", "tb")
+    side = lambda t, p: tiles.select(F.col("tile").alias(t), *[F.col(c).alias(p + c) for c in ("low", "high", "narrow", *_SIG)])
+    return pairs.join(side("ta", "a"), "ta").join(side("tb", "b"), "tb").where(_nodes_may_link("a", "b", percent)).select("ta", "tb")
 
 
 def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,7 +261,7 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
     each = written(_leaves(docs, shingle_words, percent, *frequent(docs, shingle_words)), "leaves")
-    classes = each.where("n > 0").groupBy("h0", "h1").agg(F.min("place").alias("id"), F.min("doc_id").alias("least_doc"), *[F.first(c).alias(c) for c in ("n", "excess", *_SIG, "prefix")])
+    classes = each.where("n > 0").groupBy("h0", "h1").agg(F.min("place").alias("id"), F.min("doc_id").alias("least_doc"), *[F.first(c).alias(c) for c in ("n", "excess", "narrow", *_SIG, "bits", "prefix")])
     classes = written(classes, "classes")
 
     index = classes.select("id", F.explode("prefix").alias("key"))
@@ -207,7 +276,7 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     shared = written(two.unionByName(more), "buckets")
 
     def signed(p: str) -> DataFrame:
-        return classes.select(F.col("id").alias(p), *[F.col(c).alias(p + c) for c in ("n", "excess", *_SIG)])
+        return classes.select(F.col("id").alias(p), *[F.col(c).alias(p + c) for c in ("n", "excess", "bits")])
 
     weighted = shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id")
     centres = weighted.groupBy("key").agg((-F.max(F.struct("weight", (-F.col("id")).alias("id")))["id"]).alias("centre"))
@@ -225,22 +294,22 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     several = written(met(part, several, ["key"], ["id"], often(part, ["key"])), "left")
     dropped(shared, part)
 
-    few = several.where(F.col("n") <= PAIRED)
-    side = lambda p: few.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c"))
-    rest = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc"))).select("a", "b").distinct()
-    rest = rest.join(signed("a"), "a").join(signed("b"), "b").where(_may_link("a", "b", percent)).select("a", "b")
-    rest = written(rest.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "pairs")
+    few = several.where(F.col("n") <= PAIRED).select("key", "id", "component").join(classes.select("id", "n"), "id")
+    side = lambda p: few.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c"), F.col("n").alias(f"{p}n"))
+    rest = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow("a", "b", percent)).select("a", "b").distinct()
+    rest = rest.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    rest = written(rest.join(signed("a"), "a").join(signed("b"), "b").where(_may_link("a", "b", percent)).select("a", "b"), "pairs")
     large = several.where(F.col("n") > PAIRED)
     ids = rest.select(F.col("a").alias("id")).union(rest.select("b"))
     if not (none := large.isEmpty()):
         placed, tiles = _tiles(large, classes.select("id", "n"))
-        members = placed.drop("own").join(classes.select("id", "n", "excess", *_SIG), "id")
-        tiles = written(_pruned(tiles, members, percent), "tile-pairs")
-        ids = ids.union(placed.select("id"))
+        members = placed.drop("own").join(classes.select("id", "n", "excess", "narrow", *_SIG, "bits"), "id")
+        reached = _descended(members, _pruned(tiles, members, percent), percent)
+        ids = ids.union(reached.select("id"))
     full = _sets(ids, docs, shingle_words)
     links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(_linked(rest, full, percent))
     if not none:
-        links = links.union(_descended(members.join(full, "id"), tiles, percent))
+        links = links.union(_compared(reached.join(placed.select("id", "component"), "id").join(classes.select("id", "n"), "id").join(full, "id"), percent))
     found = written(components(links), "components")
     dropped(rest, stars, several, full)
 

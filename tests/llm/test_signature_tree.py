@@ -90,7 +90,7 @@ def test_descent_keeps_every_possible_pair():
     rng = np.random.default_rng(4)
     sets = []
     for _ in range(90):
-        base = np.unique(rng.integers(0, 2**63, rng.integers(1, 900), dtype=np.uint64)) if not sets or rng.random() < 0.5 else sets[rng.integers(len(sets))]
+        base = np.unique(rng.integers(0, 2**63, rng.integers(1, 3000), dtype=np.uint64)) if not sets or rng.random() < 0.5 else sets[rng.integers(len(sets))]
         sets.append(base[rng.random(len(base)) < 0.97] if len(base) > 3 else base)
     n, sigs = np.array([len(s) for s in sets]), np.array([st.bitmap(s) for s in sets])
     excess, part = n - np.bitwise_count(sigs).sum(axis=1), np.arange(len(sets))
@@ -101,6 +101,10 @@ def test_descent_keeps_every_possible_pair():
             common = len(np.intersect1d(sets[i], sets[j]))
             if i != j and 100 * common >= 80 * (n[i] + n[j] - common):
                 assert near[i, j]
+    wide = [st.bitmap(s, st.width(len(s))) for s in sets]
+    more = np.array([st.excess(len(s), b) for s, b in zip(sets, wide)])
+    overlap = st.wide_overlap(near, wide, wide, more, more)
+    assert all(overlap[i, j] >= len(np.intersect1d(sets[i], sets[j])) for i, j in zip(*np.nonzero(near)))
     assert near.mean() < 0.2
 
 
