@@ -8,7 +8,8 @@ percent / (100 + percent) of their sizes' sum; a pair of nodes that can't reach
 At the top a bitmap of 2^64 bits is kept as the list of its bits, for those shingles alone of which similar sets must
 share one: in one order of all shingles, the first n - ceil(n * percent / 100) + 1 of a set of n. Nodes that have a bit in
 common meet by a join on it. In that order frequent shingles come last, so that passages which many texts share bring
-nobody together; it is the same for all sets, hence nothing is lost whatever the frequencies are taken to be.
+nobody together; it is the same for all sets, hence nothing is lost whatever the frequencies are taken to be. Below a bit
+with many sets nodes are ranges of sizes, each as wide as a link allows: a set belongs to its own and the next.
 
 As in ``neardup``, each member is first compared with two of its bucket, links are joined into components, and members of
 one component never meet again. What is left goes down the tree: small buckets are one node, their leaves tested in the
@@ -19,6 +20,7 @@ full sets are compared.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ from rasterloom.llm.shared import BROADCAST_ROWS, DEALT, dropped, met, often, wr
 BITS, LONGS, NODE = 1024, 16, 16
 #: A shingle is frequent if tasks that saw it LOCAL times or more, in at most WINDOW shingles each, saw it FREQUENT times
 #: in all; the MOST most frequent are put last. None of these changes a result.
-LOCAL, WINDOW, FREQUENT, MOST = 3, 4_000_000, 32, 200_000
+LOCAL, WINDOW, FREQUENT, MOST = 3, 2_000_000, 32, 200_000
 
 _SIG = [f"s{i}" for i in range(LONGS)]
 _LEAVES = "doc_id long, place long, n long, excess long, narrow long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG) + ", bits array<long>, prefix array<long>"
@@ -46,9 +48,13 @@ def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
         cut, held, size = Shingles(k), [], 0
 
         def counted() -> pa.RecordBatch:
-            token, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            seen = np.concatenate([np.zeros(0, np.uint64), *held])
+            held.clear()
+            seen.sort()
+            at = np.flatnonzero(np.concatenate([np.ones(min(1, len(seen)), bool), seen[1:] != seen[:-1]]))
+            times = np.diff(np.append(at, len(seen)))
             keep = times >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), pa.array(times[keep].astype(np.int64))], names=["token", "times"])
+            return pa.RecordBatch.from_arrays([pa.array(seen[at[keep]].view(np.int64)), pa.array(times[keep].astype(np.int64))], names=["token", "times"])
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -56,7 +62,7 @@ def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
                 size += len(held[-1])
                 if size > WINDOW:
                     yield counted()
-                    held, size = [], 0
+                    size = 0
         yield counted()
 
     seen = docs.select("text").mapInArrow(run, "token long, times long").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= FREQUENT)
@@ -250,6 +256,15 @@ def _pruned(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("ta", "a"), "ta").join(side("tb", "b"), "tb").where(_nodes_may_link("a", "b", percent)).select("ta", "tb")
 
 
+def _ranged(large: DataFrame, percent: int) -> DataFrame:
+    """Members (key, id, component, size) of large buckets by ranges of sizes: (key, id, component, size, n), with new
+    keys and the numbers of members there. Similar sets share a range; those of one component alone are left out."""
+    own = F.col("size") if percent == 100 else F.floor(F.log(F.col("size").cast("double")) / math.log(100 / percent) - 1e-9)
+    spread = large.select("key", "id", "component", "size", F.explode(F.array(own, own + 1)).alias("range")).withColumn("key", F.xxhash64("key", "range"))
+    counts = spread.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").drop("lo", "hi")
+    return written(met(spread.drop("range"), counts, ["key"], ["id"], often(spread, ["key"])), "ranges")
+
+
 def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -294,12 +309,15 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     several = written(met(part, several, ["key"], ["id"], often(part, ["key"])), "left")
     dropped(shared, part)
 
-    few = several.where(F.col("n") <= PAIRED).select("key", "id", "component").join(classes.select("id", "n"), "id")
-    side = lambda p: few.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c"), F.col("n").alias(f"{p}n"))
+    sizes = classes.select("id", F.col("n").alias("size"))
+    few = several.where(F.col("n") <= PAIRED).join(sizes, "id").select("key", "id", "component", "size")
+    ranged = _ranged(several.where(F.col("n") > PAIRED).join(sizes, "id"), percent)
+    few = few.unionByName(ranged.where(F.col("n") <= PAIRED).drop("n"))
+    side = lambda p: few.select("key", F.col("id").alias(p), F.col("component").alias(f"{p}c"), F.col("size").alias(f"{p}n"))
     rest = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow("a", "b", percent)).select("a", "b").distinct()
     rest = rest.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     rest = written(rest.join(signed("a"), "a").join(signed("b"), "b").where(_may_link("a", "b", percent)).select("a", "b"), "pairs")
-    large = several.where(F.col("n") > PAIRED)
+    large = ranged.where(F.col("n") > PAIRED).drop("size")
     ids = rest.select(F.col("a").alias("id")).union(rest.select("b"))
     if not (none := large.isEmpty()):
         placed, tiles = _tiles(large, classes.select("id", "n"))
@@ -311,7 +329,7 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     if not none:
         links = links.union(_compared(reached.join(placed.select("id", "component"), "id").join(classes.select("id", "n"), "id").join(full, "id"), percent))
     found = written(components(links), "components")
-    dropped(rest, stars, several, full)
+    dropped(rest, stars, several, ranged, full)
 
     own = classes.select("h0", "h1", "id", "least_doc").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = own.groupBy("component").agg(F.min("least_doc").alias("component_id"))
