@@ -155,21 +155,34 @@ def _spans(places: DataFrame, least: int) -> DataFrame:
     return runs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"), F.sum(F.col("end") - F.col("start")).alias("spans_words"))
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """One row (key, doc_id, n_words, first) per row of the corpus: of rows alike one is first. Those repeated often are
+    dealt over tasks before they are listed again."""
+    each = rows.groupBy("key", "doc_id", "n_words").agg(F.count("*").alias("times"))
+    dealt = each.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / DEALT).cast("int"))))
+    dealt = dealt.repartition("key", "_part")
+    here = F.least(F.lit(DEALT), F.col("times") - F.col("_part") * DEALT).cast("int")
+    listed = dealt.withColumn("_i", F.explode(F.sequence(F.lit(1), here)))
+    return listed.select("key", "doc_id", "n_words", ((F.col("_part") == 0) & (F.col("_i") == 1)).alias("first"))
+
+
 def repeated_spans(df: DataFrame, min_words: int = 16, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, repeat_words, removed_words, spans, removed and repeated of every row.
 
     Words are cut at white space. A unit (``units``) is repeated if another place of the corpus holds the same words.
     spans: the [start, end) word ranges of successive repeated units; all ``min_words`` successive words in one of them
     occur at another place too; repeat_words is their sum. removed: the ranges of units that are not the first of their
-    kind, by (doc_id, place), so that cutting them out leaves every passage once, if not always in one piece;
-    removed_words is their sum. A passage of over 50 words has 38 or so between its own first and last cuts, so it is
-    found whatever stands around it (of 6,000 of 51 random words 2 were missed). Null and empty texts have no words and
-    are never repeated; copies of whole texts of ``min_words`` or more repeat from end to end; rows of one doc_id count
-    as one document, a null one as the last, and rows alike in text too get the same result. doc_id is cast to long. An
-    empty table gives an empty one; other columns are ignored.
+    kind, by (doc_id, hash of the row, place), so that cutting them out leaves every passage once, if not always in one
+    piece; removed_words is their sum. A passage of over 50 words has 38 or so between its own first and last cuts, so it
+    is found whatever stands around it (of 6,000 of 51 random words 2 were missed). Null and empty texts have no words and
+    are never repeated; copies of whole texts of ``min_words`` or more repeat from end to end. Rows of one doc_id with
+    different texts are different documents; null doc_ids come last. Of rows alike in doc_id and text one is the first,
+    and all of the others is removed. doc_id is cast to long. An empty table gives an empty one; other columns are
+    ignored.
     """
     rows = df.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     found = written(_units(rows, min_words), "units")
+    texts = found.where("at = -1").select("key", "doc_id", F.col("words").cast("long").alias("n_words"))
     chunks = found.where("at >= 0").withColumn("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1)))
     digest = ["d0", "d1"]
     kinds = chunks.groupBy(*digest).agg(F.min("doc_id").alias("holder"), F.count("*").alias("times")).where("times > 1")
@@ -178,14 +191,22 @@ def repeated_spans(df: DataFrame, min_words: int = 16, doc_id: str = "doc_id", t
     n = many.count()
     many = None if n == 0 else F.broadcast(many) if n <= BROADCAST_ROWS else many
     repeats = met(chunks, kinds.drop("times"), digest, ["key", "at"], many)
-    repeats = written(repeats.select("key", "at", "words", *digest, (F.col("doc_id") == F.col("holder")).alias("held")), "repeats").repartition("key")
+    repeats = repeats.groupBy("key", "at", "words", *digest).agg(F.max(F.col("doc_id") == F.col("holder")).alias("held"))  # rows alike count once
+    repeats = written(repeats, "repeats")
+    shared = texts.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b")
+    if not shared.isEmpty():  # documents of one doc_id, among which the least key holds what both have
+        least = repeats.where("held").groupBy(*digest).agg(F.min("key").alias("least"))
+        repeats = met(repeats, least, digest, ["key", "at"], many).withColumn("held", F.col("held") & (F.col("key") == F.col("least"))).drop("least")
     again = F.row_number().over(Window.partitionBy("key", *digest).orderBy("at")) > 1
-    repeats = repeats.select("key", "at", "words", (~F.col("held") | again).alias("later"))
+    repeats = repeats.repartition("key").select("key", "at", "words", (~F.col("held") | again).alias("later"))
     per = _spans(repeats, min_words).join(_runs(repeats.where("later"), "removed"), "key", "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
+    out = _copies(texts).join(per, "key", "left")
+    whole = ~F.col("first") & (F.col("n_words") >= min_words)
+    every = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
+    removed = F.when(whole, every).otherwise(F.coalesce("removed", none))
     sum_of = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    words = found.where("at = -1").select("key", "doc_id", F.col("words").cast("long").alias("n_words"))
-    return words.join(per, "key", "left").select(
-        "doc_id", "n_words", sum_of("spans_words").alias("repeat_words"), sum_of("removed_words").alias("removed_words"),
-        F.coalesce("spans", none).alias("spans"), F.coalesce("removed", none).alias("removed"), F.col("spans").isNotNull().alias("repeated"),
+    return out.select(
+        "doc_id", "n_words", sum_of("spans_words").alias("repeat_words"), F.when(whole, F.col("n_words")).otherwise(sum_of("removed_words")).alias("removed_words"),
+        F.coalesce("spans", none).alias("spans"), removed.alias("removed"), F.col("spans").isNotNull().alias("repeated"),
     )
