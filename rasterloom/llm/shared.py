@@ -67,6 +67,19 @@ def met(rows: DataFrame, side: DataFrame, on: list[str], spread: list[str], many
     return dealt.join(copies, [*on, "_part"]).drop("_part")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as one struct column ``_row``: no helper column can clash with theirs."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
 def top_bits(hash_col: Column, bits: int) -> Column:
     """The leading bits of a signed 64-bit hash as a number whose order is that of the hash."""
     return F.shiftrightunsigned(hash_col.bitwiseXOR(F.lit(-(2**63))), 64 - bits).cast("int")
