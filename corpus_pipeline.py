@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.llm import decontaminate, langid, mixing, neardup, sharding
-from rasterloom.llm.shared import written
+from rasterloom.llm.shared import dropped, written
 
 #: Below this calibrated probability a language counts as not recognised.
 MIN_SCORE = 0.5
@@ -58,7 +58,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        dropped(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.shared import written
+from rasterloom.llm.shared import unused, written
 
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -146,8 +146,9 @@ def _judged(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, d
 
 def clean_documents(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` whose own text has no hit, with its columns; other rows of the same or a null doc_id stay."""
-    bad = _judged(df, benchmark, **options).where("contaminated").select(F.col("key").alias("_bad")).distinct()
+    name = unused(df, "_bad")
+    bad = _judged(df, benchmark, **options).where("contaminated").select(F.col("key").alias(name)).distinct()
     bad = written(bad, "contaminated")
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_DOCUMENTS else bad
     key = _row_key(F.col(options.get("doc_id", "doc_id")), F.col(options.get("text", "text")))
-    return df.join(bad, key == F.col("_bad"), "left_anti")
+    return df.join(bad, key == F.col(name), "left_anti")

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm.shared import unused
+
 FEATURES = 1 << 16
 ORDERS = 3
 UNKNOWN = "und"
@@ -232,8 +234,9 @@ def with_language(df: DataFrame, model: Model | None, text: str = "text") -> Dat
                 scores.append(0.0 if p is None else float(p.max()))
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    told = df.withColumn("_told", predict(F.col(text)))
-    return told.withColumn("lang_pred", F.col("_told.lang_pred")).withColumn("score", F.col("_told.score")).drop("_told")
+    name = unused(df, "_told")
+    told = df.withColumn(name, predict(F.col(text)))
+    return told.withColumns({c: F.col(f"{name}.{c}") for c in ("lang_pred", "score")}).drop(name)
 
 
 def identified(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fold: int = 2, folds: int = 4) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.shared import dropped, met, often, written
+from rasterloom.llm.shared import dropped, met, often, packed, written
 
 SYMBOLS, LONGS = 64, 16
 #: Members up to which the pairs of a bucket of several components are compared in the join; those of larger ones go by tiles.
@@ -390,6 +390,7 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **opt
     told = met(rows, first, ["component"], ["doc_id", "place"], often(rows, ["component"])).select(F.col("doc_id").alias("_doc"), F.col("place").alias("_place"), same.alias("_first"), "times")
     told = written(told.where("not _first or times > 1"), "copies")
     told = F.broadcast(told) if told.count() <= BROADCAST_IDS else told
-    on = F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_place"))
-    copies = df.join(told.where("_first"), on).withColumn("_place", F.xxhash64(text)).select(*df.columns, "_doc", "_place")
-    return df.join(told, on, "left_anti").unionByName(copies.dropDuplicates(["_doc", "_place"]).select(*df.columns))
+    keyed, own = packed(df), F.col("_row")
+    on = own[doc_id].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(own[text]) == F.col("_place"))
+    copies = keyed.join(told.where("_first"), on).select("_row", "_doc", "_place").dropDuplicates(["_doc", "_place"])
+    return keyed.join(told, on, "left_anti").unionByName(copies.select("_row")).select("_row.*")

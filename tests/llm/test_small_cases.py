@@ -424,12 +424,120 @@ def test_recall_holds_on_fresh_findings_below_one_half():
     assert (net.scores(codes)[labels == 0] >= net.threshold).mean() < 0.2
 
 
-def test_parts_of_the_labels_are_apart_and_hold_both():
+def test_least_score_is_the_order_statistic_that_vouches_for_the_recall():
     import numpy as np
 
-    labels = np.r_[np.ones(3), np.zeros(40)]
-    own, calibrate, bound = secrets.parts(labels, np.random.default_rng(1))
-    assert sorted([*own, *calibrate, *bound]) == list(range(43)) and all(labels[p].any() and not labels[p].all() for p in (own, calibrate, bound))
+    rng = np.random.default_rng(2)
+    assert secrets.least_score(np.array([0.7, 0.2, 0.9])) == (0.2, pytest.approx(0.1 ** (1 / 3)))
+    for n in (120, 400, 3000):
+        kept = []
+        for _ in range(300):
+            score, recall = secrets.least_score(rng.random(n))
+            kept.append(1 - score)  # of fresh uniform scores
+            assert recall == secrets.RECALL
+        assert np.mean(np.array(kept) >= secrets.RECALL) > 0.86 and np.mean(kept) < 0.999
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_fresh_recall_and_learned_spans_on_the_tables(spark, size):
+    """A network of the small table on the positive windows of the large one, none of which it saw; few negatives pass."""
+    import os
+
+    import numpy as np
+
+    folder = os.environ.get("TEST_DATA", "/root/testdata")
+    docs = spark.read.parquet(f"{folder}/{size}/documents.parquet").select("doc_id", "text")
+    net = secrets.fit(docs)
+    fresh = secrets._labelled(spark.read.parquet(f"{folder}/sf0.1/documents.parquet").select("text"), "text").toArrow().to_pylist()
+    scored = {y: net.scores(np.array([np.frombuffer(r["codes"], np.uint8) for r in fresh if r["label"] == y])) >= net.threshold for y in (True, False)}
+    assert scored[True].mean() >= secrets.RECALL and scored[False].mean() < 0.01
+    if size == "sf0.01":
+        told = secrets.with_secrets(docs, net).collect()
+        learned = sum(len(r.spans) - len(r.base) for r in told)
+        assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in told) and learned <= 5 * sum(len(r.base) for r in told)
+
+
+def test_secrets_of_shapes_that_the_base_misses_are_found(spark):
+    import random
+
+    rng = random.Random(12)
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    prose = lambda: " ".join(draw("abcdefghijklmnopqrstuvwxyz", rng.randint(2, 14)) for _ in range(12))
+    key = lambda: draw("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 32)
+    docs = spark.createDataFrame([(i, f"{prose()} token = {key()} {prose()}") for i in range(400)], "doc_id long, text string")
+    net = secrets.fit(docs)
+    planted = spark.createDataFrame([(i, f"{prose()} bearer {key()} {prose()}") for i in range(100)], "doc_id long, text string")
+    told = secrets.with_secrets(planted, net).collect()
+    assert not any(r.base for r in told) and sum(any(r.text[s.start : s.end] in r.text.split() and len(r.text[s.start : s.end]) == 32 for s in r.spans) for r in told) >= 90
+    assert sum(len(r.spans) for r in told) < 150
+
+
+def test_cutting_removed_spans_leaves_every_passage_once(spark):
+    """Repeated rows, equal and null ids: a repeated unit stays at one place, exactly, and no other word is lost."""
+    import random
+
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9)))
+    shared = [[word() for _ in range(60)] for _ in range(6)]
+    rows = []
+    for i in range(40):
+        body = [word() for _ in range(rng.randint(0, 40))]
+        for p in rng.sample(shared, rng.randint(0, 3)):
+            body += p + [word() for _ in range(rng.randint(0, 30))]
+        rows.append((rng.choice([i, i, 7, None]), " ".join(body)))
+    rows += rows[:10] + [rows[0]] * 5 + [(1, " ".join(shared[0]))] * 2 + [(2, None), (None, ""), (None, None)]
+    got = substring.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = collections.defaultdict(list)
+    for d, t in rows:
+        texts[d, len((t or "").split())].append((t or "").split())
+    left = []
+    for r in got:
+        # rows of one doc_id and length are told apart by nothing but their number in this test
+        found = {tuple(t) for t in texts[r.doc_id, r.n_words]}
+        assert len(found) == 1
+        words = list(found.pop())
+        gone = {i for s in r.removed for i in range(s.start, s.end)}
+        assert len(gone) == r.removed_words
+        left.append([w if i not in gone else None for i, w in enumerate(words)])
+    stay = collections.Counter(w for line in left for w in line if w)
+    assert set(stay) == {w for _, t in rows for w in (t or "").split()}  # each word stands somewhere still
+    for p in shared:
+        held = sum(1 for w in p if stay[w] >= 1)
+        assert held == 60 and sum(stay[w] for w in p) <= 60 + 2 * 14  # once, but for what is short of a unit at either end of a copy
+    for d, n in texts:
+        same = [r for r in got if (r.doc_id, r.n_words) == (d, n)]
+        if n >= 16 and len(same) > 1:
+            assert sorted(r.removed_words == n for r in same)[1:] == [True] * (len(same) - 1)
+
+
+def test_a_passage_of_two_texts_with_one_id_is_removed_once(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, "alpha " + " ".join(words)), (1, " ".join(words) + " omega"), (None, " ".join(words)), (None, " ".join(words) + " end")]
+    got = substring.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.repeated for r in got) and sum(r.removed_words > 30 for r in got) == 3 and sum(r.removed_words == 0 for r in got) == 1
+
+
+HELPERS = ["_told", "_bad", "_place", "_doc", "_first", "_row", "_part", "times", "n", "h", "th", "tn", "pn", "ph", "key", "parts", "id", "position"]
+
+
+def test_helper_names_as_columns_of_users(spark):
+    """Every function that keeps a caller's columns, with helpers' names among them: whole rows stay as they were."""
+    import corpus_pipeline
+
+    text = lambda i: f"the quick brown fox number {i} jumps over the lazy dog and then runs home again for tea {i * 7}"
+    rows = [(i, text(i // 2), "en", "a", *[f"{c}{i}" for c in HELPERS]) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in HELPERS))
+    bench = spark.createDataFrame([(1, text(3))], "item_id long, text string")
+    whole = {tuple(r) for r in rows}
+    cut = lambda out: [tuple(r[c] for c in df.columns) for r in out.collect()]
+    for out in (secrets.with_secrets(df, None), langid.with_language(df, None), langid.identified(df)):
+        assert set(cut(out)) == whole
+    assert set(cut(neardup.one_of_each(df))) < whole and len(cut(neardup.one_of_each(df))) == 6
+    clean = cut(decontaminate.clean_documents(df, bench))
+    assert set(clean) == {r for r in whole if r[0] not in (6, 7)} and len(clean) == 10
+    assert set(cut(mixing.mixed_documents(df))) == whole
+    assert set(cut(sharding.sharded_documents(df, shards=3))) == whole
+    assert set(cut(corpus_pipeline.near_duplicates(spark, df, ""))) < whole
 
 
 def test_added_columns_replace_clashing_ones(spark):
