@@ -91,9 +91,10 @@ class Conic:
         n, big_f, rho0 = self._constants()
         u, v = x - self.easting, rho0 - (y - self.northing)
         t = F.pow(F.sqrt(u * u + v * v) / (A * big_f), F.lit(1 / n))
-        f = math.pi / 2 - 2 * F.atan(t)
-        for _ in range(6):
-            f = math.pi / 2 - 2 * F.atan(t * F.pow((1 - E * F.sin(f)) / (1 + E * F.sin(f)), F.lit(E / 2)))
+        c = math.pi / 2 - 2 * F.atan(t)  # the conformal latitude
+        s2, s4 = E2 / 2 + 5 * E2**2 / 24 + E2**3 / 12 + 13 * E2**4 / 360, 7 * E2**2 / 48 + 29 * E2**3 / 240 + 811 * E2**4 / 11520
+        s6, s8 = 7 * E2**3 / 120 + 81 * E2**4 / 1120, 4279 * E2**4 / 161280
+        f = c + F.sin(c * 2) * s2 + F.sin(c * 4) * s4 + F.sin(c * 6) * s6 + F.sin(c * 8) * s8
         return F.degrees(F.atan2(u, v)) / n + self.lon0, F.degrees(f)
 
 

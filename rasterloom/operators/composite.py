@@ -36,6 +36,34 @@ def median_composite(df: DataFrame, bands: Sequence[str], keys: Sequence[str] =
     return df.groupBy(*keys).agg(*[fn(F.col(f"`{b}`")).alias(b) for b in bands])
 
 
+#: Values a sketch holds apart; up to so many in a group its quantiles are exact, beyond that their rank is off by about
+#: 2.3 / SKETCH^0.9 of the group (0.13 %) in 99 of 100 cases.
+SKETCH = 4096
+
+
+def sketches(df: DataFrame, bands: Sequence[str], keys: Sequence[str], size: int = SKETCH) -> DataFrame:
+    """Per group a quantile sketch (KLL, bytes) a band; its size does not grow with the group. A band without a valid value
+    in the group has null. Works on a stream as on a table."""
+    return df.groupBy(*keys).agg(*[F.kll_sketch_agg_double(F.col(f"`{b}`").cast("double"), F.lit(size)).alias(b) for b in bands])
+
+
+def merged_sketches(parts: DataFrame, bands: Sequence[str], keys: Sequence[str], size: int = SKETCH) -> DataFrame:
+    """Sketches of finer groups (days, tiles, batches of a stream) as those of coarser ones."""
+    return parts.groupBy(*keys).agg(*[F.kll_merge_agg_double(F.col(f"`{b}`"), F.lit(size)).alias(b) for b in bands])
+
+
+def quantile_of(sketch: str, rank: float) -> Column:
+    """The value at a rank (0 to 1) of a sketch: the least value with at least that share at or below it; null without one."""
+    c = F.col(f"`{sketch}`")
+    return F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, F.lit(float(rank))))
+
+
+def median_of_parts(parts: DataFrame, bands: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Medians of groups whose parts were sketched before, without their pixels."""
+    made = merged_sketches(parts, bands, keys)
+    return made.select(*keys, *[quantile_of(b, 0.5).alias(b) for b in bands])
+
+
 def mosaic(df: DataFrame, bands: Sequence[str], keys: Sequence[str] = CELL, order: Sequence[str] = ("time_start", "image_id")) -> DataFrame:
     """Overlapping images as one: per band the last valid value in order (later time, then higher id, on top)."""
     rank = F.struct(*order)
@@ -78,13 +106,17 @@ def reduce_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("stdDev", F.stddev_pop))])
 
 
+def sample_order(seed: int = 0) -> Column:
+    """An arithmetic hash of the cell."""
+    return F.pmod(F.col("col") * 7919 + F.col("row") * 104729 + F.lit(seed * 611953), F.lit(1_000_003))
+
+
 def sample(df: DataFrame, n: int, seed: int = 0, grid: Grid | None = None) -> DataFrame:
     """n pixels, the same in every run: the smallest values of an arithmetic hash of the cell (a top-n, not a sort).
 
     With a grid the longitude and latitude of each cell's centre come with it.
     """
-    place = F.pmod(F.col("col") * 7919 + F.col("row") * 104729 + F.lit(seed * 611953), F.lit(1_000_003))
-    return df.withColumn("_place", place).orderBy("_place", *CELL).limit(n).drop("_place") if grid is None else located(sample(df, n, seed), grid)
+    return df.withColumn("_place", sample_order(seed)).orderBy("_place", *CELL).limit(n).drop("_place") if grid is None else located(sample(df, n, seed), grid)
 
 
 def located(df: DataFrame, grid: Grid) -> DataFrame:

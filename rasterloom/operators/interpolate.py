@@ -5,35 +5,62 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterloom.functions.expr import ratio
 from rasterloom.model import CELL
-from rasterloom.operators.composite import sample
+from rasterloom.operators.bands import unpivoted
+from rasterloom.operators.composite import sample_order
 
 
-def idw(df: DataFrame, bands: Sequence[str], reach: float, gamma: float = 2.0, n: int = 1000, seed: int = 0, gaps_only: bool = False) -> DataFrame:
-    """Every cell's value from up to n sample pixels within ``reach`` cells, weighted by 1 / distance^gamma.
+def band_samples(df: DataFrame, bands: Sequence[str], n: int, seed: int = 0) -> DataFrame:
+    """(band, col, row, value): n valid pixels of each band, chosen as ``sample`` does, in one pass for all bands.
 
-    A sample at the cell is its value; without samples in reach the samples' mean is. Samples are handed to the 3x3
-    bins of side ``reach`` around them, so cells join them on their own bin. ``gaps_only`` keeps valid cells.
+    Every task keeps its own first n of a band, so little more than that is shuffled.
+    """
+    valid = unpivoted(df.select(*CELL, *[F.col(f"`{b}`").cast("double").alias(b) for b in bands]), bands).where("value is not null")
+    first = Window.partitionBy("band").orderBy(sample_order(seed), *CELL)
+    return valid.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= n).select("band", *CELL, "value")
+
+
+def idw(df: DataFrame, bands: Sequence[str], reach: float, gamma: float = 2.0, n: int = 1000, seed: int = 0, gaps_only: bool = False, statistics: bool = False) -> DataFrame:
+    """Every cell's value from up to n sample pixels a band within ``reach`` cells, weighted by 1 / distance^gamma.
+
+    A sample at the cell is its value; without samples in reach the samples' mean is. ``gaps_only`` keeps valid cells;
+    ``statistics`` adds <band>_mean and <band>_stdDev (population) of the samples. The samples, n a band, are drawn first
+    and put into bins of side ``reach``; each bin lists those of the 3x3 bins around it. That index is broadcast and the
+    raster is read once for all bands, without a shuffle.
     """
     side = max(1, math.ceil(reach))
-    out = df.select(*CELL)
-    near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    spark = df.sparkSession
+    drawn = spark.createDataFrame(band_samples(df, bands, n, seed).toArrow())  # n rows a band: a parameter bounds them
     bin_of = lambda c: F.floor(F.col(c) / side).cast("int")
-    for b in bands:
-        s = sample(df.where(F.col(b).isNotNull()).select(*CELL, b), n, seed)
-        dealt = s.select(F.col("col").alias("sc"), F.col("row").alias("sr"), F.col(b).cast("double").alias("v"), bin_of("col").alias("_bc"), bin_of("row").alias("_br")).withColumn("_o", near)
-        dealt = dealt.select("sc", "sr", "v", (F.col("_bc") + F.col("_o.i")).alias("_bc"), (F.col("_br") + F.col("_o.j")).alias("_br"))
-        d = F.sqrt((F.col("col") - F.col("sc")) * (F.col("col") - F.col("sc")) + (F.col("row") - F.col("sr")) * (F.col("row") - F.col("sr")))
-        cells = df.select(*CELL, bin_of("col").alias("_bc"), bin_of("row").alias("_br"))
-        j = cells.join(dealt, ["_bc", "_br"]).withColumn("d", d).where(F.col("d") <= reach)
-        w = F.when(F.col("d") > 0, F.pow("d", F.lit(-float(gamma))))
-        made = j.groupBy(*CELL).agg(F.max(F.when(F.col("d") == 0, F.col("v"))).alias("_at"), ratio(F.sum(F.col("v") * w), F.sum(w)).alias("_near"))
-        mean = s.agg(F.avg(b).alias("_mean"))
-        value = F.coalesce("_at", "_near", "_mean")
-        made = df.select(*CELL, F.col(b).alias("_old")).join(made, CELL, "left").crossJoin(F.broadcast(mean))
-        out = out.join(made.select(*CELL, (F.coalesce("_old", value) if gaps_only else value).alias(b)), CELL)
-    return out
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    near = drawn.withColumn("_o", around).select((bin_of("col") + F.col("_o.i")).alias("_bc"), (bin_of("row") + F.col("_o.j")).alias("_br"), "band", F.struct("col", "row", "value").alias("s"))
+    listed = [F.sort_array(F.collect_list(F.when(F.col("band") == b, F.col("s")))).alias(f"_near{i}") for i, b in enumerate(bands)]
+    index = near.groupBy("_bc", "_br").agg(*listed)
+    stats = drawn.agg(*[f(F.when(F.col("band") == b, F.col("value"))).alias(f"_{m}{i}") for i, b in enumerate(bands) for m, f in (("mean", F.avg), ("sd", F.stddev_pop))])
+    cells = df.withColumn("_bc", bin_of("col")).withColumn("_br", bin_of("row")).join(F.broadcast(index), ["_bc", "_br"], "left").crossJoin(F.broadcast(stats))
+
+    def mixed(near: str) -> Column:
+        d2 = lambda s: (s["col"] - F.col("col")) * (s["col"] - F.col("col")) + (s["row"] - F.col("row")) * (s["row"] - F.col("row"))
+        here = F.filter(near, lambda s: d2(s) <= reach * reach)
+        nothing = F.struct(F.lit(None).cast("double").alias("at"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("w"))
+        weight = lambda s: F.pow(d2(s).cast("double"), F.lit(-gamma / 2))
+
+        def add(t: Column, s: Column) -> Column:
+            zero = d2(s) == 0
+            return F.struct(
+                F.when(zero, F.greatest(t["at"], s["value"])).otherwise(t["at"]).alias("at"), F.when(zero, t["sum"]).otherwise(t["sum"] + s["value"] * weight(s)).alias("sum"), F.when(zero, t["w"]).otherwise(t["w"] + weight(s)).alias("w"),
+            )
+
+        return F.aggregate(here, nothing, add, lambda t: F.coalesce(t["at"], ratio(t["sum"], t["w"])))
+
+    made = []
+    for i, b in enumerate(bands):
+        value = F.coalesce(mixed(f"_near{i}"), F.col(f"_mean{i}"))
+        made.append((F.coalesce(F.col(f"`{b}`"), value) if gaps_only else value).alias(b))
+        if statistics:
+            made += [F.col(f"_mean{i}").alias(f"{b}_mean"), F.col(f"_sd{i}").alias(f"{b}_stdDev")]
+    return cells.select(*CELL, *made)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.model import CELL, Grid
+from rasterloom.operators.composite import quantile_of, sketches
 from rasterloom.operators.zonal import clip, join_spans
 
 
@@ -39,6 +40,14 @@ def stretch(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98, ke
     return s.select(key, F.when(flat, F.col("_lo")).otherwise(F.col("_a")).alias("low"), F.when(flat, F.col("_hi")).otherwise(F.col("_b")).alias("high"))
 
 
+def stretch_of_sketches(df: DataFrame, value: str, low: float = 0.02, high: float = 0.98, key: str = "raster") -> DataFrame:
+    """``stretch`` for rasters of any size: quantiles of a sketch of bounded size, merged from partial ones."""
+    s = sketches(df, [value], [key]).join(df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")), key)
+    s = s.select(key, "_lo", "_hi", quantile_of(value, low).alias("_a"), quantile_of(value, high).alias("_b"))
+    flat = F.col("_a") == F.col("_b")
+    return s.select(key, F.when(flat, F.col("_lo")).otherwise(F.col("_a")).alias("low"), F.when(flat, F.col("_hi")).otherwise(F.col("_b")).alias("high"))
+
+
 def grid_fit(grids: DataFrame, template: DataFrame, tolerance: float = 1e-4) -> DataFrame:
     """Per raster grid against a one-row template (crs, x0, y0, dx, dy, n_cols, n_rows): same projection, resolution,
     distances of its corner from the nearest grid lines (offset_x, offset_y), whether it is on the lattice, whether it

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterloom.functions.crs import transform_crs
@@ -59,12 +59,68 @@ def split_into_tiles(spark: SparkSession, min_x: float, min_y: float, max_x: flo
     return tiles_of(spark.range(1).select(*[F.lit(float(v)).alias(k) for k, v in ends.items()]), size)
 
 
+#: Source cells that a mixed value is made of along an axis, as offsets from the one at or before the place.
+REACH = {"bilinear": (0, 1), "bicubic": (-1, 0, 1, 2)}
+#: Weights below this count as none: a place on a cell's centre needs no neighbours.
+LEAST = 1e-12
+#: Places along an axis up to which their table is broadcast (60 bytes each).
+AXIS = 1_000_000
+
+
+def _weight(method: str, d: Column) -> Column:
+    d = F.abs(d)
+    if method == "bilinear":
+        return F.greatest(1 - d, F.lit(0.0))
+    near, far = 1.5 * d * d * d - 2.5 * d * d + 1, -0.5 * d * d * d + 2.5 * d * d - 4 * d + 2
+    return F.when(d <= 1, near).when(d < 2, far).otherwise(0.0)
+
+
+def _along(df: DataFrame, bands: Sequence[str], axis: str, other: str, places: DataFrame, reach: Sequence[int]) -> DataFrame:
+    """One pass: per line of cells (``other``) the mix of neighbours along ``axis`` at each place (_to, _base, _w0, ...).
+
+    Neighbours come from window frames of one cell, so each cell is shuffled once, whatever the number of neighbours.
+    """
+    line = Window.partitionBy(other).orderBy(axis)
+    beside = {f"_{i}_{k}": F.max(F.col(f"`{b}`")).over(line.rangeBetween(k, k)) for i, b in enumerate(bands) for k in reach if k}
+    j = df.select(*CELL, *bands).withColumns(beside).join(places, F.col(axis) == F.col("_base"))
+
+    def mixed(i: int, b: str) -> Column:
+        total = weights = F.lit(0.0)
+        whole = F.lit(True)
+        for n, k in enumerate(reach):
+            v, w = F.col(f"_{i}_{k}") if k else F.col(f"`{b}`"), F.col(f"_w{n}")
+            used = F.abs(w) > LEAST
+            whole = whole & (~used | v.isNotNull())
+            total, weights = total + F.when(used, w * v).otherwise(0.0), weights + F.when(used, w).otherwise(0.0)
+        return F.when(whole, total / weights).alias(b)
+
+    return j.select(F.col("_to").alias(axis), F.col(other), *[mixed(i, b) for i, b in enumerate(bands)])
+
+
+def _separable(df: DataFrame, bands: Sequence[str], source: Grid, target: Grid, method: str) -> DataFrame:
+    """Mixed values on a grid of the same projection: along rows to the target's columns, then along columns."""
+    reach = REACH[method]
+
+    def places(n: int, at: Column, first: float, step: float) -> DataFrame:
+        u = (at - first) / step - 0.5
+        t = df.sparkSession.range(n).select(F.col("id").cast("int").alias("_to"), u.alias("_u")).withColumn("_base", F.floor("_u").cast("int"))
+        t = t.select("_to", "_base", *[_weight(method, F.col("_u") - F.col("_base") - k).alias(f"_w{i}") for i, k in enumerate(reach)])
+        return F.broadcast(t) if n <= AXIS else t
+
+    half = _along(df, bands, "col", "row", places(target.n_cols, target.x_of(F.col("id")), source.x0, source.dx), reach)
+    made = _along(half, bands, "row", "col", places(target.n_rows, target.y_of(F.col("id")), source.y0, source.dy), reach)
+    return target.cells(df.sparkSession).join(made, CELL, "left").select(*CELL, *bands)
+
+
 def snap_to_grid(df: DataFrame, bands: Sequence[str], source: Grid, target: Grid, method: str = "nearest") -> DataFrame:
     """Values at the target's cell centres: the source cell there, or a bilinear or bicubic mix of 4 or 16 of them.
 
-    Target cells look up source cells by an equi-join; masked or missing neighbours mask a mixed value. Grids may be of
-    different projections; then centres are transformed to the source's.
+    Masked or missing neighbours mask a mixed value. On a grid of the same projection a mix is made in two passes, along
+    rows and then along columns, and each cell is shuffled once a pass. Grids may be of different projections; then
+    centres are transformed to the source's and look up its cells by an equi-join.
     """
+    if method != "nearest" and source.crs == target.crs:
+        return _separable(df, bands, source, target, method)
     spark = df.sparkSession
     x, y = transform_crs(target.x_of(F.col("col")), target.y_of(F.col("row")), target.crs, source.crs)
     u, v = (x - source.x0) / source.dx - 0.5, (y - source.y0) / source.dy - 0.5
@@ -72,20 +128,12 @@ def snap_to_grid(df: DataFrame, bands: Sequence[str], source: Grid, target: Grid
     if method == "nearest":
         t = t.select(F.col("col").alias("_c"), F.col("row").alias("_r"), F.floor(F.col("_u") + 0.5).cast("int").alias("col"), F.floor(F.col("_v") + 0.5).cast("int").alias("row"))
         return t.join(df.select(*CELL, *bands), CELL, "left").select(F.col("_c").alias("col"), F.col("_r").alias("row"), *bands)
-    reach = {"bilinear": (0, 1), "bicubic": (-1, 0, 1, 2)}[method]
-
-    def weight(d):
-        d = F.abs(d)
-        if method == "bilinear":
-            return F.greatest(1 - d, F.lit(0.0))
-        near, far = 1.5 * d * d * d - 2.5 * d * d + 1, -0.5 * d * d * d + 2.5 * d * d - 4 * d + 2
-        return F.when(d <= 1, near).when(d < 2, far).otherwise(0.0)
-
+    reach = REACH[method]
     offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in reach for j in reach])
     e = t.withColumn("_o", F.explode(offsets))
     c, r = F.floor("_u") + F.col("_o.i"), F.floor("_v") + F.col("_o.j")
-    e = e.select(F.col("col").alias("_c"), F.col("row").alias("_r"), c.cast("int").alias("col"), r.cast("int").alias("row"), (weight(F.col("_u") - c) * weight(F.col("_v") - r)).alias("_w"))
-    e = e.where(F.abs("_w") > 1e-12)  # a centre on a cell's needs no neighbours
+    e = e.select(F.col("col").alias("_c"), F.col("row").alias("_r"), c.cast("int").alias("col"), r.cast("int").alias("row"), (_weight(method, F.col("_u") - c) * _weight(method, F.col("_v") - r)).alias("_w"))
+    e = e.where(F.abs("_w") > LEAST)
     j = e.join(df.select(*CELL, *bands), CELL, "left")
     total = lambda b: F.when(F.count(b) == F.count("*"), F.sum(F.col("_w") * F.col(b)) / F.sum("_w"))
     return j.groupBy("_c", "_r").agg(*[total(b).alias(b) for b in bands]).select(F.col("_c").alias("col"), F.col("_r").alias("row"), *bands)

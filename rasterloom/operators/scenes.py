@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date
 
@@ -76,14 +77,26 @@ def windows_from(starts: DataFrame, days: int) -> DataFrame:
     return starts.select("start_date", F.date_add("start_date", days).alias("end_date"))
 
 
-def join_windows(scenes: DataFrame, windows: DataFrame, time: str = "time_start") -> DataFrame:
+#: Windows up to which they are broadcast and each scene is tested against all; more meet scenes by stretches of time.
+FEW_WINDOWS = 256
+
+
+def join_windows(scenes: DataFrame, windows: DataFrame, time: str = "time_start", few: int = FEW_WINDOWS) -> DataFrame:
     """Each scene with every window its time lies in.
 
-    Windows are few (one per composite), so the range condition is tested against the broadcast list; pixels follow by
-    an equi-join on the image.
+    Windows are counted. Few of them (one per composite) are broadcast. More are joined by stretches of time as long as
+    the mean window: a window is listed in each stretch that it meets, two or so, a scene in its own, and those that
+    share one are tested; no scene is held against all windows. Pixels follow by an equi-join on the image.
     """
     t = F.col(time)
-    return scenes.join(F.broadcast(windows), (t >= F.col("start_date")) & (t < F.col("end_date")))
+    inside = (t >= F.col("start_date")) & (t < F.col("end_date"))
+    n, days = windows.agg(F.count("*"), F.avg(F.greatest(F.datediff("end_date", "start_date"), F.lit(1)))).first()
+    if n <= few:
+        return scenes.join(F.broadcast(windows), inside)
+    length = max(1, round(days))
+    stretch = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / length)
+    listed = windows.where("start_date < end_date").withColumn("_stretch", F.explode(F.sequence(stretch("start_date"), stretch("end_date"))))
+    return scenes.withColumn("_stretch", stretch(t)).join(listed, "_stretch").where(inside).drop("_stretch")
 
 
 #: Sensors of the merge.
@@ -114,5 +127,16 @@ def with_empty_windows(series: DataFrame, windows: DataFrame, cells: DataFrame,
     return series.unionByName(empty, allowMissingColumns=True)
 
 
+def parsed_dates(df: DataFrame, text: str, out: str, formats: Sequence[str] = ("yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "yyyy_MM_dd")) -> DataFrame:
+    """Adds the date that a text holds, whole or as a part (a file name, an image id), by the first format that fits; null
+    where none does or the day does not exist."""
+    found = []
+    for f in formats:
+        pattern = re.escape(f).replace("yyyy", r"\d{4}").replace("MM", r"\d{2}").replace("dd", r"\d{2}")
+        part = F.regexp_extract(F.col(text), rf"(?<!\d)({pattern})(?!\d)", 1)
+        found.append(F.try_to_date(F.nullif(part, F.lit("")), f))
+    return df.withColumn(out, F.coalesce(*found))
+
+
 def with_series_columns(df: DataFrame, start: str = "start_date") -> DataFrame:
     return df.withColumn("month", F.month(start)).withColumn("year", F.year(start))

@@ -7,9 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rasterloom.functions.crs import transform_crs
+from rasterloom.functions.expr import ratio
 from rasterloom.model import CELL, Grid
 from rasterloom.operators.bands import suffixed
 from rasterloom.operators.composite import reducer
@@ -74,6 +78,50 @@ def _within(spans: DataFrame, grid: Grid) -> DataFrame:
     return s.where("col_lo <= col_hi")
 
 
+#: Places of an edge where its image is held against the chord; pieces an edge is cut into at most, at either of two cuts.
+PROBES, MOST_PIECES = (0.25, 0.5, 0.75), 1024
+
+
+def reprojected(features: DataFrame, source: str, target: str, tolerance: float = 1.0, key: str = "feature_id", rings: str = "rings") -> DataFrame:
+    """Features with their rings in another projection: no edge is farther than ``tolerance`` (map units of the target)
+    from the image of the edge it stands for.
+
+    A straight edge is a curve in the other projection, so it is cut before it is transformed. The distance of its image
+    from the chord at three places says into how many pieces: it falls with the square of their number. Each piece is then
+    measured and cut again in the same way, which mends edges whose curvature varies. Other columns stay; a feature without
+    rings keeps none.
+    """
+    if source == target:
+        return features
+    e = features.select(key, F.posexplode(rings).alias("_ring", "_points")).select(key, "_ring", "_points", F.posexplode("_points").alias("_at", "_p"))
+    after = F.element_at("_points", (F.col("_at") + 1) % F.size("_points") + 1)
+    e = e.select(key, "_ring", F.col("_at").cast("double").alias("_at"), F.lit(1.0).alias("_len"), F.col("_p.x").alias("_x1"), F.col("_p.y").alias("_y1"), after["x"].alias("_x2"), after["y"].alias("_y2"))
+
+    def between(t: Column) -> tuple[Column, Column]:
+        return F.col("_x1") + (F.col("_x2") - F.col("_x1")) * t, F.col("_y1") + (F.col("_y2") - F.col("_y1")) * t
+
+    def moved(df: DataFrame, points: dict[str, tuple[Column, Column]]) -> DataFrame:
+        """Adds <name>u and <name>v, the images of the points; by way of geographic coordinates, a projection each."""
+        kept = df.columns
+        df = df.select(*kept, *[c.alias(n + x) for n, p in points.items() for c, x in zip(transform_crs(*p, source, "EPSG:4326"), "gh")])
+        made = [c.alias(n + x) for n in points for c, x in zip(transform_crs(F.col(n + "g"), F.col(n + "h"), "EPSG:4326", target), "uv")]
+        return df.select(*kept, *made)
+
+    for _ in range(2):
+        probed = moved(e, {"_a": between(F.lit(0.0)), "_b": between(F.lit(1.0)), **{f"_m{i}": between(F.lit(t)) for i, t in enumerate(PROBES)}})
+        off = [F.hypot(F.col(f"_m{i}u") - F.col("_au") - (F.col("_bu") - F.col("_au")) * t, F.col(f"_m{i}v") - F.col("_av") - (F.col("_bv") - F.col("_av")) * t) for i, t in enumerate(PROBES)]
+        pieces = F.least(F.ceil(F.sqrt(F.greatest(*off) * (2 / tolerance))), F.lit(MOST_PIECES))
+        n = F.greatest(pieces, F.lit(1)).cast("int")
+        cut = probed.select(*e.columns, n.alias("_n")).select(*e.columns, "_n", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_i"))
+        (x1, y1), (x2, y2) = between(F.col("_i") / F.col("_n")), between((F.col("_i") + 1) / F.col("_n"))
+        last = F.col("_i") + 1 == F.col("_n")
+        e = cut.select(key, "_ring", (F.col("_at") + F.col("_len") * F.col("_i") / F.col("_n")).alias("_at"), (F.col("_len") / F.col("_n")).alias("_len"), x1.alias("_x1"), y1.alias("_y1"), F.when(last, F.col("_x2")).otherwise(x2).alias("_x2"), F.when(last, F.col("_y2")).otherwise(y2).alias("_y2"))
+    points = moved(e, {"_a": between(F.lit(0.0))}).groupBy(key, "_ring").agg(F.sort_array(F.collect_list(F.struct("_at", F.col("_au").alias("x"), F.col("_av").alias("y")))).alias("_points"))
+    ring = F.transform("_points", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    made = points.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_ring", ring.alias("_r"))))["_r"].alias("_rings"))
+    return features.join(made, key, "left").select(*[F.coalesce("_rings", F.array().cast(made.schema["_rings"].dataType)).alias(c) if c == rings else c for c in features.columns])
+
+
 def split_spans(spans: DataFrame) -> DataFrame:
     """One row per 256-cell stretch a span touches, which gives joins an equi-key."""
     return spans.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("col_lo") / STRETCH), F.floor(F.col("col_hi") / STRETCH))))
@@ -103,23 +151,94 @@ def filter_by_spans(features: DataFrame, own: DataFrame, aoi: DataFrame, key: st
     return features.join(split_spans(own).join(area, on, "left_semi").select(key).distinct(), key, "left_semi")
 
 
+#: Side of the tiles of the distance transform, at least; wider reaches have tiles of their reach.
+TILE = 256
+
+
+def row_gaps(covered: np.ndarray, dx: float) -> np.ndarray:
+    """Per cell the distance along its row to the nearest covered cell (infinite without one), by two running maxima."""
+    n, at = covered.shape[1], np.arange(covered.shape[1])
+    left = np.maximum.accumulate(np.where(covered, at, -(1 << 30)), axis=1)
+    right = np.minimum.accumulate(np.where(covered, at, 1 << 30)[:, ::-1], axis=1)[:, ::-1]
+    gap = np.minimum(at - left, right - at)
+    return np.where(gap <= n, gap * dx, np.inf)
+
+
+def lower_envelope(gaps: np.ndarray, dy: float, reach: int) -> np.ndarray:
+    """Per cell the least squared distance: the lower envelope along its column of the parabolas gap^2 + (rows * dy)^2.
+
+    Rows up to ``reach`` above and below are looked at, all columns at once, nearest rows first; it ends where a row's
+    own distance can lower no value any more.
+    """
+    squares = gaps * gaps
+    out = squares.copy()
+    for k in range(1, min(reach, len(gaps) - 1) + 1):
+        step = (k * dy) ** 2
+        if step >= out.max():
+            break
+        np.minimum(out[k:], squares[:-k] + step, out=out[k:])
+        np.minimum(out[:-k], squares[k:] + step, out=out[:-k])
+    return out
+
+
+def _distances(spans: DataFrame, grid: Grid, radius: float, key: str, schema: str, make) -> DataFrame:
+    """What ``make`` draws from each (feature, tile): (key, row of the tile, col of the tile, squared distances)."""
+    dx, dy = abs(grid.dx), abs(grid.dy)
+    across, down = int(radius / dx), int(radius / dy)
+    side = max(TILE, across, down)
+    over = lambda lo, hi, far: F.explode(F.sequence(F.floor((F.col(lo) - far) / side), F.floor((F.col(hi) + far) / side)))
+    dealt = spans.select(key, "row", "col_lo", "col_hi").withColumn("_tr", over("row", "row", down)).withColumn("_tc", over("col_lo", "col_hi", across))
+    last_row, last_col = (grid.n_rows - 1) // side, (grid.n_cols - 1) // side
+    dealt = dealt.where(F.col("_tr").between(0, last_row) & F.col("_tc").between(0, last_col))
+    n_rows, n_cols = grid.n_rows, grid.n_cols
+
+    def run(keys: tuple, table: pa.Table) -> pa.Table:
+        r0, c0 = keys[1].as_py() * side, keys[2].as_py() * side
+        rows, lo, hi = (table.column(c).to_numpy().astype(np.int64) for c in ("row", "col_lo", "col_hi"))
+        marks = np.zeros((side + 2 * down, side + 2 * across + 1), np.int32)
+        np.add.at(marks, (rows - r0 + down, np.clip(lo - c0 + across, 0, marks.shape[1] - 1)), 1)
+        np.add.at(marks, (rows - r0 + down, np.clip(hi + 1 - c0 + across, 0, marks.shape[1] - 1)), -1)
+        covered = np.cumsum(marks, axis=1)[:, :-1] > 0
+        far = lower_envelope(row_gaps(covered, dx), dy, down)[down : down + min(side, n_rows - r0), across : across + min(side, n_cols - c0)]
+        return make(keys[0].as_py(), r0, c0, far, far <= radius * radius)
+
+    return dealt.groupBy(key, "_tr", "_tc").applyInArrow(run, schema)
+
+
+def distance_transform(spans: DataFrame, grid: Grid, radius: float, key: str = "feature_id") -> DataFrame:
+    """(key, col, row, distance): every cell whose centre is within ``radius`` of a covered cell's, with the distance.
+
+    Exact: gaps along rows, then lower envelopes along columns, in tiles that see ``radius`` beyond their border. A span
+    is sent to the tiles it can reach, not to every row.
+    """
+    kind = dict(spans.dtypes)[key]
+    arrow = spans.select(key).limit(0).toArrow().schema.field(key).type
+
+    def make(k, r0, c0, far, near):
+        r, c = np.nonzero(near)
+        return pa.table({key: pa.array([k] * len(r), arrow), "col": pa.array((c + c0).astype(np.int32)), "row": pa.array((r + r0).astype(np.int32)), "distance": pa.array(np.sqrt(far[near]))})
+
+    return _distances(spans, grid, radius, key, f"`{key}` {kind}, col int, row int, distance double", make)
+
+
 def dilated(spans: DataFrame, grid: Grid, radius: float, key: str = "feature_id") -> DataFrame:
     """A buffer around features: cells whose centre is within ``radius`` of a covered cell's centre, as spans.
 
-    Each span grows by the half-chord of every row offset; overlapping results are merged by row.
+    Read off the distance transform tile by tile; spans that touch at a tile's border are joined.
     """
-    r = radius / abs(grid.dx)
-    steps = int(radius / abs(grid.dy))
-    grown = spans.withColumn("dy", F.explode(F.sequence(F.lit(-steps), F.lit(steps))))
-    w = F.floor(F.sqrt(F.lit(r * r) - F.col("dy") * F.col("dy"))).cast("int")
-    cells = grown.select(key, (F.col("row") + F.col("dy")).alias("row"), (F.col("col_lo") - w).alias("col_lo"), (F.col("col_hi") + w).alias("col_hi"))
-    return merged(_within(cells.where(F.col("row").between(0, grid.n_rows - 1)), grid), key)
+    kind = dict(spans.dtypes)[key]
+    arrow = spans.select(key).limit(0).toArrow().schema.field(key).type
+
+    def make(k, r0, c0, far, near):
+        edges = np.diff(np.pad(near, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (r, lo), (_, hi) = np.nonzero(edges == 1), np.nonzero(edges == -1)
+        return pa.table({key: pa.array([k] * len(r), arrow), "row": pa.array((r + r0).astype(np.int32)), "col_lo": pa.array((lo + c0).astype(np.int32)), "col_hi": pa.array((hi - 1 + c0).astype(np.int32))})
+
+    return merged(_distances(spans, grid, radius, key, f"`{key}` {kind}, row int, col_lo int, col_hi int", make), key)
 
 
 def merged(spans: DataFrame, key: str = "feature_id") -> DataFrame:
     """Overlapping and touching spans of a row as one."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(key, "row").orderBy("col_lo", "col_hi")
     before = F.max("col_hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
     s = spans.withColumn("_new", (F.col("col_lo") > F.coalesce(before, F.lit(-(1 << 30))) + 1).cast("int"))
@@ -134,6 +253,36 @@ def reduce_regions(pixels: DataFrame, spans: DataFrame, features: DataFrame, ban
     return features.select(key).join(made, key, "left")
 
 
+def span_sums(pixels: DataFrame, spans: DataFrame, bands: Sequence[str], keys: Sequence[str] = (), key: str = "feature_id") -> DataFrame:
+    """(key, keys, _pixels, _s0, _n0, _s1, ...): per feature and image the rows, sum and number of valid values a band.
+
+    Each row of an image is summed once, from left to right; a span takes two places of that sum, before its first and
+    after its last cell, whatever its width and however many other spans cover it. No pixel meets a feature in a join. A
+    running sum over a row costs some digits: 16 of the row's sum, not of the span's.
+    """
+    row = [*keys, "row"]
+    values = [F.col(f"`{b}`").cast("double") for b in bands]
+    cells = pixels.select(*row, F.col("col").alias("_at"), F.lit(0).alias("_end"), F.lit(None).cast(dict(spans.dtypes)[key]).alias("_f"), *[v.alias(f"_v{i}") for i, v in enumerate(values)])
+    ends = F.explode(F.array(F.struct(F.col("col_lo").alias("_at"), F.lit(-1).alias("_end")), F.struct(F.col("col_hi").alias("_at"), F.lit(1).alias("_end"))))
+    asked = spans.select(F.col(key).alias("_f"), F.col("row").alias("_row"), ends.alias("_e")).join(pixels.select(*row).distinct(), F.col("_row") == F.col("row"))
+    asked = asked.select(*row, "_e._at", "_e._end", "_f", *[F.lit(None).cast("double").alias(f"_v{i}") for i in range(len(bands))])
+    w = Window.partitionBy(*row).orderBy("_at", "_end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {"_pixels": F.sum((F.col("_end") == 0).cast("long")).over(w)}
+    for i in range(len(bands)):
+        sums |= {f"_s{i}": F.coalesce(F.sum(f"_v{i}").over(w), F.lit(0.0)), f"_n{i}": F.count(f"_v{i}").over(w)}
+    read = cells.union(asked).select(*keys, "_f", "_end", *[c.alias(n) for n, c in sums.items()]).where("_end <> 0")
+    return read.groupBy(F.col("_f").alias(key), *keys).agg(*[F.sum(F.col("_end") * F.col(n)).alias(n) for n in sums])
+
+
+def reduce_by_sums(pixels: DataFrame, spans: DataFrame, bands: Sequence[str], name: str = "mean", keys: Sequence[str] = (), key: str = "feature_id") -> DataFrame:
+    """What ``reduce_regions`` gives for mean, sum and count, from running sums; a row per feature and image that meet."""
+    if name not in ("mean", "sum", "count"):
+        raise ValueError(f"running sums give mean, sum and count, not {name}")
+    made = span_sums(pixels, spans, bands, keys, key).where("_pixels > 0")
+    of = {"mean": lambda i: ratio(F.col(f"_s{i}"), F.col(f"_n{i}")), "sum": lambda i: F.when(F.col(f"_n{i}") > 0, F.col(f"_s{i}")), "count": lambda i: F.col(f"_n{i}")}[name]
+    return made.select(key, *keys, *[of(i).alias(b) for i, b in enumerate(bands)])
+
+
 def point_cells(points: DataFrame, grid: Grid) -> DataFrame:
     """Points with the cell they lie in; null off the grid."""
     c, r = grid.col_of(F.col("x")), grid.row_of(F.col("y"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterloom.functions.masks import CLASSES
+from rasterloom.functions.scaling import SOIL_DIVISORS
 from rasterloom.model import Grid
 from rasterloom.operators.scenes import date_list, windows_from
 
@@ -105,6 +106,27 @@ class Fixture:
     def phenology(self) -> DataFrame:
         return self._yearly().where("year < 1997").select("year", *self.at("p_partkey"), (F.col("p_size") * 100).alias("EVI_Minimum_1"), (F.col("p_size") * 3 + F.col("year")).alias("EVI_Area_1"))
 
+    def phenology_bands(self) -> DataFrame:
+        """All six scaled bands and one that isn't."""
+        made = {f"EVI_{n}_{i}": F.col("p_size") * k + F.col("year") * i for k, n in ((100, "Minimum"), (70, "Amplitude"), (3, "Area")) for i in (1, 2)}
+        return self._yearly().where("year < 1997").select("year", *self.at("p_partkey"), *[c.alias(n) for n, c in made.items()], F.col("p_size").alias("Greenup_1"))
+
+    def soil_layers(self) -> DataFrame:
+        """A layer of every soil variable."""
+        return self.read("part").select(*self.at("p_partkey"), *[(F.col("p_size") * (i + 3) + F.col("p_partkey") % 7).alias(f"{n}_5-15cm_mean") for i, n in enumerate(SOIL_DIVISORS)])
+
+    def lonlat_polygons(self) -> DataFrame:
+        """Large quadrangles in longitude and latitude."""
+        k = F.col("n_nationkey")
+        x, y, w, h = -120 + (k * 7) % 9 * 0.75, 49 + (k * 11) % 8 * 1.0, 3 + k % 4 * 1.5, 1 + k % 3 * 1.5
+        p = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+        return self.read("nation").select(k.cast("bigint").alias("feature_id"), F.lit("Polygon").alias("geom_type"), F.array(F.array(p(x, y), p(x + w, y), p(x + w, y + h), p(x, y + h))).alias("rings"))
+
+    def conic_grid(self) -> Grid:
+        """The cells as a lattice that covers those polygons, in a conic projection."""
+        n = self.n_rows()
+        return Grid(N_COLS, n, -1_900_000.0, 1_800_000.0, 30_000.0, -1_800_000.0 / n, "EPSG:3978")
+
     def class_probs(self) -> DataFrame:
         made = [F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(CLASSES)]
         month = F.lpad((F.col("vec_id") % 12 + 1).cast("string"), 2, "0")

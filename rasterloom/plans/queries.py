@@ -21,7 +21,7 @@ from rasterloom.operators import zonal as zo
 from rasterloom.plans import workflows as wf
 from rasterloom.plans.fixtures import LC_CODES, LS, S2, Fixture
 from rasterloom.plans.oracle import sql
-from rasterloom.sources import io
+from rasterloom.sources import aligned, io, tiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -170,7 +170,11 @@ add(
     f"SELECT {KEYS}, QA_PIXEL, " + ", ".join(f"round(({o} - ({i} * 10000.0)) / {s}, 6) AS {n}" for (o, n), s, i in zip(scaling.OLI_TO_ETM_BANDS.items(), scaling.OLI_SLOPES, scaling.OLI_INTERCEPTS)) + " FROM pixels_ls",
 )
 add("sc4_modis_phenology", lambda fx: rounded(scaling.scale_modis_phenology(fx.phenology()), 3), "SELECT year, col, row, round(EVI_Minimum_1 * 0.0001, 3) AS EVI_Minimum_1, round(EVI_Area_1 * 0.1, 3) AS EVI_Area_1 FROM phenology")
+_EVI = [(f"EVI_{n}_{i}", f"(p_size * {k} + year * {i}) * {f}") for k, n, f in ((100, "Minimum", 0.0001), (70, "Amplitude", 0.0001), (3, "Area", 0.1)) for i in (1, 2)]
+add("sc4_modis_all_bands", lambda fx: rounded(scaling.scale_modis_phenology(fx.phenology_bands()), 3), f"SELECT CAST(year AS INT) AS year, CAST(p_partkey % 50 AS INT) AS col, CAST(p_partkey // 50 AS INT) AS row, {', '.join(f'round(CAST(CAST({x} AS FLOAT) AS DOUBLE), 3) AS {n}' for n, x in _EVI)}, p_size AS Greenup_1 FROM part, (SELECT unnest(range(1995, 1997)) AS year)")
 add("sc5_soil", lambda fx: rounded(scaling.scale_soil(fx.soil().select(*CELL, "clay_0_5cm")), 4), "SELECT col, row, round(clay_0_5cm / 10.0, 4) AS clay_0_5cm FROM soil")
+_SOILS = {"bdod": 100, "cec": 10, "cfvo": 10, "clay": 10, "nitrogen": 100, "ocd": 10, "ocs": 10, "phh2o": 10, "sand": 10, "silt": 10, "soc": 10}
+add("sc5_soil_all_variables", lambda fx: rounded(scaling.scale_soil(fx.soil_layers()), 4), "SELECT CAST(p_partkey % 50 AS INT) AS col, CAST(p_partkey // 50 AS INT) AS row, " + ", ".join(f'round(CAST(CAST((p_size * {i + 3} + p_partkey % 7) / {d}.0 AS FLOAT) AS DOUBLE), 4) AS "{n}_5-15cm_mean"' for i, (n, d) in enumerate(_SOILS.items())) + " FROM part")
 add("sc6_hydrosoil", lambda fx: rounded(scaling.scale_hydrosoil(fx.soil(), ["ksat"], ["stc"]).select(*CELL, "ksat", F.col("stc").cast("int").alias("stc")), 4), "SELECT col, row, round(ksat * 0.0001, 4) AS ksat, stc FROM soil")
 add("sc7_deg2rad", lambda fx: rounded(fx.dem().select(*CELL, F.radians("elevation").alias("rad")), 9), "SELECT col, row, round(radians(elevation), 9) AS rad FROM dem")
 add("sc8_clamp", lambda fx: fx.dem_gaps().select(*CELL, expr.clamp(F.col("elevation"), 910.0, 980.0).alias("z"), expr.at_least(F.col("elevation"), 950.0).alias("floor")), "SELECT col, row, CASE WHEN elevation IS NOT NULL THEN least(greatest(elevation, 910.0), 980.0) END AS z, CASE WHEN elevation IS NOT NULL THEN greatest(elevation, 950.0) END AS floor FROM dem_gaps")
@@ -191,6 +195,8 @@ add("sc14_constant", lambda fx: fx.dem().select(*CELL, F.lit(0.9785).alias("a"),
 add("sc15_argmax", lambda fx: fx.class_probs().select("time_start", *CELL, F.round("water", 6).alias("water"), expr.argmax([F.col(c) for c in _C]).alias("label")), f"SELECT time_start, col, row, round(water, 6) AS water, list_position([{', '.join(_C)}], greatest({', '.join(_C)})) - 1 AS label FROM class_probs")
 add("sc16_names", lambda fx: bd.suffixed(expr.renamed_by(fx.soil(), r"_0_5cm$", "_top"), "_mean", CELL).withColumn("name", F.concat(F.lit("cell_"), expr.padded(F.col("col"), 3))), "SELECT col, row, clay_0_5cm AS clay_top_mean, ksat AS ksat_mean, stc AS stc_mean, 'cell_' || lpad(CAST(col AS VARCHAR), 3, '0') AS name FROM soil")
 add("sc17_dates", lambda fx: fx.scenes().select("image_id", F.year("time_start").alias("year"), F.month("time_start").alias("month"), F.date_format("time_start", "yyyy-MM-dd").alias("day"), F.date_add(F.to_date("time_start"), 121).alias("until")), "SELECT image_id, CAST(year(time_start) AS INT) AS year, CAST(month(time_start) AS INT) AS month, strftime(time_start, '%Y-%m-%d') AS day, CAST(time_start AS DATE) + 121 AS until FROM scenes")
+_NAMED = lambda fx: fx.scenes().select("image_id", F.concat(F.lit("scene_"), F.col("image_id"), F.when(F.col("image_id") % 4 == 0, F.concat(F.lit("_"), F.date_format("time_start", "yyyyMMdd"), F.lit("_T1"))).when(F.col("image_id") % 4 == 1, F.concat(F.lit("/"), F.date_format("time_start", "yyyy-MM-dd"), F.lit(".tif"))).when(F.col("image_id") % 4 == 2, F.date_format("time_start", " yyyy/MM/dd")).otherwise("_19991350")).alias("name"))
+add("sc17_parsed_dates", lambda fx: sc.parsed_dates(_NAMED(fx), "name", "day").select("image_id", "day"), "SELECT image_id, CASE WHEN image_id % 4 < 3 THEN CAST(time_start AS DATE) END AS day FROM scenes")
 _FLOORED = "SELECT DISTINCT greatest(start_date, DATE '1996-08-01') AS start_date, CAST(greatest(start_date, DATE '1996-08-01') + 121 AS DATE) AS end_date FROM windows"
 add("sc18_conditional", lambda fx: sc.join_windows(fx.scenes(), sc.floor_windows(fx.windows(), date(1996, 8, 1))).groupBy("start_date", "end_date").agg(F.count("*").alias("n")), f"SELECT f.start_date, f.end_date, count(*) AS n FROM ({_FLOORED}) f JOIN scenes ON time_start >= f.start_date AND time_start < f.end_date GROUP BY ALL")
 _OUTSIDE = lambda fx: fx.windows().withColumns({c: F.add_months(c, 48) for c in ("start_date", "end_date")})
@@ -231,6 +237,8 @@ for _u, _per in (("year", 12), ("month", 1)):
         f"""SELECT CAST(a + to_months(CAST(i * {_per} AS INT)) AS DATE) AS start_date FROM (SELECT a, unnest(range(0, CAST(round(((year(b) - year(a)) * 12 + month(b) - month(a)) / {_per}.0) AS BIGINT) + 1, 2)) AS i
         FROM (SELECT date_trunc('month', min(time_start)) AS a, date_trunc('month', max(time_start)) AS b FROM scenes))""",
     )
+_DAILY = lambda fx: sc.windows_from(sc.date_list(fx.spark, date(1995, 1, 1), date(2000, 12, 31), 1, "day"), 16)
+add("jn4_daily_windows", lambda fx: sc.join_windows(fx.scenes(), _DAILY(fx)).groupBy("start_date", "end_date").agg(F.count("*").alias("n"), F.max("image_id").alias("latest_id")), "SELECT d AS start_date, d + 16 AS end_date, count(*) AS n, max(image_id) AS latest_id FROM (SELECT CAST(unnest(range(DATE '1995-01-01', DATE '2001-01-01', INTERVAL 1 DAY)) AS DATE) AS d) JOIN scenes ON time_start >= d AND time_start < d + 16 GROUP BY d")
 add("jn4_windows", lambda fx: sc.join_windows(fx.scenes(), fx.windows()).select("image_id", "start_date", "end_date"), "SELECT image_id, start_date, end_date FROM placed")
 add("jn5_sensor_priority", lambda fx: sc.sensor_priority(sc.join_windows(fx.scenes(), fx.windows())).select("image_id", "sensor", "start_date"), "SELECT image_id, sensor, start_date FROM used")
 _BOX = "SELECT * FROM placed WHERE (image_id * 7) % 50 <= 14 AND (image_id * 7) % 50 + 5 >= 10 AND (image_id * 3) % 40 <= 14 AND (image_id * 3) % 40 + 4 >= 10"
@@ -256,6 +264,8 @@ add("annual_ndvi_composite", lambda fx: rounded(cp.composite(_ndvi(fx), ["NDVI"]
 for _s, _f in (("min", "min"), ("max", "max"), ("median", "median"), ("sum", "sum"), ("count", "count"), ("stdDev", "stddev_pop")):
     add(f"agg1_composite_{_s.lower()}", lambda fx, s=_s: rounded(cp.composite(_ndvi(fx), ["NDVI"], s)), f"SELECT start_date, col, row, {'count(NDVI)' if _s == 'count' else f'round({_f}(NDVI), 6)'} AS NDVI FROM {_NDVI} GROUP BY ALL")
 add("agg2_median_composite", lambda fx: stepped(cp.median_composite(_ndvi(fx), ["SR_B4", "NDVI"]), "SR_B4", "NDVI"), f"SELECT start_date, col, row, {step('median(CASE WHEN QA_PIXEL & 56 = 0 THEN SR_B4 END)')} AS SR_B4, {step('median(CASE WHEN QA_PIXEL & 56 = 0 THEN ' + nd('SR_B4', 'SR_B3') + ' END)')} AS NDVI FROM sr JOIN placed USING (image_id) WHERE cloud_pct < 80 GROUP BY start_date, col, row")
+_PARTS = lambda fx: cp.sketches(_ndvi(fx).join(fx.scenes().select("image_id", "sensor"), "image_id"), ["SR_B4", "NDVI"], ["start_date", "row", "sensor"])
+add("agg2_median_of_sketches", lambda fx: stepped(cp.median_of_parts(_PARTS(fx), ["SR_B4", "NDVI"], ["start_date", "row"]), "SR_B4", "NDVI"), f"SELECT start_date, row, {step('quantile_disc(CASE WHEN QA_PIXEL & 56 = 0 THEN SR_B4 END, 0.5)')} AS SR_B4, {step('quantile_disc(CASE WHEN QA_PIXEL & 56 = 0 THEN ' + nd('SR_B4', 'SR_B3') + ' END, 0.5)')} AS NDVI FROM sr JOIN placed USING (image_id) WHERE cloud_pct < 80 GROUP BY start_date, row")
 add("agg3_mean_over_time", lambda fx: rounded(masks.leading_class(fx.class_probs(), CELL)), f"SELECT col, row, {', '.join(f'round(avg({c}), 6) AS {c}' for c in _C)}, list_position([{', '.join(f'avg({c})' for c in _C)}], greatest({', '.join(f'avg({c})' for c in _C)})) - 1 AS label FROM class_probs GROUP BY col, row")
 add("agg4_mosaic", lambda fx: cp.mosaic(masks.mask_cloud(fx.pixels_ls(), LS).join(fx.scenes().select("image_id", "time_start"), "image_id"), LS), "SELECT col, row, " + ", ".join(f"arg_max(CASE WHEN QA_PIXEL & 24 = 0 THEN {b} END, CASE WHEN QA_PIXEL & 24 = 0 THEN struct_pack(t := time_start, i := image_id) END) AS {b}" for b in LS) + " FROM pixels_ls JOIN scenes USING (image_id) GROUP BY col, row")
 add("agg5_reduce_region", lambda fx: stepped(x := cp.reduce_region(sr(fx), ["SR_B4", "SR_B3"], ["minMax", "mean", "stdDev"]), *x.columns[1:]), "SELECT image_id, " + ", ".join(f"{step(f'{f}({b})')} AS {b}_{n}" for b in ("SR_B4", "SR_B3") for n, f in (("min", "min"), ("max", "max"), ("mean", "avg"), ("stdDev", "stddev_pop"))) + " FROM sr GROUP BY image_id")
@@ -284,6 +294,7 @@ _HIST = "(SELECT raster, least(coalesce(CAST(floor((ksat - lo) * 50 / nullif(hi
 _ksat = lambda fx: fx.soil().select((F.col("col") % 5).alias("raster"), F.col("ksat").cast("double").alias("ksat"))
 add("agg15_histogram", lambda fx: qa.histogram(_ksat(fx), "ksat"), f"SELECT raster, bin, count(*) AS n FROM {_HIST} GROUP BY ALL")
 add("agg15_peak", lambda fx: qa.peak_count(qa.histogram(_ksat(fx), "ksat")), f"SELECT raster, max(n) AS peak FROM (SELECT raster, bin, count(*) AS n FROM {_HIST} GROUP BY ALL) GROUP BY raster")
+add("agg16_stretch_of_sketches", lambda fx: rounded(qa.stretch_of_sketches(fx.soil().withColumn("raster", F.col("row")), "ksat", 0.05, 0.9)), "SELECT row AS raster, CAST(CASE WHEN a = b THEN lo ELSE a END AS DOUBLE) AS low, CAST(CASE WHEN a = b THEN hi ELSE b END AS DOUBLE) AS high FROM (SELECT row, quantile_disc(ksat, 0.05) AS a, quantile_disc(ksat, 0.9) AS b, min(ksat) AS lo, max(ksat) AS hi FROM soil GROUP BY row)")
 add("agg16_stretch", lambda fx: rounded(qa.stretch(_ksat(fx), "ksat")), "SELECT raster, round(CASE WHEN a = b THEN lo ELSE a END, 6) AS low, round(CASE WHEN a = b THEN hi ELSE b END, 6) AS high FROM (SELECT col % 5 AS raster, quantile_cont(CAST(ksat AS DOUBLE), 0.02) AS a, quantile_cont(CAST(ksat AS DOUBLE), 0.98) AS b, CAST(min(ksat) AS DOUBLE) AS lo, CAST(max(ksat) AS DOUBLE) AS hi FROM soil GROUP BY col % 5)")
 add("agg17_display_range", lambda fx: cp.reduce_region(fx.dem(), ["elevation"], ["minMax"], []), "SELECT min(elevation) AS elevation_min, max(elevation) AS elevation_max FROM dem")
 add("agg18_sample", lambda fx: cp.sample(fx.dem(), 40), "SELECT col, row, elevation FROM dem ORDER BY (col * 7919 + row * 104729) % 1000003, col, row LIMIT 40")
@@ -311,6 +322,8 @@ add("jn3_asset_image_chosen", lambda fx: bd.asset_image(_hydrosoil(fx), "wcsat",
 add("jn6_aligned_mask", lambda fx: masks.mask_by_aligned(fx.dem(), fx.forest_age(), F.col("age") <= 40, ["elevation"]), "SELECT col, row, CASE WHEN age <= 40 THEN elevation END AS elevation FROM dem LEFT JOIN forest_age USING (col, row)")
 add("zon1_spans", lambda fx: zo.span_cells(zo.polygon_spans(fx.polygons(), fx.grid())), "SELECT feature_id, row, col FROM poly_cells")
 add("zon2_reduce_regions", lambda fx: rounded(zo.reduce_regions(fx.dem_gaps(), zo.polygon_spans(fx.polygons(), fx.grid()), fx.polygons(), ["elevation"], "mean")), "SELECT polys.feature_id, round(avg(elevation), 6) AS elevation FROM polys LEFT JOIN (poly_cells JOIN dem_gaps USING (col, row)) USING (feature_id) GROUP BY polys.feature_id")
+add("zon2_prefix", lambda fx: stepped(zo.reduce_by_sums(fx.dem_gaps().join(fx.soil(), CELL), zo.polygon_spans(fx.polygons(), fx.grid()), ["elevation", "ksat"], "mean"), "elevation", "ksat"), f"SELECT feature_id, {step('avg(elevation)')} AS elevation, {step('avg(ksat)')} AS ksat FROM poly_cells JOIN dem_gaps USING (col, row) JOIN soil USING (col, row) GROUP BY feature_id")
+add("zon5_prefix_by_image", lambda fx: stepped(zo.reduce_by_sums(sr(fx), zo.polygon_spans(fx.polygons(), fx.grid()), ["SR_B4"], "sum", ["image_id"]), "SR_B4"), f"SELECT feature_id, image_id, {step('sum(SR_B4)')} AS SR_B4 FROM poly_cells JOIN sr USING (col, row) GROUP BY feature_id, image_id")
 add("zon3_image_to_points", lambda fx: rounded(zo.image_to_points(fx.dem_gaps(), fx.points(), fx.grid(), ["elevation"])), "SELECT point_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, batch, elevation AS elevation_mean_0 FROM point_cells LEFT JOIN dem_gaps USING (col, row)")
 add(
     "zon3_image_to_points_buffer",
@@ -323,6 +336,8 @@ add("zon6_sample_regions", lambda fx: zo.sample_regions(fx.soil(), fx.points(),
 add("zon7_copy_properties", lambda fx: bd.copy_properties(cp.reduce_region(fx.pixels_ls(), ["SR_B4"], ["max"]), fx.scenes(), ["time_start", "sensor"]), "SELECT image_id, max(SR_B4) AS SR_B4_max, any_value(time_start) AS time_start, any_value(sensor) AS sensor FROM pixels_ls LEFT JOIN scenes USING (image_id) GROUP BY image_id")
 add("zon8_bounds", lambda fx: zo.bounds(fx.polygons()), "SELECT feature_id, CAST(px AS DOUBLE) AS min_x, CAST(py AS DOUBLE) AS min_y, CAST(px + side AS DOUBLE) AS max_x, CAST(py + side AS DOUBLE) AS max_y FROM polys")
 add("zon8_buffer", lambda fx: zo.span_cells(zo.dilated(zo.polygon_spans(fx.polygons(), fx.grid()), fx.grid(), 2.0)), "SELECT DISTINCT feature_id, d.col, d.row FROM poly_cells p JOIN dem d ON (d.col - p.col) * (d.col - p.col) + (d.row - p.row) * (d.row - p.row) <= 4")
+add("zon8_buffer_67", lambda fx: zo.span_cells(zo.dilated(zo.polygon_spans(fx.polygons(), fx.grid()), fx.grid(), 67.0)), "SELECT DISTINCT feature_id, d.col, d.row FROM poly_cells p JOIN dem d ON (d.col - p.col) * (d.col - p.col) + (d.row - p.row) * (d.row - p.row) <= 4489")
+add("zon8_distance_transform", lambda fx: rounded(zo.distance_transform(zo.polygon_spans(fx.polygons(), fx.grid()), fx.grid(), 12.5)), "SELECT feature_id, d.col, d.row, round(sqrt(min((d.col - p.col) * (d.col - p.col) + (d.row - p.row) * (d.row - p.row))), 6) AS distance FROM poly_cells p JOIN dem d ON (d.col - p.col) * (d.col - p.col) + (d.row - p.row) * (d.row - p.row) <= 156.25 GROUP BY ALL")
 add("zon8_distance", lambda fx: rounded(fx.points().select("point_id", zo.distance(F.col("x"), F.col("y"), F.lit(10.0), F.lit(20.0)).alias("planar"), zo.haversine(F.col("x"), F.col("y"), F.lit(10.0), F.lit(20.0)).alias("sphere")), 3), "SELECT point_id, round(sqrt((x - 10) * (x - 10) + (y - 20) * (y - 20)), 3) AS planar, round(2 * 6371008.8 * asin(sqrt(least(pow(sin((radians(20) - radians(y)) / 2), 2) + cos(radians(y)) * cos(radians(20)) * pow(sin(radians(10 - x) / 2), 2), 1))), 3) AS sphere FROM points")
 
 # --- moving windows ----------------------------------------------------------------------------------------------
@@ -423,6 +438,19 @@ def _forward(fx: Fixture) -> DataFrame:
 
 _XY = {"3978": _conic_sql(-95.0, 49.0, 49.0, 77.0, 0.0, 0.0), "3348": _conic_sql(-91.86666666666666, 63.390675, 49.0, 77.0, 6200000.0, 3000000.0)}
 add("grd3_forward", _forward, "SELECT point_id, " + ", ".join(f"round({v}, 3) AS {a}_{n}" for n, xy in _XY.items() for a, v in zip("xy", xy)) + " FROM (SELECT point_id, x / 5 - 120.0 AS lon, point_id % 12 + 49.5 AS lat FROM points)")
+_CUTS = 600
+_CONIC_CELLS = "(SELECT col, row, elevation, -1900000.0 + (col + 0.5) * 30000.0 AS cx, 1800000.0 - (row + 0.5) * 1800000.0 / n_rows AS cy FROM dem, g)"
+_CONIC_EDGES = f"""(SELECT feature_id, e, i, {_XY["3978"][0]} AS x, {_XY["3978"][1]} AS y FROM (
+    SELECT feature_id, e, i, CASE e WHEN 0 THEN x0 + w * i / {_CUTS}.0 WHEN 1 THEN x0 + w WHEN 2 THEN x0 + w - w * i / {_CUTS}.0 ELSE x0 END AS lon,
+        CASE e WHEN 0 THEN y0 WHEN 1 THEN y0 + h * i / {_CUTS}.0 WHEN 2 THEN y0 + h ELSE y0 + h - h * i / {_CUTS}.0 END AS lat
+    FROM (SELECT CAST(n_nationkey AS BIGINT) AS feature_id, -120 + (n_nationkey * 7) % 9 * 0.75 AS x0, 49 + (n_nationkey * 11) % 8 * 1.0 AS y0, 3 + n_nationkey % 4 * 1.5 AS w, 1 + n_nationkey % 3 * 1.5 AS h FROM nation),
+        (SELECT unnest(range(0, 4)) AS e), (SELECT unnest(range(0, {_CUTS} + 1)) AS i)))"""
+_CONIC_SEGMENTS = f"(SELECT feature_id, x, y, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM {_CONIC_EDGES} WINDOW w AS (PARTITION BY feature_id, e ORDER BY i))"
+_CONIC_INSIDE = f"(SELECT feature_id, col, row, any_value(elevation) AS elevation FROM {_CONIC_SEGMENTS} JOIN {_CONIC_CELLS} ON (y > cy) <> (y2 > cy) AND cx < x + (cy - y) / (y2 - y) * (x2 - x) GROUP BY feature_id, col, row HAVING count(*) % 2 = 1)"
+_conic_spans = lambda fx: zo.polygon_spans(zo.reprojected(fx.lonlat_polygons(), "EPSG:4326", "EPSG:3978", 50.0), fx.conic_grid())
+add("zon1_reprojected", lambda fx: zo.span_cells(_conic_spans(fx)), f"SELECT feature_id, col, row FROM {_CONIC_INSIDE}")
+add("flt6_clip_reprojected", lambda fx: zo.clip(fx.dem(), _conic_spans(fx)), f"SELECT DISTINCT col, row, elevation FROM {_CONIC_INSIDE}")
+add("grd3_bounds_reprojected", lambda fx: rounded(zo.bounds(zo.reprojected(fx.lonlat_polygons(), "EPSG:4326", "EPSG:3978", 0.05)), -2), f"SELECT feature_id, {', '.join(f'round({f}({c}), -2) AS {f}_{c}' for f in ('min', 'max') for c in 'xy')} FROM {_CONIC_EDGES} GROUP BY feature_id")
 add("grd4_template", lambda fx: rounded(resample.reference_template(zo.bounds(fx.polygons()))), "SELECT round(bx + floor(round((x1 - bx) / s, 9)) * s, 6) AS x0, round(b_y + floor(round((y1 - b_y) / s, 9)) * s, 6) AS y0, CAST(s AS DOUBLE) AS dx, CAST(s AS DOUBLE) AS dy, CAST(ceil(round((x2 - bx) / s, 9)) - floor(round((x1 - bx) / s, 9)) AS INT) AS n_cols, CAST(ceil(round((y2 - b_y) / s, 9)) - floor(round((y1 - b_y) / s, 9)) AS INT) AS n_rows FROM (SELECT arg_min(px, feature_id) AS bx, arg_min(py, feature_id) AS b_y, any_value(side) AS s FROM polys WHERE side = (SELECT max(side) FROM polys)), (SELECT min(px) AS x1, min(py) AS y1, max(px + side) AS x2, max(py + side) AS y2 FROM polys)")
 
 add("grd4_template_of_raster", lambda fx: resample.reference_template(_grids(fx).where("raster = 4")).withColumn("n_rows", F.col("n_rows").cast("int")), "SELECT CAST(n_nationkey % 3 * 15.0 AS DOUBLE) AS x0, CAST(n_nationkey % 2 * 30.0 AS DOUBLE) AS y0, CAST(30.0 AS DOUBLE) AS dx, CAST(30.0 AS DOUBLE) AS dy, CAST(98 AS INT) AS n_cols, CAST(n_nationkey % 4 + 97 AS INT) AS n_rows FROM nation WHERE n_nationkey = 4")
@@ -432,6 +460,19 @@ _IDW = "SELECT c.col, c.row, round(coalesce({keep} max(s.z) FILTER (s.col = c.co
 add("wf1_idw", lambda fx: rounded(interpolate.idw(fx.dem_gaps(), ["elevation"], 6, 2, 60)), _IDW.format(keep=""))
 add("wf1_idw_gaps", lambda fx: rounded(interpolate.idw(fx.dem_gaps(), ["elevation"], 6, 2, 60, gaps_only=True)), _IDW.format(keep="any_value(c.elevation),"))
 
+_TWO = "(SELECT col, row, elevation, CASE WHEN (col + row) % 7 <> 0 THEN CAST(ksat AS DOUBLE) END AS ksat FROM dem_gaps JOIN soil USING (col, row))"
+
+
+def _idw_sql(band: str) -> str:
+    s = f"(SELECT col, row, {band} AS z FROM {_TWO} WHERE {band} IS NOT NULL ORDER BY (col * 7919 + row * 104729) % 1000003, col, row LIMIT 80)"
+    near = f"(SELECT c.col, c.row, z, CAST((s.col - c.col) * (s.col - c.col) + (s.row - c.row) * (s.row - c.row) AS DOUBLE) AS d2 FROM dem c JOIN {s} s ON (s.col - c.col) * (s.col - c.col) + (s.row - c.row) * (s.row - c.row) <= 49)"
+    return f"(SELECT c.col, c.row, coalesce(max(z) FILTER (d2 = 0), sum(z / d2) FILTER (d2 > 0) / sum(1 / d2) FILTER (d2 > 0), any_value(m)) AS {band}, any_value(m) AS {band}_mean, any_value(sd) AS {band}_stdDev FROM dem c LEFT JOIN {near} n ON n.col = c.col AND n.row = c.row, (SELECT avg(z) AS m, stddev_pop(z) AS sd FROM {s}) GROUP BY c.col, c.row)"
+
+
+_IDW_BANDS = [f"{b}{x}" for b in ("elevation", "ksat") for x in ("", "_mean", "_stdDev")]
+_two = lambda fx: fx.dem_gaps().join(fx.soil(), CELL).select(*CELL, "elevation", F.when((F.col("col") + F.col("row")) % 7 != 0, F.col("ksat").cast("double")).alias("ksat"))
+add("wf1_idw_two_bands", lambda fx: stepped(interpolate.idw(_two(fx), ["elevation", "ksat"], 7, 2, 80, statistics=True), *_IDW_BANDS), f"SELECT col, row, {', '.join(f'{step(x)} AS {x}' for x in _IDW_BANDS)} FROM {_idw_sql('elevation')} JOIN {_idw_sql('ksat')} USING (col, row)")
+
 # --- workflows ---------------------------------------------------------------------------------------------------
 add("wf2_twi", lambda fx: rounded(wf.twi(fx.dem_gaps(), fx.upslope(), 30.0), 5), f"SELECT col, row, round({_DEG}, 5) AS slope, round(ln(upa * 1e6 / CASE WHEN {_DEG} IS NOT NULL THEN greatest(tan(radians({_DEG})), 0.001) END), 5) AS twi FROM {_SLOPE} JOIN upslope USING (col, row)")
 add("wf3_hand", lambda fx: wf.hand(fx.dem(), "elevation", "hand", zo.polygon_spans(fx.aoi(), fx.grid())), "SELECT col, row, elevation AS hand FROM dem WHERE col BETWEEN 5 AND 44")
@@ -459,7 +500,13 @@ add(
     f'SELECT point_id, batch, round(k0 * 0.0001, 6) AS "ksat_0-5cm", round(k5 * 0.0001, 6) AS "ksat_5-15cm", CAST(s0 AS INT) AS "0-5cm" FROM point_cells JOIN ({_HS}) USING (col, row)',
 )
 add("wf12_phenology", lambda fx: rounded(wf.phenology_series(fx.phenology(), ["EVI_Area_1"], {"0": 0, "150": 2}, fx.grid()), 6), f"SELECT a.year, a.col, a.row, round(CAST(CAST(any_value(a.EVI_Area_1) * 0.1 AS FLOAT) AS DOUBLE), 6) AS EVI_Area_1_0, round(avg(CAST(CAST(b.EVI_Area_1 * 0.1 AS FLOAT) AS DOUBLE)), 6) AS EVI_Area_1_150 FROM phenology a JOIN phenology b ON a.year = b.year AND {circle(2)} GROUP BY a.year, a.col, a.row")
-add("wf13_polygon_summary", lambda fx: rounded(wf.polygon_summary(_series(fx), zo.polygon_spans(fx.polygons(), fx.grid()), ["NDVI"])), f"SELECT feature_id, start_date, round(avg(v), 6) AS NDVI_mean FROM (SELECT start_date, col, row, avg({index_sql('NDVI', ix.LANDSAT)}) AS v FROM {_LS} GROUP BY ALL) JOIN poly_cells USING (col, row) GROUP BY ALL")
+add("wf13_polygon_summary", lambda fx: stepped(wf.polygon_summary(_series(fx), zo.polygon_spans(fx.polygons(), fx.grid()), ["NDVI"]), "NDVI_mean"), f"SELECT feature_id, start_date, {step('avg(v)')} AS NDVI_mean FROM (SELECT start_date, col, row, avg({index_sql('NDVI', ix.LANDSAT)}) AS v FROM {_LS} GROUP BY ALL) JOIN poly_cells USING (col, row) GROUP BY ALL")
+_ALL13 = list(ix.LANDSAT.indices)
+add(
+    "wf13_all_indices",
+    lambda fx: stepped(x := wf.polygon_summary(wf.landsat_series(fx.scenes(), fx.pixels_ls(), fx.windows(), _ALL13, fill_gaps=False, intercept_scale=10000.0), zo.polygon_spans(fx.polygons(), fx.grid()), _ALL13), *x.columns[2:]),
+    f"SELECT feature_id, start_date, {', '.join(f'{step(f'avg({n})')} AS {n}_mean' for n in _ALL13)} FROM (SELECT start_date, col, row, {', '.join(f'avg({index_sql(n, ix.LANDSAT)}) AS {n}' for n in _ALL13)} FROM {_LS} GROUP BY ALL) JOIN poly_cells USING (col, row) GROUP BY ALL",
+)
 _TPI = f"(SELECT col, row, z - avg(v) AS elevation FROM {around(circle(3), 'dem')} GROUP BY col, row, z)"
 add("e3_tpi_to_coarse", lambda fx: wf.tpi_to_coarse(fx.dem(), 3, *(Grid(50, fx.n_rows(), 0, 0, 30, 30), _coarse(fx)[1])).withColumn("tpi_3", F.col("tpi_3").cast("int")), f"SELECT col, row, CAST(round_even(sum(w * elevation) / sum(w), 0) AS INT) AS tpi_3 FROM {_OVER.replace('dem_gaps', _TPI)} GROUP BY col, row")
 
@@ -485,6 +532,14 @@ add(
         FROM (SELECT *, least(x0 % 30, 30 - x0 % 30) AS ox FROM (SELECT n_nationkey AS raster, n_nationkey % 7 <> 0 AS a, n_nationkey % 5 <> 0 AS b, CASE WHEN n_nationkey % 5 = 0 THEN 25.0 ELSE 30.0 END AS dx, n_nationkey % 2 * 30.0 AS y0, n_nationkey % 4 + 97 AS nr,
             CAST(n_nationkey % 3 * 15.0 AS DOUBLE) + CASE n_nationkey % 4 WHEN 3 THEN 0.05 WHEN 2 THEN 0.00004 ELSE 0.0 END AS x0 FROM nation))""",
 )
+_EXTENTS = lambda fx: fx.read("nation").select(F.col("n_nationkey").alias("raster"), F.lit("EPSG:3400").alias("crs"), (F.col("n_nationkey") % 2 * 30.0).alias("x0"), (3000.0 - F.col("n_nationkey") % 3 * 7.5).alias("y0"), F.lit(30.0).alias("dx"), F.lit(-30.0).alias("dy"), (100 - F.col("n_nationkey") % 2).cast("int").alias("n_cols"), F.when(F.col("n_nationkey") % 5 == 1, 99).otherwise(100).alias("n_rows"))
+_NORTH = lambda fx: fx.spark.range(1).select(F.lit("EPSG:3400").alias("crs"), *[F.lit(v).alias(n) for n, v in (("x0", 0.0), ("y0", 3000.0), ("dx", 30.0), ("dy", -30.0), ("n_cols", 100), ("n_rows", 100))])
+add(
+    "qa1_grid_extents",
+    lambda fx: qa.grid_fit(_EXTENTS(fx), _NORTH(fx)).select("raster", "offset_x", "offset_y", *[F.col(c).cast("int").alias(c) for c in ("aligned", "same_extent", "stackable")]),
+    """SELECT k AS raster, 0.0 * k AS offset_x, CASE k % 3 WHEN 1 THEN 7.5 WHEN 2 THEN 15.0 ELSE 0.0 END AS offset_y, CAST(k % 3 = 0 AS INT) AS aligned,
+        CAST(k % 3 = 0 AND k % 2 = 0 AND k % 5 <> 1 AS INT) AS same_extent, CAST(k % 3 = 0 AS INT) AS stackable FROM (SELECT n_nationkey AS k FROM nation)""",
+)
 add("qa2_count_outside", lambda fx: qa.count_outside(fx.dem_gaps(), "elevation", zo.polygon_spans(fx.aoi(), fx.grid())), "SELECT count(elevation) AS n_outside, CAST(count(elevation) = 0 AS INT) AS in_boundary FROM dem_gaps WHERE col NOT BETWEEN 5 AND 44")
 add("qa3_na_mask", lambda fx: qa.na_mask(densify(fx.dem_gaps().where("elevation is not null"), fx.grid()), "elevation"), "SELECT col, row, elevation, CASE WHEN elevation IS NULL THEN 1 ELSE 0 END AS na FROM dem_gaps")
 add("qa4_checkerboard", lambda fx: qa.checkerboard(fx.spark, fx.grid(), zo.polygon_spans(fx.polygons(), fx.grid())), "SELECT DISTINCT col, row, (col + row) % 2 AS value FROM poly_cells")
@@ -493,11 +548,14 @@ add("qa4_checkerboard", lambda fx: qa.checkerboard(fx.spark, fx.grid(), zo.polyg
 
 
 def _folder(fx: Fixture, name: str) -> str:
-    """A new folder in the shared one, or below the working temporary folder where none is named."""
+    """A new folder in the shared one; on one machine where none is named, below the temporary folder."""
     import tempfile
     import uuid
 
-    base = fx.spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="spark-rasterloom-")
+    base = fx.spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not fx.spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="spark-rasterloom-")
     return f"{base.rstrip('/')}/rasterloom/{name}-{uuid.uuid4().hex}"
 
 
@@ -534,6 +592,19 @@ def _one_tile(fx: Fixture) -> DataFrame:
 
 add("src5_tiles", lambda fx: _tiles(fx, r"^tile_1\.d/.*\.parquet$").select(*CELL, "elevation", F.col("order").cast("int").alias("tile")), "SELECT col, row, elevation + 1 AS elevation, 1 AS tile FROM dem_gaps WHERE row % 3 = 1 OR row % 5 = 0")
 add("src5_single_file", _one_tile, "SELECT col, row, elevation FROM dem_gaps")
+
+
+def _indexed(fx: Fixture) -> DataFrame:
+    """The elevations in tiles of 8 rows and 25 columns, with their index."""
+    path = _folder(fx, "indexed")
+    tile = lambda c, n: F.floor(F.col(c) / n)
+    fx.dem_gaps().withColumns({"down": tile("row", 8), "across": tile("col", 25)}).repartition("down", "across").write.partitionBy("down", "across").parquet(path)
+    tiles.index_tiles(fx.spark, path)
+    return tiles.open_tiles(fx.spark, path, cells=400)
+
+
+add("src5_pruned", lambda fx: _indexed(fx).where(F.col("row").between(3, 20) & (F.col("col") >= 25) & F.col("tile").startswith("down=0/")).select(*CELL, "elevation"), "SELECT col, row, elevation FROM dem_gaps WHERE row BETWEEN 3 AND 7 AND col >= 25")
+add("src6_mosaic_indexed", lambda fx: io.mosaic_tiles(_indexed(fx).where("row < 12"), "elevation"), "SELECT col, row, elevation FROM dem_gaps WHERE row < 12")
 add("src6_mosaic_tiles", lambda fx: rounded(io.mosaic_tiles(_tiles(fx), "elevation", ["order"])), "SELECT col, row, round(elevation + CASE WHEN row % 5 = 0 THEN 2 ELSE row % 3 END, 6) AS elevation FROM dem_gaps")
 add("src7_named_layers", lambda fx: io.read_named_layers(fx.spark, {n: _written(fx, n, lambda p, n=n: fx.soil().select(*CELL, F.col(n).cast("int").alias("b1")).write.parquet(p)) for n in ("ksat", "stc")}), "SELECT col, row, ksat, stc FROM soil")
 
@@ -552,3 +623,21 @@ add("snk5_on_grid", lambda fx: _back(fx, lambda p: io.write_on_grid(fx.dem_gaps(
 add("snk5_at_scale", lambda fx: _back(fx, lambda p: io.write_on_grid(fx.dem_gaps(), p, ["elevation"], fx.grid(), scale=2.0)), "SELECT CAST(c AS INT) AS col, CAST(r AS INT) AS row, elevation FROM (SELECT unnest(range(0, 25)) AS c), (SELECT unnest(range(0, n_rows // 2)) AS r FROM g) LEFT JOIN dem_gaps d ON d.col = 2 * c + 1 AND d.row = 2 * r + 1")
 add("snk6_batched", lambda fx: _back(fx, lambda p: io.write_batched(fx.points().select("point_id", "batch"), p), "point_id long, batch int, file_key string").select("point_id", "batch", "file_key"), "SELECT point_id, batch, 'points_batch' || lpad(CAST(batch AS VARCHAR), 2, '0') AS file_key FROM points")
 add("snk7_round_and_cast", lambda fx: io.round_and_cast(fx.upslope().withColumn("upa", F.col("upa") * 50), ["upa"]).withColumn("upa", F.col("upa").cast("int")), "SELECT col, row, CAST(round_even(upa * 50, 0) AS INT) AS upa FROM upslope")
+
+# --- aligned tables: bucketed by block, joined without a shuffle --------------------------------------------------
+
+
+def _aligned(fx: Fixture, **rasters: DataFrame) -> list[DataFrame]:
+    """The rasters as tables of 4 buckets, read again."""
+    import uuid
+
+    out = []
+    for name, df in rasters.items():
+        table = f"rasterloom_{name}_{uuid.uuid4().hex}"
+        aligned.write_aligned(df, table, _folder(fx, "aligned"), buckets=4, side=8)
+        out.append(aligned.read_aligned(fx.spark, table))
+    return out
+
+
+add("jn1_bucketed", lambda fx: aligned.join_aligned(*_aligned(fx, dem=fx.dem_gaps(), upslope=fx.upslope(), age=fx.forest_age())).drop("block"), "SELECT col, row, elevation, CAST(upa AS DOUBLE) AS upa, age FROM dem_gaps JOIN upslope USING (col, row) JOIN forest_age USING (col, row)")
+add("jn6_bucketed_mask", lambda fx: aligned.mask_aligned(*_aligned(fx, pixels=fx.pixels_ls().select(*KEY, *LS), age=fx.forest_age()), F.col("age") > 60, LS).drop("block"), f"SELECT {KEYS}, {when('age > 60', LS)} FROM pixels_ls LEFT JOIN forest_age USING (col, row)")

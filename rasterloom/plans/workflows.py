@@ -15,9 +15,10 @@ from rasterloom.model import CELL, Grid, densify
 from rasterloom.operators import bands as b
 from rasterloom.operators import focal as f
 from rasterloom.operators import scenes as s
+from rasterloom.operators.bands import suffixed
 from rasterloom.operators.composite import composite, median_composite
 from rasterloom.operators.resample import reduce_resolution
-from rasterloom.operators.zonal import clip, collection_to_features, sample_regions
+from rasterloom.operators.zonal import clip, reduce_by_sums, sample_regions
 
 
 def landsat_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, indices: Sequence[str], statistic: str = "mean", grid: Grid | None = None, fill_gaps: bool = True, aoi: DataFrame | None = None, intercept_scale: float = 10000.0) -> DataFrame:
@@ -55,8 +56,8 @@ def sentinel_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, in
 
 
 def polygon_summary(series: DataFrame, spans: DataFrame, bands: Sequence[str]) -> DataFrame:
-    """Means of a series per polygon and window."""
-    return collection_to_features(series, series, spans, bands, "mean", image="start_date")
+    """Means of a series per polygon and window, from running sums along rows."""
+    return suffixed(reduce_by_sums(series, spans, bands, "mean", ["start_date"]), "_mean", ["feature_id", "start_date"])
 
 
 def annual_classes(rows: DataFrame, start: date, end: date, band: str, name: str, aoi: DataFrame | None = None) -> DataFrame:
