@@ -9,7 +9,8 @@ At the top a bitmap of 2^64 bits is kept as the list of its bits, for those shin
 share one: in one order of all shingles, the first n - ceil(n * percent / 100) + 1 of a set of n. Nodes that have a bit in
 common meet by a join on it. In that order frequent shingles come last, so that passages which many texts share bring
 nobody together; it is the same for all sets, hence nothing is lost whatever the frequencies are taken to be. Below a bit
-with many sets nodes are ranges of sizes, each as wide as a link allows: a set belongs to its own and the next.
+with many sets nodes are ranges of sizes, each as wide as a link allows: a set belongs to its own and the next. Bits that
+the same sets have (by a 128-bit sum of their ids' hashes) are one.
 
 As in ``neardup``, each member is first compared with two of its bucket, links are joined into components, and members of
 one component never meet again. What is left goes down the tree: small buckets are one node, their leaves tested in the
@@ -280,7 +281,9 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     classes = written(classes, "classes")
 
     index = classes.select("id", F.explode("prefix").alias("key"))
-    filled = written(index.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most")).where("n > 1"), "filled")
+    sums = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    filled = index.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), *sums).where("n > 1")
+    filled = written(filled.groupBy("n", "least", "most", "x0", "x1").agg(F.min("key").alias("key")).drop("x0", "x1"), "filled")
     two = filled.where("n = 2").select("key", F.explode(F.array("least", "most")).alias("id"), "n", "least")
     more = filled.where("n > 2").drop("most")
     if more.count() <= BROADCAST_ROWS:
