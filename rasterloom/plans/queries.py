@@ -371,6 +371,15 @@ add("foc6_dev", lambda fx: rounded(fo.dev(fx.dem_gaps(), "elevation", [4]), 5),
 for _r in (20, 33):
     add(f"foc6_dev_{_r}", lambda fx, r=_r: rounded(fo.dev(fx.dem_gaps(), "elevation", [r]), 5), f"SELECT col, row, z AS elevation, round((z - avg(v)) / greatest(stddev_pop(v), 0.001), 5) AS dev_{_r} FROM {around(circle(_r))} GROUP BY col, row, z")
 add("foc5_tpi_67", lambda fx: rounded(fo.tpi(fx.dem_gaps(), "elevation", [67]), 5), f"SELECT col, row, z AS elevation, round(z - avg(v), 5) AS tpi_67 FROM {around(circle(67))} GROUP BY col, row, z")
+_area = lambda fx: zo.polygon_spans(fx.aoi(), fx.grid())
+_INSIDE, _CLIPPED = "col BETWEEN 5 AND 44", "(SELECT * FROM dem_gaps WHERE col BETWEEN 5 AND 44)"
+_TRI3 = "a.col - b.col BETWEEN -1 AND 1 AND a.row - b.row BETWEEN -1 AND 1"
+_tri = lambda table: f"SELECT col, row, z AS elevation, round(CASE WHEN z IS NOT NULL THEN sqrt(coalesce(sum((v - z) * (v - z)), 0)) END, 4) AS tri FROM {around(_TRI3, table)} GROUP BY col, row, z"
+for _p, _t in (("padded", "dem_gaps"), ("clipped", _CLIPPED)):
+    _x = _p == "padded"
+    add(f"foc5_tpi_{_p}", lambda fx, x=_x: rounded(wf.terrain_in_area(fx.dem_gaps(), "tpi", [6], _area(fx), fx.grid(), pad=None if x else False)), f"SELECT col, row, z AS elevation, round(z - avg(v), 6) AS tpi_6 FROM {around(circle(6), _t)} WHERE {_INSIDE} GROUP BY col, row, z")
+    add(f"foc6_dev_{_p}", lambda fx, x=_x: rounded(wf.terrain_in_area(fx.dem_gaps(), "dev", [4], _area(fx), fx.grid(), pad=True if x else None), 5), f"SELECT col, row, z AS elevation, round((z - avg(v)) / greatest(stddev_pop(v), 0.001), 5) AS dev_4 FROM {around(circle(4), _t)} WHERE {_INSIDE} GROUP BY col, row, z")
+    add(f"foc7_tri_{_p}", lambda fx, x=_x: rounded(wf.terrain_in_area(fx.dem_gaps(), "tri", [], _area(fx), fx.grid(), pad=True if x else None), 4), f"SELECT * FROM ({_tri(_t)}) WHERE {_INSIDE}")
 _FOC8 = [*range(0, 38, 2)]
 add("foc8_species_proportions", lambda fx: rounded(fo.class_proportions(fx.species(), "species", _FOC8, 3, ["year"])), "SELECT a.year, a.col, a.row, " + ", ".join(f"round(count(*) FILTER (b.species = {k}) / count(b.species), 6) AS class_{k}_3" for k in _FOC8) + f" FROM species a JOIN species b ON a.year = b.year AND {circle(3)} GROUP BY a.year, a.col, a.row")
 add("foc7_tri", lambda fx: rounded(fo.tri(fx.dem_gaps(), "elevation"), 4), f"SELECT col, row, z AS elevation, round(CASE WHEN z IS NOT NULL THEN sqrt(coalesce(sum((v - z) * (v - z)), 0)) END, 4) AS tri FROM {around('a.col - b.col BETWEEN -1 AND 1 AND a.row - b.row BETWEEN -1 AND 1')} GROUP BY col, row, z")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -18,7 +19,7 @@ from rasterloom.operators import scenes as s
 from rasterloom.operators.bands import suffixed
 from rasterloom.operators.composite import composite, median_composite
 from rasterloom.operators.resample import reduce_resolution
-from rasterloom.operators.zonal import clip, reduce_by_sums, sample_regions
+from rasterloom.operators.zonal import clip, dilated, reduce_by_sums, sample_regions
 
 
 def landsat_series(scenes: DataFrame, pixels: DataFrame, windows: DataFrame, indices: Sequence[str], statistic: str = "mean", grid: Grid | None = None, fill_gaps: bool = True, aoi: DataFrame | None = None, intercept_scale: float = 10000.0) -> DataFrame:
@@ -76,6 +77,24 @@ def species_series(rows: DataFrame, start: date, end: date, aoi: DataFrame | Non
     return annual_classes(rows, start, end, "species", "forest_species_class", aoi)
 
 
+#: Whether a terrain index reads elevations beyond the area that it is wanted for.
+PADDED = {"tpi": True, "dev": False, "tri": False}
+
+
+def terrain_in_area(dem: DataFrame, kind: str, radii: Sequence[int], area: DataFrame, grid: Grid, z: str = "elevation", pad: bool | None = None, key: str = "feature_id") -> DataFrame:
+    """tpi, dev or tri of the cells in an area (spans), at radii in cells (tri looks one cell around).
+
+    Padded, the windows of cells at the border are whole: elevations within the largest radius of the area are read and
+    the result is clipped. Without padding the elevations are clipped first and windows at the border are partial. By
+    default tpi is padded and dev and tri are not.
+    """
+    reach = max(radii, default=1) if kind != "tri" else math.sqrt(2)
+    wide = PADDED[kind] if pad is None else pad
+    cells = clip(dem.select(*CELL, z), dilated(area, grid, reach * max(abs(grid.dx), abs(grid.dy)), key) if wide else area)
+    made = f.tri(cells, z) if kind == "tri" else {"tpi": f.tpi, "dev": f.dev}[kind](cells, z, radii)
+    return clip(made, area) if wide else made
+
+
 def twi(dem: DataFrame, upslope: DataFrame, cell: float, z: str = "elevation", area: str = "upa") -> DataFrame:
     """Wetness: ln(upslope area in m2 / max(tan(slope), 0.001)); area comes in km2."""
     x = f.slope_aspect(dem, z, cell).join(upslope, CELL, "left")
