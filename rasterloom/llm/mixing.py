@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.shared import with_running_total, written
+from rasterloom.llm.shared import numbered, packed, with_running_total, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weight over time of the 1st, 2nd and 3rd source, repeating: knots (time, weight).
@@ -123,11 +123,10 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
     A row finds its assignment by the hash of doc_id and text and, among rows alike in both, by its number. Whole rows
     are shuffled twice: to meet their assignment, and into training order.
     """
-    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
-    keyed = keyed.withColumn("h", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")))
-    took = curriculum(df, **options).select(F.col("h").alias("th"), "positions")
-    took = took.withColumn("tn", F.row_number().over(Window.partitionBy("th").orderBy("positions")))
-    rows = keyed.withColumn("n", F.row_number().over(Window.partitionBy("h").orderBy("h")))
+    keyed = packed(df).withColumn("h", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")))
+    took = written(curriculum(df, **options).select(F.col("h").alias("th"), "positions"), "taken")
+    took = numbered(took, "th", "tn", "positions")
+    rows = numbered(keyed, "h", "n")
     placed = rows.join(took, (F.col("h") == F.col("th")) & (F.col("n") == F.col("tn")))
     placed = placed.select("_row", "h", F.explode("positions").alias("position"))
     return in_training_order(placed).select("_row.*")

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rasterloom.llm.shared import with_running_total, written
+from rasterloom.llm.shared import numbered, packed, with_running_total, written
 
 #: Bits of a sort key: place along the dimension, then the text's hash, of which a group too large for one side gives
 #: the last SPREAD to its documents' own.
@@ -205,8 +205,8 @@ def sharded_documents(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` with shard and slot (columns of those names are replaced); rows alike in id and text share
     their places among themselves."""
     names = [c for c in df.columns if c.lower() not in ("shard", "slot")]
-    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")).withColumn("h", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")))
-    placed = kd_shards(df, **options).select(F.col("h").alias("ph"), "shard", "slot")
-    placed = placed.withColumn("pn", F.row_number().over(Window.partitionBy("ph").orderBy("shard", "slot")))
-    rows = keyed.withColumn("n", F.row_number().over(Window.partitionBy("h").orderBy("h")))
+    keyed = packed(df.select(*[F.col(f"`{c}`") for c in names])).withColumn("h", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")))
+    placed = written(kd_shards(df, **options).select(F.col("h").alias("ph"), "shard", "slot"), "placed")
+    placed = numbered(placed, "ph", "pn", "slot")
+    rows = numbered(keyed, "h", "n")
     return rows.join(placed, (F.col("h") == F.col("ph")) & (F.col("n") == F.col("pn"))).select("_row.*", "shard", "slot")

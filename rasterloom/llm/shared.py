@@ -80,6 +80,26 @@ def packed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
 
 
+def numbered(rows: DataFrame, key: str, out: str, order: str | None = None) -> DataFrame:
+    """Adds ``out``: numbers from 1 of the rows of equal ``key``, by ``order`` or in any order.
+
+    Rows of a key are numbered together, those of one that has more than DEALT by the task that read them, after the rows
+    of the tasks before; ``rows`` must be read from a table, so that a task reads the same rows each time.
+    """
+    many = often(rows.select(key), [key])
+    by = order or key
+    if many is None:
+        return rows.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(by)))
+    dealt = rows.withColumn("_task", F.spark_partition_id()).join(many, key, "left")
+    dealt = dealt.withColumn("_task", F.when(F.col("parts").isNotNull(), F.col("_task")).otherwise(-1)).drop("parts")
+    counts = written(dealt.where("_task >= 0").groupBy(key, "_task").agg(F.count("*").alias("_n")), "task-counts")
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(key, "_task", before.alias("_before"))
+    side = F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts
+    here = F.row_number().over(Window.partitionBy(key, "_task").orderBy(by))
+    return dealt.join(side, [key, "_task"], "left").withColumn(out, (here + F.coalesce("_before", F.lit(0))).cast("long")).drop("_task", "_before")
+
+
 def top_bits(hash_col: Column, bits: int) -> Column:
     """The leading bits of a signed 64-bit hash as a number whose order is that of the hash."""
     return F.shiftrightunsigned(hash_col.bitwiseXOR(F.lit(-(2**63))), 64 - bits).cast("int")

@@ -517,6 +517,25 @@ def test_a_passage_of_two_texts_with_one_id_is_removed_once(spark):
     assert all(r.repeated for r in got) and sum(r.removed_words > 30 for r in got) == 3 and sum(r.removed_words == 0 for r in got) == 1
 
 
+def test_a_row_repeated_often_is_numbered_by_task(spark):
+    from rasterloom.llm import shared
+
+    text = "one text that is there again and again and once more for good measure"
+    rows = spark.range(5000).select(F.when(F.col("id") % 5 == 0, F.col("id")).otherwise(F.lit(7)).alias("doc_id"), F.lit(text).alias("text"), F.lit("a").alias("source"), F.lit("en").alias("lang"), F.lit(70).cast("long").alias("n_chars"), F.col("id").alias("own"))
+    rows = shared.written(rows.repartition(6), "repeated")
+    got = shared.numbered(rows.withColumn("h", F.xxhash64("doc_id", "text")), "h", "n")
+    per = got.groupBy("doc_id").agg(F.count("*").alias("c"), F.countDistinct("n").alias("d"), F.max("n").alias("m"), F.min("n").alias("lo")).collect()
+    assert all(r.c == r.d == r.m and r.lo == 1 for r in per) and {r.c for r in per} == {1, 4000}
+    mixed = mixing.mixed_documents(rows)
+    assert mixed.groupBy("own").count().agg(F.max("count")).first()[0] <= 2 and mixed.count() == mixing.curriculum(rows).agg(F.sum(F.size("positions"))).first()[0]
+    placed = sharding.sharded_documents(rows, shards=4).collect()
+    assert sorted(r.own for r in placed) == list(range(5000))
+    slots = collections.defaultdict(list)
+    for r in placed:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 HELPERS = ["_told", "_bad", "_place", "_doc", "_first", "_row", "_part", "times", "n", "h", "th", "tn", "pn", "ph", "key", "parts", "id", "position"]
 
 
@@ -524,7 +543,7 @@ def test_helper_names_as_columns_of_users(spark):
     """Every function that keeps a caller's columns, with helpers' names among them: whole rows stay as they were."""
     import corpus_pipeline
 
-    text = lambda i: f"the quick brown fox number {i} jumps over the lazy dog and then runs home again for tea {i * 7}"
+    text = lambda i: " ".join("abcdefghijkl"[i % 12] + "mnopqrstuvwx"[j % 12] * (j // 12 + 2) for j in range(24))
     rows = [(i, text(i // 2), "en", "a", *[f"{c}{i}" for c in HELPERS]) for i in range(12)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in HELPERS))
     bench = spark.createDataFrame([(1, text(3))], "item_id long, text string")
