@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.llm.neardup import PAIRED, Shingles, _common, _forest, _linked, _sets, _tiles, components
+from rasterloom.llm.neardup import Shingles, _common, _forest, _linked, _sets, _tiles, components
 from rasterloom.llm.shared import BROADCAST_ROWS, DEALT, dropped, met, often, written
 
 BITS, LONGS, NODE = 1024, 16, 16
@@ -38,6 +38,9 @@ BITS, LONGS, NODE = 1024, 16, 16
 #: in all; the MOST most frequent are put last. None of these changes a result.
 LOCAL, WINDOW, FREQUENT, MOST = 3, 2_000_000, 32, 200_000
 
+#: Members up to which the pairs of a bucket are tested in the join.
+PAIRED = 8
+
 _SIG = [f"s{i}" for i in range(LONGS)]
 _LEAVES = "doc_id long, place long, n long, excess long, narrow long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG) + ", bits array<long>, prefix array<long>"
 
