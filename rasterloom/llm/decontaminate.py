@@ -145,7 +145,10 @@ def _judged(df: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, d
 
 
 def clean_documents(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``df`` whose own text has no hit, with its columns; other rows of the same or a null doc_id stay."""
+    """The rows of ``df`` whose own text has no hit, with its columns; other rows of the same or a null doc_id stay.
+
+    Null and empty texts have no words and stay, repeated rows stay or go together, and an empty benchmark lets all stay.
+    """
     name = unused(df, "_bad")
     bad = _judged(df, benchmark, **options).where("contaminated").select(F.col("key").alias(name)).distinct()
     bad = written(bad, "contaminated")

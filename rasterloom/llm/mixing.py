@@ -113,7 +113,8 @@ def _assign(slim: DataFrame, weights, share, most, schedules) -> DataFrame:
 
 
 def in_training_order(df: DataFrame, position: str = "position") -> DataFrame:
-    """Range-sorts rows by position: each partition holds one stretch of the training, in order."""
+    """Range-sorts rows by position: each partition holds one stretch of the training, in order. Rows without a position come
+    last, equal positions by hash; no rows give none."""
     return df.repartitionByRange(F.col(position).asc_nulls_last(), F.col("h")).sortWithinPartitions(F.col(position).asc_nulls_last(), "h")
 
 
@@ -121,7 +122,8 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df``, each as often as it is taken, in training order, with the columns of ``df`` alone.
 
     A row finds its assignment by the hash of doc_id and text and, among rows alike in both, by its number. Whole rows
-    are shuffled twice: to meet their assignment, and into training order.
+    are shuffled twice: to meet their assignment, and into training order. Texts without words, null ones too, are never
+    taken; null ids and sources are values like others; no rows give none.
     """
     keyed = packed(df).withColumn("h", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")))
     took = written(curriculum(df, **options).select(F.col("h").alias("th"), "positions"), "taken")

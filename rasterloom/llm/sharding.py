@@ -203,7 +203,7 @@ def _evened(rows: DataFrame, shards: int, mean: float) -> DataFrame:
 
 def sharded_documents(df: DataFrame, **options) -> DataFrame:
     """The rows of ``df`` with shard and slot (columns of those names are replaced); rows alike in id and text share
-    their places among themselves."""
+    their places among themselves. Null texts and ids are values like others; no rows give none."""
     names = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     keyed = packed(df.select(*[F.col(f"`{c}`") for c in names])).withColumn("h", F.xxhash64(F.col("_row.doc_id"), F.col("_row.text")))
     placed = written(kd_shards(df, **options).select(F.col("h").alias("ph"), "shard", "slot"), "placed")
