@@ -67,7 +67,7 @@ def test_odd_rows(spark):
     run(spark, [(1, None, 3, "Ab"), (2, "", None, None), (None, "é", 0, ""), (None, "é", 0, "X"), (7, "é", 9, "Straße ÀB" * 9000), (7, "é", 9, "other"), (-5, "é", 1, "Q"), (8, "Z", 1, "a"), (8, "Z", 1, "a")])
 
 
-@pytest.mark.parametrize("n", [1, 16, 17, 300, 5000])
+@pytest.mark.parametrize("n", [1, 17, 5000])
 def test_depths(spark, n):
     run(spark, [(i * 7 % 10007, f"s{i % 19}" if i % 3 else "hot", i, f"Text {i}") for i in range(n)])
 

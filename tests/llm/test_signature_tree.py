@@ -61,7 +61,7 @@ def corpus(rng, groups, size):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_against_all_pairs(spark, seed):
     rows = corpus(random.Random(seed), 40, 12)
     assert run(spark, rows) == brute(rows)
