@@ -138,6 +138,18 @@ def test_idw_without_samples_in_reach_is_the_mean(spark):
     assert got[0] == 2.0 and got[1] == 4.0 and got[15] == 3.0
 
 
+def test_samples_of_far_rows_are_drawn_by_the_same_order(spark):
+    cells = [(c, r) for c in (0, 7, 49) for r in (0, 20505, 20506, 23999, 2_000_000_000)]
+    df = spark.createDataFrame([(c, r, float(i)) for i, (c, r) in enumerate(cells)], "col int, row int, z double")
+    for seed in (0, 9):
+        place = lambda c, r: (c * 7919 + r * 104729 + seed * 611953) % 1_000_003  # noqa: B023, E731
+        want = sorted(cells, key=lambda x: (place(*x), x))[:6]
+        assert [(x.col, x.row) for x in composite.sample(df, 6, seed).collect()] == want
+        assert sorted((x.col, x.row) for x in interpolate.band_samples(df, ["z"], 6, seed).collect()) == sorted(want)
+    made = {(x.col, x.row): x.z for x in interpolate.idw(df, ["z"], 60_000, n=15).collect()}
+    assert made == {x: float(i) for i, x in enumerate(cells)}
+
+
 def test_projection_origin_and_known_shape(spark):
     row = spark.range(1).select(*[c.alias(n) for n, c in zip(("x", "y"), crs.transform_crs(F.lit(-115.0), F.lit(0.0), "EPSG:4326", "EPSG:3400"))]).first()
     assert math.isclose(row.x, 500000.0, abs_tol=1e-6) and math.isclose(row.y, 0.0, abs_tol=1e-6)
