@@ -63,6 +63,19 @@ def test_same_projection_is_left_alone(spark):
     assert zo.reprojected(f, "EPSG:3400", "EPSG:3400").collect() == f.collect()
 
 
+def test_cells_of_reprojected_areas_are_those_inside_the_curved_edges(spark):
+    boxes = [(-120, 49, -112.5, 53), (-117.75, 52, -114, 54.5)]
+    f = io.features_from_rows(spark, [(i, [[(a, b), (c, b), (c, d), (a, d)]]) for i, (a, b, c, d) in enumerate(boxes)])
+    grid = Grid(40, 12000, -1_900_000.0, 1_100_000.0, 30_000.0, -100.0, "EPSG:3978")
+    lon, lat = crs.transform_crs(grid.x_of(F.col("col")), grid.y_of(F.col("row")), grid.crs, "EPSG:4326")
+    cells = grid.cells(spark).select(*CELL, lon.alias("lon"), lat.alias("lat")).toArrow()
+    lon, lat, col, row = (cells.column(c).to_numpy() for c in ("lon", "lat", *CELL))
+    want = {(i, int(x), int(y)) for i, (a, b, c, d) in enumerate(boxes) for x, y in zip(*(v[(lon > a) & (lon < c) & (lat > b) & (lat < d)] for v in (col, row)))}
+    drawn = lambda spans: {(r.feature_id, r.col, r.row) for r in zo.span_cells(spans).collect()}
+    assert drawn(zo.reprojected_spans(f, "EPSG:4326", grid)) == want
+    assert drawn(zo.polygon_spans(zo.reprojected(f, "EPSG:4326", grid.crs, 50.0), grid)) != want
+
+
 @pytest.fixture(scope="module")
 def tiled(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("tiles"))
