@@ -333,3 +333,35 @@ def test_approximate_quantiles_are_near(spark):
     assert abs(cp.median_composite(df, ["v"], approximate=True).first().v - 2499.5) <= 1
     s = qa.stretch(df, "v", approximate=True).first()
     assert abs(s.low - 100) <= 2 and abs(s.high - 4900) <= 2
+
+
+def rows_by(df, *by):
+    return [r["count"] for r in df.groupBy(*by).count().collect()]
+
+
+def test_a_task_holds_few_rows_of_large_tables(spark, tmp_path, monkeypatch, sf_dir):
+    """Buckets, folders of a collection and dense cells are dealt by rows, whatever their bytes and the input's splits."""
+    from rasterloom import model
+    from rasterloom.plans import queries
+    from rasterloom.plans.fixtures import Fixture
+
+    monkeypatch.setattr(aligned, "ROWS", 500)
+    fx = Fixture(spark, sf_dir)
+    pixels = queries._aligned(fx, pixels=fx.pixels_ls().select("image_id", *CELL), age=fx.forest_age())[0]
+    held = rows_by(pixels, F.input_file_name())
+    assert sum(held) == fx.pixels_ls().count() and len(held) > 4
+    assert [aligned.buckets_for(n) for n in (0, 2000, 2001, 500_000)] == [4, 4, 5, 1000]
+
+    monkeypatch.setattr(io, "ROWS", 500)
+    monkeypatch.setattr(io, "STRIPE", 4)
+    made = Grid(5, 200).cells(spark).coalesce(1).withColumn("year", F.explode(F.array(F.lit(1996), F.lit(1997)))).withColumn("collection", F.lit("x"))
+    io.write_collection(made, f"{tmp_path}/c", 2000)
+    back = io.read_collection(spark, f"{tmp_path}/c", "x", [1997])
+    assert sorted(back.select(*CELL).collect()) == sorted(made.where("year = 1997").select(*CELL).collect())
+    assert max(rows_by(spark.read.parquet(f"{tmp_path}/c"), F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1))) < 1200
+
+    monkeypatch.setattr(model, "CELLS_A_TASK", 100)
+    some = made.where("(col + row) % 3 = 0").select("year", *CELL, (F.col("col") * 2).alias("b"))
+    dense = model.densify(some, Grid(5, 200), ["year"])
+    assert max(rows_by(dense, F.spark_partition_id())) < 600
+    assert sorted(dense.select("year", *CELL, "b").collect(), key=str) == sorted(made.select("year", *CELL, F.when((F.col("col") + F.col("row")) % 3 == 0, F.col("col") * 2).alias("b")).collect(), key=str)
