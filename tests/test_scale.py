@@ -365,3 +365,13 @@ def test_a_task_holds_few_rows_of_large_tables(spark, tmp_path, monkeypatch, sf_
     dense = model.densify(some, Grid(5, 200), ["year"])
     assert max(rows_by(dense, F.spark_partition_id())) < 600
     assert sorted(dense.select("year", *CELL, "b").collect(), key=str) == sorted(made.select("year", *CELL, F.when((F.col("col") + F.col("row")) % 3 == 0, F.col("col") * 2).alias("b")).collect(), key=str)
+
+
+def test_samples_are_drawn_without_sorting_the_raster(spark):
+    cells = Grid(300, 200).cells(spark).repartition(3).select(*CELL, F.when(F.col("col") % 3 != 0, F.col("row") * 1.0).alias("a.b"), (F.col("col") + F.col("row")).alias("c"))
+    drawn = interpolate.band_samples(cells, ["a.b", "c"], 25, 4)
+    assert "WindowGroupLimit" not in plan(drawn).split("MapInArrow")[-1]
+    got = {b: {(r.col, r.row, r.value) for r in drawn.collect() if r.band == b} for b in ("a.b", "c")}
+    for b in got:
+        assert got[b] == {(r[0], r[1], float(r[2])) for r in cp.sample(cells.where(f"`{b}` is not null").select(*CELL, f"`{b}`"), 25, 4).collect()}
+    assert interpolate.band_samples(cells, ["c"], 0).count() == 0
