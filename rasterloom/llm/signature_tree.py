@@ -282,6 +282,8 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     each = written(_leaves(docs, shingle_words, percent, *frequent(docs, shingle_words)), "leaves")
     classes = each.where("n > 0").groupBy("h0", "h1").agg(F.min("place").alias("id"), F.min("doc_id").alias("least_doc"), *[F.first(c).alias(c) for c in ("n", "excess", "narrow", *_SIG, "bits", "prefix")])
     classes = written(classes, "classes")
+    rows = written(each.select("doc_id", "n", "h0", "h1", "place"), "rows")
+    dropped(each)  # bitmaps and prefixes are those of the classes from here on
 
     index = classes.select("id", F.explode("prefix").alias("key"))
     sums = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in range(2)]
@@ -340,6 +342,5 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     own = classes.select("h0", "h1", "id", "least_doc").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = own.groupBy("component").agg(F.min("least_doc").alias("component_id"))
     own = met(own, least, ["component"], ["id"], often(own, ["component"])).select("h0", "h1", "component_id")
-    rows = each.select("doc_id", "n", "h0", "h1", "place")
     out = met(rows.where("n > 0"), own, ["h0", "h1"], ["doc_id", "place"], often(rows.where("n > 0"), ["h0", "h1"])).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return out.union(rows.where("n = 0").select("doc_id", "n", "doc_id"))

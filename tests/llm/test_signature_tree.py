@@ -132,3 +132,13 @@ def test_copies_in_thousands(spark):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+def test_leaves_are_deleted_once_their_classes_are_written(spark):
+    import glob
+
+    there = lambda name: set(glob.glob(f"{shared.shared_dir(spark).removeprefix('file://')}/rasterloom/{name}-*"))
+    before = there("leaves"), there("rows")
+    df = spark.createDataFrame([(i, f"a b c d e f g h {i // 2}") for i in range(20)], "doc_id long, text string")
+    assert len({r.component_id for r in st.similar_texts(df).collect()}) == 10
+    assert there("leaves") == before[0] and len(there("rows")) == len(before[1]) + 1
