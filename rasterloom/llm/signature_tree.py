@@ -42,7 +42,7 @@ LOCAL, WINDOW, FREQUENT, MOST = 3, 2_000_000, 32, 200_000
 PAIRED = 8
 
 _SIG = [f"s{i}" for i in range(LONGS)]
-_LEAVES = "doc_id long, place long, n long, excess long, narrow long, h0 long, h1 long, " + ", ".join(f"{s} long" for s in _SIG) + ", bits array<long>, prefix array<long>"
+_LEAVES = "doc_id long, place long, n long, excess long, narrow long, h0 long, h1 long, bits array<long>, prefix array<long>"
 
 
 def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,8 +108,8 @@ def excess(n: int, bits: np.ndarray) -> int:
 
 
 def _leaves(docs: DataFrame, k: int, percent: int, last: np.ndarray, times: np.ndarray) -> DataFrame:
-    """Per row its set's size, digest, prefix and bitmaps: ``bits`` as wide as it needs with its ``excess``, and folded to
-    BITS with the excess there (``narrow``)."""
+    """Per row its set's size, digest, prefix and bitmap ``bits``, as wide as it needs, with its ``excess`` and that of the
+    bitmap folded to BITS (``narrow``)."""
 
     def lists(values: list[np.ndarray]) -> pa.ListArray:
         ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
@@ -118,23 +118,36 @@ def _leaves(docs: DataFrame, k: int, percent: int, last: np.ndarray, times: np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingles(k)
         for batch in batches:
-            sizes, whole, sigs, wide, heads = [], [], [], [], []
+            sizes, whole, wide, heads = [], [], [], []
             for t in batch.column(2).to_pylist():
                 s = cut.of(t)
                 bits = bitmap(s, width(len(s)))
-                sigs.append(np.bitwise_or.reduce(bits.reshape(-1, LONGS), axis=0))
-                sizes.append((len(s), excess(len(s), bits), excess(len(s), sigs[-1])))
+                sizes.append((len(s), excess(len(s), bits), excess(len(s), np.bitwise_or.reduce(bits.reshape(-1, LONGS), axis=0))))
                 wide.append(bits.view(np.int64))
                 whole.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
                 heads.append(prefix(s, percent, last, times).view(np.int64))
-            n, w, b = np.array(sizes, np.int64).reshape(-1, 3), np.array(whole, np.int64).reshape(-1, 2), np.array(sigs, np.uint64).reshape(-1, LONGS).view(np.int64)
+            n, w = np.array(sizes, np.int64).reshape(-1, 3), np.array(whole, np.int64).reshape(-1, 2)
             column = lambda m, i: pa.array(np.ascontiguousarray(m[:, i]))
-            columns = [batch.column(0), batch.column(1), *[column(n, i) for i in range(3)], *[column(w, i) for i in range(2)], *[column(b, i) for i in range(LONGS)], lists(wide), lists(heads)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "excess", "narrow", "h0", "h1", *_SIG, "bits", "prefix"])
+            columns = [batch.column(0), batch.column(1), *[column(n, i) for i in range(3)], *[column(w, i) for i in range(2)], lists(wide), lists(heads)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n", "excess", "narrow", "h0", "h1", "bits", "prefix"])
 
     return docs.select("doc_id", "place", "text").mapInArrow(run, _LEAVES)
 
 
+def _folded(bits: Column, longs: Column) -> Column:
+    """A bitmap folded to so many longs, a power of two."""
+    steps = F.sequence(F.lit(0), (F.size(bits) / longs).cast("int") - 1)
+    return F.transform(F.sequence(F.lit(0), longs - 1), lambda i: F.aggregate(steps, F.lit(0).cast("long"), lambda t, j: t.bitwiseOR(F.get(bits, i + j * longs))))
+
+
+def _thin(classes: DataFrame) -> DataFrame:
+    """(id, n, excess, bits) with bitmaps of a bit a shingle or more, for the pairs that are tested in a join: unlike sets
+    differ there too, and what is sent with each pair is half as much or less."""
+    longs = F.call_function("shiftleft", F.lit(1), F.greatest(F.lit(0), F.length(F.bin(F.col("n") - 1)) - 6))
+    thin = classes.select("id", "n", _folded(F.col("bits"), longs).alias("bits"))
+    return thin.withColumn("excess", F.col("n") - F.aggregate("bits", F.lit(0), lambda t, c: t + F.bit_count(c)))
+
+
 def _sizes_allow(a: str, b: str, percent: int, low: str = "n", high: str = "n") -> Column:
     return (100 * F.col(a + high) >= percent * F.col(b + low)) & (100 * F.col(b + high) >= percent * F.col(a + low))
 
@@ -218,7 +231,9 @@ def _descended(members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         number = lambda c: table.column(c).to_numpy()
         side, ids, part, n, more, narrow = (number(c) for c in ("side", "id", "component", "n", "excess", "narrow"))
-        sigs, bits = np.stack([number(s) for s in _SIG], axis=1).view(np.uint64), [np.array(v, np.int64).view(np.uint64) for v in table.column("bits").to_pylist()]
+        rows = table.column("bits").combine_chunks()
+        bits = np.split(rows.flatten().to_numpy().view(np.uint64), np.cumsum(rows.value_lengths().to_numpy())[:-1])
+        sigs = np.stack([np.bitwise_or.reduce(b.reshape(-1, LONGS), axis=0) for b in bits])
         x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         y = y if len(y) else x  # a tile with itself
         near = traversed(_Nodes(n[x], narrow[x], sigs[x], part[x]), _Nodes(n[y], narrow[y], sigs[y], part[y]), percent)
@@ -280,14 +295,15 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
     each = written(_leaves(docs, shingle_words, percent, *frequent(docs, shingle_words)), "leaves")
-    classes = each.where("n > 0").groupBy("h0", "h1").agg(F.min("place").alias("id"), F.min("doc_id").alias("least_doc"), *[F.first(c).alias(c) for c in ("n", "excess", "narrow", *_SIG, "bits", "prefix")])
+    classes = each.where("n > 0").groupBy("h0", "h1").agg(F.min("place").alias("id"), F.min("doc_id").alias("least_doc"), *[F.first(c).alias(c) for c in ("n", "excess", "narrow", "bits", "prefix")])
     classes = written(classes, "classes")
     rows = written(each.select("doc_id", "n", "h0", "h1", "place"), "rows")
     dropped(each)  # bitmaps and prefixes are those of the classes from here on
 
     index = classes.select("id", F.explode("prefix").alias("key"))
     sums = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    filled = index.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), *sums).where("n > 1")
+    # Most keys occur once: sent as (id, key), a third of what their aggregates take, and aggregated where they meet.
+    filled = index.repartition("key").groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), *sums).where("n > 1")
     filled = written(filled.groupBy("n", "least", "most", "x0", "x1").agg(F.min("key").alias("key")).drop("x0", "x1"), "filled")
     two = filled.where("n = 2").select("key", F.explode(F.array("least", "most")).alias("id"), "n", "least")
     more = filled.where("n > 2").drop("most")
@@ -299,18 +315,21 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     shared = written(two.unionByName(more), "buckets")
 
     def signed(p: str) -> DataFrame:
-        return classes.select(F.col("id").alias(p), *[F.col(c).alias(p + c) for c in ("n", "excess", "bits")])
+        return _thin(classes).select(F.col("id").alias(p), *[F.col(c).alias(p + c) for c in ("n", "excess", "bits")])
 
     weighted = shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id")
     centres = weighted.groupBy("key").agg((-F.max(F.struct("weight", (-F.col("id")).alias("id")))["id"]).alias("centre"))
     stars = met(shared, centres, ["key"], ["id"], often(shared, ["key"])).select(F.col("id").alias("a"), F.explode(F.array_distinct(F.array("centre", "least"))).alias("b"))
     starred = stars = written(stars.where("a <> b").distinct(), "stars")
-    near = met(stars.join(signed("a"), "a"), signed("b"), ["b"], ["a"], often(stars, ["b"])).where(_may_link("a", "b", percent))
+    size = lambda p: classes.select(F.col("id").alias(p), F.col("n").alias(f"{p}n"))
+    sized = met(stars.join(size("a"), "a"), size("b"), ["b"], ["a"], often(stars, ["b"])).where(_sizes_allow("a", "b", percent))
+    sized = written(sized.select("a", "b"), "sized")  # bitmaps are sent for these alone
+    near = met(sized.join(signed("a"), "a"), signed("b"), ["b"], ["a"], often(sized, ["b"])).where(_may_link("a", "b", percent))
     stars = written(near.select("a", "b"), "pairs")
     full = _sets(stars.select(F.col("a").alias("id")).union(stars.select("b")), docs, shingle_words)
     links = _linked(stars, full, percent)
     found = written(components(links), "components")
-    dropped(starred, full, links, filled)
+    dropped(starred, sized, full, links, filled)
 
     part = written(shared.join(found, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component")), "parts")
     several = part.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
@@ -329,8 +348,10 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
     ids = rest.select(F.col("a").alias("id")).union(rest.select("b"))
     if not (none := large.isEmpty()):
         placed, tiles = _tiles(large, classes.select("id", "n"))
-        members = placed.drop("own").join(classes.select("id", "n", "excess", "narrow", *_SIG, "bits"), "id")
-        reached = _descended(members, _pruned(tiles, members, percent), percent)
+        members = placed.drop("own")
+        members = members.join(classes.select("id", "n", "excess", "narrow", "bits"), "id")
+        nodes = members.withColumn("sig", _folded(F.col("bits"), F.lit(LONGS))).select("tile", "n", "narrow", *[F.get("sig", F.lit(i)).alias(c) for i, c in enumerate(_SIG)])
+        reached = _descended(members, _pruned(tiles, nodes, percent), percent)
         ids = ids.union(reached.select("id"))
     full = _sets(ids, docs, shingle_words)
     links = found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(_linked(rest, full, percent))

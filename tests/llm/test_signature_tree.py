@@ -142,3 +142,29 @@ def test_leaves_are_deleted_once_their_classes_are_written(spark):
     df = spark.createDataFrame([(i, f"a b c d e f g h {i // 2}") for i in range(20)], "doc_id long, text string")
     assert len({r.component_id for r in st.similar_texts(df).collect()}) == 10
     assert there("leaves") == before[0] and len(there("rows")) == len(before[1]) + 1
+
+
+def test_pairs_are_tested_on_thin_bitmaps_and_sizes_go_first(spark, monkeypatch):
+    """What is sent with a pair has two bits a shingle at most and allows each link; pairs of unlike sizes send none."""
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (1, 2, 63, 64, 65, 130, 512, 513, 1100):
+        s = rng.integers(0, 2**64, n, dtype=np.uint64)
+        sets += [s, s[: max(1, -(-n * 80 // 100))]]
+    rows = [(i, len(s), st.bitmap(s, st.width(len(s))).view(np.int64).tolist()) for i, s in enumerate(sets)]
+    thin = st._thin(spark.createDataFrame(rows, "id long, n long, bits array<long>"))
+    for r in thin.collect():
+        want = st.bitmap(sets[r.id], 64 * len(r.bits))
+        assert np.array(r.bits).view(np.uint64).tolist() == want.tolist() and r.excess == st.excess(r.n, want)
+        assert r.n <= 64 * len(r.bits) < 2 * max(r.n, 64) or r.n == 1
+    side = lambda p: thin.select(*[thin[c].alias(p + c) for c in thin.columns])
+    met = {(r.aid, r.bid) for r in side("a").join(side("b")).where(st._may_link("a", "b", 80)).select("aid", "bid").collect()}
+    assert {(i, i + 1) for i in range(0, len(sets), 2) if len(sets[i]) > 2} <= met
+
+    seen, write = {}, st.written
+    monkeypatch.setattr(st, "written", lambda df, label: seen.setdefault(label, write(df, label)))
+    monkeypatch.setattr(st, "dropped", lambda *tables: None)
+    texts = [(i, " ".join(f"w{j}" for j in range(8 + 20 * i))) for i in range(4)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.component_id for r in st.similar_texts(rows).collect()} == {0, 1, 2, 3}
+    assert seen["stars"].count() > 0 and seen["sized"].count() < seen["stars"].count()
