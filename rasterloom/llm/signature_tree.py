@@ -302,7 +302,7 @@ def similar_texts(df: DataFrame, shingle_words: int = 5, percent: int = 80, doc_
 
     index = classes.select("id", F.explode("prefix").alias("key"))
     sums = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    # Most keys occur once: sent as (id, key), a third of what their aggregates take, and aggregated where they meet.
+    # Most keys occur once: sent as (id, key), which takes less than their aggregates do, and aggregated where they meet.
     filled = index.repartition("key").groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), *sums).where("n > 1")
     filled = written(filled.groupBy("n", "least", "most", "x0", "x1").agg(F.min("key").alias("key")).drop("x0", "x1"), "filled")
     two = filled.where("n = 2").select("key", F.explode(F.array("least", "most")).alias("id"), "n", "least")
