@@ -8,7 +8,9 @@ percent / (100 + percent) of their sizes' sum; a pair of nodes that can't reach
 At the top a bitmap of 2^64 bits is kept as the list of its bits, for those shingles alone of which similar sets must
 share one: in one order of all shingles, the first n - ceil(n * percent / 100) + 1 of a set of n. Nodes that have a bit in
 common meet by a join on it. In that order frequent shingles come last, so that passages which many texts share bring
-nobody together; it is the same for all sets, hence nothing is lost whatever the frequencies are taken to be. Below a bit
+nobody together, and the others go by counts of all shingles in CELLS cells: those that many texts have by chance, the more
+the larger a table is, stay out of the lists. It is the same for all sets, hence nothing is lost whatever the counts are
+taken to be. Below a bit
 with many sets nodes are ranges of sizes, each as wide as a link allows: a set belongs to its own and the next. Bits that
 the same sets have (by a 128-bit sum of their ids' hashes) are one.
 
@@ -37,6 +39,9 @@ BITS, LONGS, NODE = 1024, 16, 16
 #: A shingle is frequent if tasks that saw it LOCAL times or more, in at most WINDOW shingles each, saw it FREQUENT times
 #: in all; the MOST most frequent are put last. None of these changes a result.
 LOCAL, WINDOW, FREQUENT, MOST = 3, 2_000_000, 32, 200_000
+#: The others go by the number of shingles whose hashes have the same leading CELL_BITS, which is no less than their own.
+CELL_BITS, PARTS = 21, 128
+CELLS = 1 << CELL_BITS
 
 #: Members up to which the pairs of a bucket are tested in the join.
 PAIRED = 8
@@ -45,20 +50,33 @@ _SIG = [f"s{i}" for i in range(LONGS)]
 _LEAVES = "doc_id long, place long, n long, excess long, narrow long, h0 long, h1 long, bits array<long>, prefix array<long>"
 
 
-def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles in ascending order and how often they were seen; at most MOST."""
+def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent shingles in ascending order and how often they were seen, at most MOST; and the ``cells``: how many
+    shingles were seen by the leading bits of their hashes, in steps that fit 16 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, held, size = Shingles(k), [], 0
+        cut, held, size, cells, seen_in_all = Shingles(k), [], 0, np.zeros(CELLS, np.uint32), 0
+
+        def rows(token: np.ndarray, times: np.ndarray, part: np.ndarray, found: list[bytes]) -> pa.RecordBatch:
+            none = len(token) + len(part)
+            fill = lambda x, before: pa.array(np.concatenate([np.zeros(before, np.int64), x, np.zeros(none - before - len(x), np.int64)]))
+            columns = [fill(token, 0), fill(times, 0), fill(part, len(token)), pa.array([None] * len(token) + found, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["token", "times", "part", "cells"])
 
         def counted() -> pa.RecordBatch:
             seen = np.concatenate([np.zeros(0, np.uint64), *held])
             held.clear()
             seen.sort()
+            np.add(cells, np.bincount(seen >> np.uint64(64 - CELL_BITS), minlength=CELLS).astype(np.uint32), out=cells)
             at = np.flatnonzero(np.concatenate([np.ones(min(1, len(seen)), bool), seen[1:] != seen[:-1]]))
             times = np.diff(np.append(at, len(seen)))
             keep = times >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(seen[at[keep]].view(np.int64)), pa.array(times[keep].astype(np.int64))], names=["token", "times"])
+            return rows(seen[at[keep]].view(np.int64), times[keep], np.zeros(0, np.int64), [])
+
+        def summed() -> pa.RecordBatch:
+            found = np.minimum(cells, 255).astype(np.uint8).reshape(-1, CELLS // PARTS)
+            cells[:] = 0
+            return rows(np.zeros(0, np.int64), np.zeros(0, np.int64), np.arange(PARTS), [x.tobytes() for x in found])
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -66,27 +84,49 @@ def frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
                 size += len(held[-1])
                 if size > WINDOW:
                     yield counted()
-                    size = 0
+                    seen_in_all, size = seen_in_all + size, 0
+                    if seen_in_all > 16 * CELLS:  # before bytes are too small
+                        yield summed()
+                        seen_in_all = 0
         yield counted()
-
-    seen = docs.select("text").mapInArrow(run, "token long, times long").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= FREQUENT)
-    top = seen.orderBy(F.desc("times"), "token").limit(MOST).toArrow()
+        if seen_in_all + size:
+            yield summed()
+
+    def total(table: pa.Table) -> pa.Table:
+        sums = np.zeros(CELLS // PARTS, np.uint32)
+        for x in table.column("cells"):
+            sums += np.frombuffer(x.as_buffer(), np.uint8)
+        return pa.table({"part": table.column("part")[:1], "cells": pa.array([sums.tobytes()], pa.binary())})
+
+    told = written(docs.select("text").mapInArrow(run, "token long, times long, part long, cells binary"), "seen")
+    seen = told.where("cells is null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= FREQUENT)
+    top = written(seen.orderBy(F.desc("times"), "token").limit(MOST), "frequent").toArrow()
+    sums = written(told.where("cells is not null").select("part", "cells").groupBy("part").applyInArrow(total, "part long, cells binary"), "cells").toArrow()
+    dropped(told)
+    cells = np.zeros((PARTS, CELLS // PARTS), np.uint32)
+    for part, found in zip(sums.column("part").to_pylist(), sums.column("cells").to_pylist()):
+        cells[part] = np.frombuffer(found, np.uint32)
+    cells = np.maximum(cells.reshape(-1), PAIRED)  # buckets of so few are paired in the join anyway
+    cells = np.minimum(cells >> max(0, int(np.median(cells)).bit_length() - 14), 2**16 - 1).astype(np.uint16)
     token = top.column("token").to_numpy().view(np.uint64)
     order = np.argsort(token)
-    return token[order], top.column("times").to_numpy()[order]
+    return token[order], top.column("times").to_numpy()[order], cells
 
 
-def prefix(shingles: np.ndarray, percent: int, last: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Of sorted shingles those of which any set that is similar enough has one, the frequent ones (``last``) being last."""
+def prefix(shingles: np.ndarray, percent: int, last: np.ndarray, times: np.ndarray, cells: np.ndarray | None = None) -> np.ndarray:
+    """Of sorted shingles those of which any set that is similar enough has one: those of the least ``cells`` first, the
+    frequent ones (``last``) after all others."""
     n = len(shingles)
     size = n + -n * percent // 100 + 1 if n else 0
-    if not len(last):
-        return shingles[:size]
-    at = np.minimum(np.searchsorted(last, shingles), len(last) - 1)
-    often = last[at] == shingles
-    rare = shingles[~often][:size]
-    if len(rare) == size:
-        return rare
+    often = np.zeros(n, bool)
+    if len(last):
+        at = np.minimum(np.searchsorted(last, shingles), len(last) - 1)
+        often = last[at] == shingles
+    rare = shingles[~often]
+    if cells is not None:
+        rare = rare[np.argsort(cells[rare >> np.uint64(64 - CELL_BITS)], kind="stable")]  # of equal cells the least hash
+    if len(rare) >= size:
+        return rare[:size]
     rest, seen = shingles[often], times[at[often]]
     return np.concatenate([rare, rest[np.lexsort((rest, seen))][: size - len(rare)]])
 
@@ -107,7 +147,7 @@ def excess(n: int, bits: np.ndarray) -> int:
     return n - int(np.bitwise_count(bits).sum())
 
 
-def _leaves(docs: DataFrame, k: int, percent: int, last: np.ndarray, times: np.ndarray) -> DataFrame:
+def _leaves(docs: DataFrame, k: int, percent: int, last: np.ndarray, times: np.ndarray, cells: np.ndarray) -> DataFrame:
     """Per row its set's size, digest, prefix and bitmap ``bits``, as wide as it needs, with its ``excess`` and that of the
     bitmap folded to BITS (``narrow``)."""
 
@@ -125,7 +165,7 @@ def _leaves(docs: DataFrame, k: int, percent: int, last: np.ndarray, times: np.n
                 sizes.append((len(s), excess(len(s), bits), excess(len(s), np.bitwise_or.reduce(bits.reshape(-1, LONGS), axis=0))))
                 wide.append(bits.view(np.int64))
                 whole.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64))
-                heads.append(prefix(s, percent, last, times).view(np.int64))
+                heads.append(prefix(s, percent, last, times, cells).view(np.int64))
             n, w = np.array(sizes, np.int64).reshape(-1, 3), np.array(whole, np.int64).reshape(-1, 2)
             column = lambda m, i: pa.array(np.ascontiguousarray(m[:, i]))
             columns = [batch.column(0), batch.column(1), *[column(n, i) for i in range(3)], *[column(w, i) for i in range(2)], lists(wide), lists(heads)]

@@ -168,3 +168,48 @@ def test_pairs_are_tested_on_thin_bitmaps_and_sizes_go_first(spark, monkeypatch)
     rows = spark.createDataFrame(texts, "doc_id long, text string")
     assert {r.component_id for r in st.similar_texts(rows).collect()} == {0, 1, 2, 3}
     assert seen["stars"].count() > 0 and seen["sized"].count() < seen["stars"].count()
+
+
+def test_shingles_that_texts_share_by_chance_bring_few_together(spark, monkeypatch):
+    """Phrases of some 15 texts each, too rare for the list of frequent shingles: they stay out of prefixes, nothing is lost."""
+    seen, write = {}, st.written
+    monkeypatch.setattr(st, "written", lambda df, label: seen.setdefault(label, write(df, label)))
+    monkeypatch.setattr(st, "dropped", lambda *tables: None)
+    rng = random.Random(11)
+    phrases = [" ".join(f"c{i}x{j}" for j in range(8)) for i in range(40)]
+    rows = [(i, " ".join(f"{rng.choice(phrases)} o{i}y{j} p{i}y{j}" for j in range(3)) + " " + " ".join(f"e{i}y{j}" for j in range(20))) for i in range(200)]
+    rows += [(1000 + i, varied(rng, t.split(), 1)) for i, t in rows[:20]]
+    assert run(spark, rows) == brute(rows)
+    assert 0 < seen["buckets"].groupBy("key").count().where("count > 2").count() <= 20 or seen["buckets"].count() <= 2 * 40
+
+
+def test_prefixes_meet_whatever_the_cells_say():
+    rng = np.random.default_rng(7)
+    cells = rng.integers(0, 5, st.CELLS).astype(np.uint16)
+    none = np.zeros(0, np.uint64)
+    last = np.unique(rng.integers(0, 2**64, 200, dtype=np.uint64))
+    for listed, times in ((none, none.astype(np.int64)), (last, rng.integers(32, 99, len(last)))):
+        for _ in range(300):
+            x = np.unique(np.concatenate([rng.integers(0, 2**64, rng.integers(1, 60), dtype=np.uint64), rng.choice(last, rng.integers(0, 40))]))
+            y = x[rng.random(len(x)) < 0.85]
+            if 100 * len(y) >= 80 * len(x) and len(y):
+                a, b = st.prefix(x, 80, listed, times, cells), st.prefix(y, 80, listed, times, cells)
+                assert np.intersect1d(a, b).size and len(a) == len(x) - -(-len(x) * 80 // 100) + 1
+
+
+def test_shuffles_of_written_tables_are_deleted(spark):
+    import glob
+    import os
+    import time
+
+    from pyspark.sql import functions as F
+
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    there = lambda: {f for f in glob.glob(f"{folder}/*/shuffle_*") if os.path.getsize(f)}
+    setting, before = spark.conf.get(shared.CLEANUP), there()
+    shared.written(spark.range(20_000).groupBy((F.col("id") % 999).alias("k")).count(), "sums")
+    for _ in range(50):  # files are deleted in the background
+        if there() <= before:
+            break
+        time.sleep(0.1)
+    assert there() <= before and spark.conf.get(shared.CLEANUP) == setting
