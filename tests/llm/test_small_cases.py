@@ -641,3 +641,66 @@ def test_media_ranges_retry_members_and_directory(spark, tmp_path, monkeypatch):
     rows = [r for part in ranges for batch in reader.read(part) for r in batch.to_pylist()]
     assert sorted(r["doc_id"] for r in rows) == list(range(300))
     assert all(f.closed for n, f in enumerate(opened) if n % 3)
+
+
+def test_every_window_is_learnt_and_sets_the_threshold(spark, monkeypatch):
+    """More windows than the first weights come from: all are learnt and counted, on one task or several."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    prose = lambda: " ".join(draw("abcdefghijklmnopqrstuvwxyz", rng.randint(2, 14)) for _ in range(12))
+    texts = [f"{prose()} token = {draw('ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', 32)} {prose()}" for _ in range(200)] + [prose() for _ in range(100)]
+    want = collections.Counter(label for t in texts for label, _ in secrets.labelled(t))
+    seen, write = {}, secrets.written
+    monkeypatch.setattr(secrets, "SAMPLE", 40)
+    monkeypatch.setattr(secrets, "BLOCK", 64)
+    monkeypatch.setattr(secrets, "written", lambda df, label: seen.setdefault(label, write(df, label)))
+    monkeypatch.setattr(secrets, "dropped", lambda *tables: None)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    net = secrets.fit(docs)
+    rows = seen["learnt"].collect()
+    assert {y: sum(r.n for r in rows if r.label == y) for y in (True, False)} == want and want[True] == 200
+    assert sum(r.n for r in rows if r.weights is not None) == want.total() and sum(r.weights is not None for r in rows) == 3
+    assert net.recall == secrets.RECALL  # 40 windows vouch for less
+    first = {r.weights for r in rows if r.weights is not None}
+    assert len(first) == 3 and not any(np.array_equal(net.flat(), np.frombuffer(w)) for w in first)
+    codes = np.array([np.frombuffer(w, np.uint8) for t in texts for y, w in secrets.labelled(t) if y])
+    assert (net.scores(codes) >= net.threshold).mean() >= secrets.RECALL
+
+
+def test_windows_of_many_texts_are_those_of_each():
+    import numpy as np
+
+    key = "0123456789abcdef" * 2
+    texts = [None, "", "short", f"see {'/'.join(['some-path_of-words'] * 6)}/{key} end", "pässwörter 中文abcdefgh12 x" * 3, "a" * 96, "b" * 48 + " " + "c" * 49, "PASSWORD = hunter22x of something", key, "=" * 8, "1234567 12345678"]
+    own, start, end, windows = secrets._pieces(texts)
+    want = [(i, s, e, secrets.window(t, p, q)) for i, t in enumerate(texts) for s, e in secrets.candidates(t) for p, q in secrets.pieces(s, e)]
+    assert [(*x, w.tobytes()) for x, w in zip(zip(own.tolist(), start.tolist(), end.tolist()), windows)] == want
+    found = [(bool(y), w.tobytes()) for labels, ws in secrets._all_labelled(texts) for y, w in zip(labels, ws)]
+    assert sorted(found) == sorted(x for t in texts for x in secrets.labelled(t))
+    assert [list(range(a, a + len(g))) for a, g in secrets._groups(texts, 50)] and sum(len(g) for _, g in secrets._groups(texts, 50)) == len(texts)
+    rng = np.random.default_rng(1)
+    net = secrets.fitted(windows, (rng.random(len(windows)) < 0.5).astype(float))
+    assert np.allclose(net.scores(windows), 1 / (1 + np.exp(-net.logits(windows))), atol=1e-5)
+
+
+def test_rank_of_the_threshold_for_many_positive_windows():
+    r = secrets.least_rank(1_000_000)
+    assert 19_700 < r < 20_000 and secrets.least_rank(113) == 0 and secrets.least_rank(114) == 1
+
+
+def test_a_learning_step_follows_the_gradient(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(secrets, "RATE", 1e-3)
+    rng = np.random.default_rng(2)
+    codes, labels, weights = rng.integers(1, secrets.CLASSES, (200, secrets.WIDTH)).astype(np.uint8), rng.integers(0, 2, 200).astype(float), rng.random(200)
+    net = secrets.fitted(codes, labels, epochs=1)
+    loss = lambda k: float((weights * (np.logaddexp(0, k.logits(codes)) - labels * k.logits(codes))).mean())
+    before, was = net.flat(), loss(net)
+    z = net.like(before).logits(codes)
+    assert np.allclose(net.learnt(codes, labels, weights), z, atol=1e-4)
+    assert was - loss(net) == pytest.approx(((net.flat() - before) ** 2).sum() / 1e-3, rel=0.05)
