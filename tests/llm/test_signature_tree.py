@@ -180,7 +180,7 @@ def test_shingles_that_texts_share_by_chance_bring_few_together(spark, monkeypat
     rows = [(i, " ".join(f"{rng.choice(phrases)} o{i}y{j} p{i}y{j}" for j in range(3)) + " " + " ".join(f"e{i}y{j}" for j in range(20))) for i in range(200)]
     rows += [(1000 + i, varied(rng, t.split(), 1)) for i, t in rows[:20]]
     assert run(spark, rows) == brute(rows)
-    assert 0 < seen["buckets"].groupBy("key").count().where("count > 2").count() <= 20 or seen["buckets"].count() <= 2 * 40
+    assert seen["buckets"].count() <= 80 and seen["buckets"].groupBy("key").count().where("count > 2").count() <= 20
 
 
 def test_prefixes_meet_whatever_the_cells_say():
